@@ -11,10 +11,14 @@ from pyspark.sql import SparkSession
 # Settings every job relies on.  AQE re-plans from runtime sizes: it
 # coalesces the tiny post-aggregation partitions, turns a sort-merge join
 # into a broadcast only once the small side's real size is known, and
-# splits skewed join partitions.
+# splits skewed join partitions.  The low minimum partition size matters
+# only for small shuffles: a partitioned write of little data over many
+# days costs one file per day, so it should keep every core busy instead
+# of being merged into a single task (large shuffles are unaffected).
 SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
