@@ -19,15 +19,15 @@ HEADER_COLUMNS = {
 def run_headers(pages: DataFrame) -> DataFrame:
     """One header per index, taken from its page 1; indices without a page 1 get no row.
 
-    ``min_by``/``min`` are partial aggregates, so an index with a huge
-    number of pages is reduced map-side before the shuffle; the output has
-    one row per index.
+    Only page-1 rows enter the aggregate (the filter runs at the source), so
+    it handles one row per index; ``min`` makes a duplicated page 1
+    deterministic and keeps the output at one row per index.
     """
-    per_index = pages.groupBy("index").agg(
-        F.min("page_number").alias("_first"),
-        F.min_by("header", "page_number").alias("run_header"),
+    return (
+        pages.where(F.col("page_number") == 1)
+        .groupBy("index")
+        .agg(F.min("header").alias("run_header"))
     )
-    return per_index.where(F.col("_first") == 1).select("index", "run_header")
 
 
 def flatten_results(pages: DataFrame, header_from_first_page: bool = True) -> DataFrame:

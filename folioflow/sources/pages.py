@@ -50,15 +50,17 @@ def read_pages(
 
 
 def parse_pages(df: DataFrame, body: str = "body", index: str | Column | None = None) -> DataFrame:
-    """Response bodies held in a text column → pages frame (``from_json``)."""
-    parsed = df.withColumn(
-        "_page", F.from_json(F.col(body), PAGE_WITH_CORRUPT, _JSON_OPTIONS)
-    ).select(
+    """Response bodies held in a text column → pages frame (``from_json``).
+
+    The parse goes through a one-element ``inline``: a filter on the
+    parsed fields (page 1 only, usable pages...) cannot be pushed below a
+    generator, so each body is parsed exactly once.  Through a plain
+    projection the optimizer would substitute ``from_json`` into every
+    pushed predicate and parse the same text several times.
+    """
+    parsed = df.select(
         *[c for c in df.columns if c != body],
-        "_page.page",
-        "_page.header",
-        "_page.results",
-        F.col(f"_page.{CORRUPT_COLUMN}").alias(CORRUPT_COLUMN),
+        F.inline(F.array(F.from_json(F.col(body), PAGE_WITH_CORRUPT, _JSON_OPTIONS))),
     )
     if index is None:
         index_col = F.col("index") if "index" in df.columns else F.lit(None).cast("string")
