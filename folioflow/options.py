@@ -20,6 +20,11 @@ TRANSFORMED_SOURCE = "portfolio-feed-transformed"
 
 NUMBER_MODES = ("ptbr", "compat")
 
+# Where the index name goes: nowhere (one index per root, as the original
+# layout), a data column (several indices per day, grouped per index), or
+# a leading ``index=`` directory level (one directory per index and day).
+INDEX_MODES = ("none", "column", "partition")
+
 
 @dataclass(frozen=True)
 class JobOptions:
@@ -39,11 +44,13 @@ class JobOptions:
     run_timestamp: dt.datetime = field(default_factory=lambda: dt.datetime.now().replace(microsecond=0))
     raw_prefix: str = RAW_PREFIX
     transformed_prefix: str = TRANSFORMED_PREFIX
-    partition_by_index: bool = False
+    index_mode: str = "none"
 
     def __post_init__(self) -> None:
         if self.number_mode not in NUMBER_MODES:
             raise ValueError(f"number_mode must be one of {NUMBER_MODES}, got {self.number_mode!r}")
+        if self.index_mode not in INDEX_MODES:
+            raise ValueError(f"index_mode must be one of {INDEX_MODES}, got {self.index_mode!r}")
         if not 1 <= int(self.page_size) <= MAX_PAGE_SIZE:
             raise ValueError(f"page_size must be within 1..{MAX_PAGE_SIZE}, got {self.page_size}")
 
@@ -63,6 +70,27 @@ class JobOptions:
     def audit_path(self) -> str:
         return f"{self.root.rstrip('/')}/_audit"
 
+    @property
+    def keeps_index(self) -> bool:
+        return self.index_mode != "none"
+
+    @property
+    def group_keys(self) -> tuple[str, ...]:
+        """Keys the portfolio is grouped by ahead of the asset."""
+        return ("index",) if self.keeps_index else ()
+
     @property
     def leading_partitions(self) -> tuple[str, ...]:
-        return ("index",) if self.partition_by_index else ()
+        return ("index",) if self.index_mode == "partition" else ()
+
+    @property
+    def raw_schema(self):
+        from folioflow.schemas import RAW, with_index
+
+        return with_index(RAW) if self.index_mode == "column" else RAW
+
+    @property
+    def portfolio_schema(self):
+        from folioflow.schemas import PORTFOLIO, with_index
+
+        return with_index(PORTFOLIO) if self.index_mode == "column" else PORTFOLIO

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.numbers import group_thousands
+from folioflow.sources.tables import read_table
 from folioflow.schemas import PAGE
 
 # Fixed run clock of the registered queries, so their output is reproducible.
@@ -44,7 +45,8 @@ NBSP = " "
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A shared test table; spread over the cores when stored as one row group."""
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _comma_cents(cents: Column) -> Column:

@@ -41,7 +41,10 @@ class ExtractReport:
 def extract_frame(pages: DataFrame, opts: JobOptions) -> DataFrame:
     """Pages → raw rows of this run (no write)."""
     chosen = select_pages(pages, opts.all_pages)
-    return to_raw(chosen, opts.run_timestamp, opts.number_mode, keep_index=opts.partition_by_index)
+    raw = to_raw(chosen, opts.run_timestamp, opts.number_mode, keep_index=opts.keeps_index)
+    if opts.index_mode == "column":
+        raw = raw.select("index", *RAW.fieldNames())
+    return raw
 
 
 def extract_job(
@@ -73,7 +76,7 @@ def extract_job(
 
 
 def transform_frame(raw: DataFrame, opts: JobOptions, by: tuple[str, ...] = ()) -> DataFrame:
-    return portfolio_by_asset(raw, opts.run_date, by=(*opts.leading_partitions, *by))
+    return portfolio_by_asset(raw, opts.run_date, by=(*opts.group_keys, *by))
 
 
 def transform_job(
@@ -89,7 +92,7 @@ def transform_job(
     """
     source = as_date(source_date) if source_date is not None else opts.run_date
     target = as_date(target_date) if target_date is not None else opts.run_date
-    raw = read_day(spark, opts.raw_path, source, RAW, opts.leading_partitions)
+    raw = read_day(spark, opts.raw_path, source, opts.raw_schema, opts.leading_partitions)
     result = transform_frame(raw, opts)
     written = write_daily(result, opts.transformed_path, target, leading=opts.leading_partitions)
     append_audit(spark, opts.audit_path, written, TRANSFORMED_SOURCE, opts.run_timestamp)
@@ -107,10 +110,10 @@ def backfill_transform(
     The partition columns lead the grouping, so the result is already
     keyed by output directory; only days that have data are replaced.
     """
-    raw = read_days(spark, opts.raw_path, start, end, RAW, opts.leading_partitions)
+    raw = read_days(spark, opts.raw_path, start, end, opts.raw_schema, opts.leading_partitions)
     result = transform_frame(raw, opts, by=PARTITION_COLUMNS)
     written = write_daily(
-        result.select(*opts.leading_partitions, *PARTITION_COLUMNS, *PORTFOLIO.fieldNames()),
+        result.select(*opts.group_keys, *PARTITION_COLUMNS, *PORTFOLIO.fieldNames()),
         opts.transformed_path,
         date_col=partition_date(),
         leading=opts.leading_partitions,
@@ -128,11 +131,11 @@ def run_all(spark: SparkSession, landing: str | list[str], opts: JobOptions, *,
 
 def publish(spark: SparkSession, opts: JobOptions, table: str = "portfolio.raw_daily") -> DataFrame:
     """Register the raw tree as an external partitioned table."""
-    return publish_table(spark, table, opts.raw_path, RAW, opts.leading_partitions)
+    return publish_table(spark, table, opts.raw_path, opts.raw_schema, opts.leading_partitions)
 
 
 def read_transformed_day(spark: SparkSession, opts: JobOptions, day: dt.date | str | None = None) -> DataFrame:
-    return read_day(spark, opts.transformed_path, day, PORTFOLIO, opts.leading_partitions)
+    return read_day(spark, opts.transformed_path, day, opts.portfolio_schema, opts.leading_partitions)
 
 
 def audit_rows(spark: SparkSession, opts: JobOptions) -> DataFrame:

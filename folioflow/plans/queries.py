@@ -732,7 +732,7 @@ def _conversation_job_options(spark: SparkSession) -> JobOptions:
         root=scratch_path(spark, "conv-job"),
         run_timestamp=RUN_TIMESTAMP,
         all_pages=True,
-        partition_by_index=True,
+        index_mode="column",
     )
 
 
@@ -747,7 +747,7 @@ def q_extract_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = f"{opts.root}/landing"
     _land_pages(spark, sf_dir, landing, by_index=True)
     extract_job(spark, landing, opts, multi_line=False)
-    return read_tree(spark, opts.raw_path, RAW, opts.leading_partitions)
+    return read_tree(spark, opts.raw_path, opts.raw_schema, opts.leading_partitions)
 
 
 @register(
@@ -776,7 +776,7 @@ def q_transform_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The extract on a file stream (availableNow): each page with its own header."""
-    opts = JobOptions(root=scratch_path(spark, "stream"), run_timestamp=RUN_TIMESTAMP, partition_by_index=True)
+    opts = JobOptions(root=scratch_path(spark, "stream"), run_timestamp=RUN_TIMESTAMP, index_mode="column")
     landing = f"{opts.root}/landing"
     _land_pages(spark, sf_dir, landing, by_index=True)
     q = landing_stream(
@@ -785,5 +785,6 @@ def q_landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"landing stream failed: {q.exception()}")
-    out = read_tree(spark, opts.raw_path, RAW, opts.leading_partitions)
-    return out.select("index", *RAW.fieldNames())
+    return read_tree(spark, opts.raw_path, opts.raw_schema, opts.leading_partitions).select(
+        "index", *RAW.fieldNames()
+    )

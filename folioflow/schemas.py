@@ -121,6 +121,11 @@ AUDIT = StructType(
 )
 
 
+def with_index(schema: StructType) -> StructType:
+    """``index`` as a leading data column."""
+    return StructType([StructField("index", StringType())] + list(schema.fields))
+
+
 def with_partitions(schema: StructType, leading: tuple[str, ...] = ()) -> StructType:
     """``schema`` plus the partition columns (and optional leading ones such as ``index``)."""
     extra = [StructField(c, StringType()) for c in leading] + list(PARTITIONS.fields)

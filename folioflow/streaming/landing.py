@@ -67,7 +67,7 @@ def landing_stream(
             "extraction_timestamp": timestamp_literal(opts.run_timestamp),
         }
     )
-    raw = conform(clean_columns(rows, opts.number_mode), RAW, keep=("index",) if opts.partition_by_index else ())
+    raw = conform(clean_columns(rows, opts.number_mode), RAW, keep=("index",) if opts.keeps_index else ())
     raw = raw.withColumns(partition_columns(F.col("extraction_date")))
     cols = [*opts.leading_partitions, *PARTITION_COLUMNS]
     writer = (

@@ -79,7 +79,7 @@ def test_two_indices_partitioned_by_index(spark, scratch):
     for idx in ("IBOV", "SMLL"):
         lines = "\n".join(json.dumps(page_body(n, 3, recs)) for n, recs in three_pages())
         land(f"{root}/landing", f"index={idx}/pages.json", lines)
-    opts = _opts(root, all_pages=True, partition_by_index=True)
+    opts = _opts(root, all_pages=True, index_mode="partition")
     extract_job(spark, f"{root}/landing", opts, multi_line=False)
     transform_job(spark, opts)
     out = read_transformed_day(spark, opts, RUN.date())
@@ -89,6 +89,25 @@ def test_two_indices_partitioned_by_index(spark, scratch):
     }
 
 
+def test_two_indices_as_column(spark, scratch):
+    root = scratch("job")
+    for idx in ("IBOV", "SMLL"):
+        lines = "\n".join(json.dumps(page_body(n, 3, recs)) for n, recs in three_pages())
+        land(f"{root}/landing", f"index={idx}/pages.json", lines)
+    opts = _opts(root, all_pages=True, index_mode="column")
+    extract_job(spark, f"{root}/landing", opts, multi_line=False)
+    transform_job(spark, opts)
+    out = read_transformed_day(spark, opts, RUN.date())
+    assert out.columns[0] == "index"
+    assert {r["index"]: r.n for r in out.groupBy("index").count().withColumnRenamed("count", "n").collect()} == {
+        "IBOV": 67,
+        "SMLL": 67,
+    }
+    import os
+
+    assert not any(name.startswith("index=") for name in os.listdir(opts.raw_path))
+
+
 def test_backfill_range(spark, scratch):
     root = scratch("job")
     _land_three(f"{root}/landing")
