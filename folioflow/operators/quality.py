@@ -213,26 +213,57 @@ def check_unparsed(df: DataFrame, text_col: str, number_col: str) -> DataFrame:
     return n.select(*_check("unparsed_numbers", number_col, F.col("n"), F.col("n") == 0))
 
 
+def _stack_checks(row: DataFrame, checks: list[tuple[str, str | None, Column, Column]]) -> DataFrame:
+    """One metrics row → one check row per entry (a ``stack`` generator, no extra pass)."""
+    args = []
+    for name, column, value, passed in checks:
+        args += [F.lit(name), F.lit(column).cast("string"), value.cast("double"), passed.cast("boolean")]
+    return row.select(F.stack(F.lit(len(checks)), *args).alias("check", "column_name", "value", "passed"))
+
+
 def quality_report(
     raw: DataFrame,
     result: DataFrame,
     expected_date: dt.date | str | None,
     reconcile_tolerance: float = 0.01,
 ) -> DataFrame:
-    """Every check of a transform run, as ``(check, column_name, value, passed)`` rows."""
-    from folioflow.operators.reconcile import check_reconcile
+    """Every check of a transform run, as ``(check, column_name, value, passed)`` rows.
 
-    return union_all(
+    Three passes over the raw rows, whatever the number of checks: one
+    aggregation for all per-row metrics (NULLs, negatives, total, distinct
+    assets), one for duplicate codes, one for the reconciliation; plus one
+    aggregation over the (small) result.  The schema checks read no data.
+    """
+    from folioflow.operators.reconcile import reconcile
+
+    want = as_date(expected_date).isoformat()
+    raw_metrics = raw.agg(
+        F.count_if(F.col("cod").isNull()).alias("null_cod"),
+        F.count_if(F.col("asset").isNull()).alias("null_asset"),
+        F.count_if(F.col("part") < 0).alias("negative_part"),
+        F.coalesce(F.sum(exact("part")), F.lit(0)).cast("double").alias("total_part"),
+        F.count_distinct("asset").alias("distinct_asset"),
+    )
+    result_metrics = result.agg(
+        F.count(F.lit(1)).alias("result_rows"),
+        F.count_distinct("data").alias("dates"),
+        F.min("data").alias("first_date"),
+    )
+    mismatches = reconcile(raw, result, reconcile_tolerance).agg(F.count(F.lit(1)).alias("mismatches"))
+    merged = _merge_single_rows([raw_metrics, result_metrics, duplicate_count(raw, "cod"), mismatches])
+    c = F.col
+    checks = _stack_checks(
+        merged,
         [
-            check_not_empty(result),
-            check_columns_present(result),
-            check_columns_absent(result),
-            check_group_cardinality(raw, result),
-            check_reconcile(raw, result, reconcile_tolerance),
-            check_constant_date(result, expected_date),
-            check_nulls(raw),
-            check_duplicates(raw),
-            check_negatives(raw),
-            check_total(raw),
-        ]
+            ("not_empty", None, F.least(c("result_rows"), F.lit(1)), c("result_rows") > 0),
+            ("group_cardinality", "asset", c("result_rows"), c("result_rows") == c("distinct_asset")),
+            ("reconcile", "acao", c("mismatches"), c("mismatches") == 0),
+            ("constant_date", "data", c("dates"), (c("dates") == 1) & (c("first_date") == F.lit(want))),
+            ("no_nulls", "cod", c("null_cod"), c("null_cod") == 0),
+            ("no_nulls", "asset", c("null_asset"), c("null_asset") == 0),
+            ("no_duplicates", "cod", c("duplicates"), c("duplicates") == 0),
+            ("no_negatives", "part", c("negative_part"), c("negative_part") == 0),
+            ("total", "part", c("total_part"), F.lit(True)),
+        ],
     )
+    return union_all([checks, check_columns_present(result), check_columns_absent(result)])
