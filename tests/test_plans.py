@@ -55,7 +55,7 @@ def test_transform_reads_only_needed_columns_of_one_day(spark, scratch):
     read_schema = plan[plan.index("ReadSchema") :].split("\n")[0] if "ReadSchema" in plan else plan
     for unused in ("segment", "partAcum", "extraction_timestamp", "reductor"):
         assert unused not in read_schema, read_schema
-    assert result.count() == 1 + 667
+    assert result.count() == 1 + 1000
 
 
 def test_hot_asset_is_reduced_before_the_shuffle(spark):
