@@ -30,7 +30,12 @@ def portfolio_by_asset(
 ) -> DataFrame:
     """Group codes by asset: code count, summed participation, summed theoretical quantity.
 
-    * rows without an asset are dropped (not a NULL group);
+    * rows without an asset are dropped (not a NULL group): the NULL group
+      is removed *after* aggregating, by its zero ``count(asset)``.  A
+      filter on the key would be pushed by the optimizer down to the scan
+      (through any repartition), where the whole cleaning expression of
+      ``asset`` would run before the work is spread; a filter on an
+      aggregate value stays where it is;
     * ``qtd_codigo`` counts non-NULL codes, repeats included;
     * sums skip NULLs, and a group with nothing to sum gives 0;
     * sums run on exact decimals, so the totals do not depend on how rows
@@ -45,13 +50,20 @@ def portfolio_by_asset(
     require_columns(raw)
     day = as_date(run_date).isoformat()
     return (
-        raw.where(F.col("asset").isNotNull())
-        .groupBy(*by, "asset")
+        raw.groupBy(*by, "asset")
         .agg(
             F.count("cod").alias("qtd_codigo"),
             F.coalesce(F.sum(exact("part")), F.lit(0)).cast("double").alias("participacao"),
             F.round(F.coalesce(F.sum(exact("theoricalQty")), F.lit(0)), 0).cast("bigint").alias("qtd_teorica_total"),
+            F.count("asset").alias("_assets"),
+        )
+        .where(F.col("_assets") > 0)
+        .select(
+            *by,
+            F.col("asset").alias("acao"),
+            "qtd_codigo",
+            "participacao",
+            "qtd_teorica_total",
+            F.lit(day).alias("data"),
         )
-        .withColumnRenamed("asset", "acao")
-        .withColumn("data", F.lit(day))
     )

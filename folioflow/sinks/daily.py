@@ -45,6 +45,7 @@ def write_daily(
     leading: tuple[str, ...] = (),
     max_records_per_file: int = 5_000_000,
     raise_on_empty: bool = True,
+    drop_date_col: bool = False,
 ) -> WriteResult:
     """Write ``df`` under ``path/[index=..]/year=YYYY/month=MM/day=DD``.
 
@@ -62,6 +63,8 @@ def write_daily(
       protocol: only committed task output is moved into place.
     """
     staged = with_partition_columns(df, day, date_col)
+    if drop_date_col and isinstance(date_col, str):
+        staged = staged.drop(date_col)
     cols = [*leading, *PARTITION_COLUMNS]
     observation = Observation()
     staged = staged.hint("rebalance", *cols).observe(observation, F.count(F.lit(1)).alias("rows"))

@@ -1,6 +1,7 @@
 """Sources: landed response pages, request manifest, daily Parquet trees."""
 
 from folioflow.sources.daily import PartitionNotFound, read_day, read_days, read_tree
+from folioflow.sources.legacy import migrate_legacy_raw, read_legacy_tree, row_based_parquet_reader
 from folioflow.sources.manifest import request_manifest
 from folioflow.sources.pages import (
     consolidated_counts,
@@ -19,14 +20,17 @@ __all__ = [
     "consolidated_counts",
     "first_pages",
     "missing_first_pages",
+    "migrate_legacy_raw",
     "missing_pages",
     "normalise_pages",
     "parse_pages",
     "read_day",
+    "read_legacy_tree",
     "read_days",
     "read_pages",
     "read_tree",
     "request_manifest",
+    "row_based_parquet_reader",
     "select_pages",
     "usable",
 ]

@@ -99,3 +99,48 @@ def test_csv_roundtrip(spark, scratch):
     write_csv(df, path)
     back = read_csv(spark, path, df.schema)
     assert sorted(tuple(r) for r in back.collect()) == [("A, B", 1.25, 3), ("C", None, 4)]
+
+
+def _legacy_day(folder, day, null_segment, unit="ns"):
+    """A raw day as the earlier pandas pipeline wrote it (one file, NULL-typed all-NULL columns)."""
+    import pandas as pd
+
+    path = os.path.join(folder, f"year={day[:4]}", f"month={day[5:7]}", f"day={day[8:]}")
+    os.makedirs(path, exist_ok=True)
+    ts = pd.Series([dt.datetime(2025, 7, 25, 14, 32, 40, 123456)] * 2).astype(f"datetime64[{unit}]")
+    pd.DataFrame(
+        {
+            "segment": [None, None] if null_segment else ["N1", None],
+            "cod": ["ALOS3", "PETR4"],
+            "asset": ["ALLOS", "PETROBRAS"],
+            "type": ["ON  NM", "PN"],
+            "part": [0.49, 8.75],
+            "partAcum": [None, None],
+            "theoricalQty": [476976044.0, float("nan")],
+            "extraction_date": [dt.date(2025, 7, 25)] * 2,
+            "extraction_timestamp": ts,
+            "data_date": ["25/07/25"] * 2,
+            "total_theoretical_qty": ["1"] * 2,
+            "reductor": ["2"] * 2,
+        }
+    ).to_parquet(os.path.join(path, f"legacy_{day.replace('-', '')}.parquet"), index=False, engine="pyarrow")
+
+
+def test_migrate_legacy_tree(spark, scratch):
+    from folioflow.sources import migrate_legacy_raw
+
+    legacy = scratch("legacy")
+    _legacy_day(legacy, "2025-07-24", null_segment=True)
+    _legacy_day(legacy, "2025-07-25", null_segment=False, unit="us")
+    target = scratch("migrated")
+    res = migrate_legacy_raw(spark, legacy, target)
+    assert res.record_count == 4
+    rows = read_tree(spark, target).orderBy("day", "cod").collect()
+    assert [(r.day, r.cod, r.segment) for r in rows] == [
+        ("24", "ALOS3", None),
+        ("24", "PETR4", None),
+        ("25", "ALOS3", "N1"),
+        ("25", "PETR4", None),
+    ]
+    assert {r.extraction_timestamp for r in rows} == {dt.datetime(2025, 7, 25, 14, 32, 40, 123456)}
+    assert rows[1].theoricalQty is None  # NaN in pandas → NULL
