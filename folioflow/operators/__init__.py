@@ -1,7 +1,7 @@
 """DataFrame → DataFrame operators (chain them with ``DataFrame.transform``)."""
 
 from folioflow.operators.aggregate import MissingColumns, portfolio_by_asset, require_columns
-from folioflow.operators.clean import clean_columns, conform, to_raw
+from folioflow.operators.clean import clean_columns, conform, to_raw, unparsed_numbers
 from folioflow.operators.flatten import add_run_metadata, flatten_results, run_headers
 from folioflow.operators.present import ordered, top_rows
 from folioflow.operators.quality import (
@@ -64,4 +64,5 @@ __all__ = [
     "summary_stats",
     "to_raw",
     "top_rows",
+    "unparsed_numbers",
 ]

@@ -34,6 +34,23 @@ def clean_columns(
     return df.withColumns(exprs) if exprs else df
 
 
+def unparsed_numbers(rows: DataFrame, number_mode: str = "ptbr", numeric: tuple[str, ...] = NUMERIC_COLUMNS) -> DataFrame:
+    """Silent parse loss: per numeric column, rows whose text is there but parses to NULL.
+
+    Text that is empty or ``'None'`` after trimming counts as missing, not
+    as a failure.  One aggregation over the text rows, long form
+    ``(column_name, unparsed)``.
+    """
+    types = dict((f.name, f.dataType) for f in rows.schema.fields)
+    present = [c for c in numeric if c in types]
+    counts = []
+    for name in present:
+        text = clean_text(F.col(name), types[name])
+        failed = text.isNotNull() & (text != F.lit("")) & to_number(F.col(name), types[name], number_mode).isNull()
+        counts.append(F.count_if(failed).alias(name))
+    return rows.agg(*counts).unpivot([], present, "column_name", "unparsed")
+
+
 def conform(df: DataFrame, schema=RAW, keep: tuple[str, ...] = ()) -> DataFrame:
     """Project to ``schema`` in order; missing columns become typed NULLs."""
     present = set(df.columns)

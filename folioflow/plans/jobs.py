@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.dates import as_date, partition_date
 from folioflow.operators.aggregate import portfolio_by_asset
-from folioflow.operators.clean import to_raw
+from folioflow.operators.clean import to_raw, unparsed_numbers
+from folioflow.operators.flatten import flatten_results
 from folioflow.options import RAW_SOURCE, TRANSFORMED_SOURCE, JobOptions
 from folioflow.schemas import PARTITION_COLUMNS, PORTFOLIO, RAW
 from folioflow.sinks.audit import append_audit
@@ -36,6 +37,7 @@ class ExtractReport:
     missing_pages: DataFrame  # pages 2..totalPages that did not arrive (lazy)
     missing_first_pages: DataFrame  # indices with no page 1: their rows were not written (lazy)
     counts: DataFrame  # records and pages per index (lazy)
+    unparsed_numbers: DataFrame  # per numeric column, text that parsed to NULL (lazy)
 
 
 def extract_frame(pages: DataFrame, opts: JobOptions) -> DataFrame:
@@ -72,6 +74,7 @@ def extract_job(
         missing_pages=missing_pages(pages),
         missing_first_pages=missing_first_pages(pages),
         counts=consolidated_counts(pages, opts.all_pages),
+        unparsed_numbers=unparsed_numbers(flatten_results(select_pages(pages, opts.all_pages)), opts.number_mode),
     )
 
 

@@ -50,7 +50,7 @@ from folioflow.options import JobOptions
 from folioflow.plans import feeds
 from folioflow.plans.feeds import RUN_DATE, RUN_TIMESTAMP, cents, table
 from folioflow.plans.jobs import backfill_transform, extract_job, read_transformed_day, transform_job
-from folioflow.schemas import PARTITION_COLUMNS, RAW, with_partitions
+from folioflow.schemas import PARTITION_COLUMNS, PORTFOLIO, RAW
 from folioflow.session import scratch_path
 from folioflow.sinks.audit import read_audit
 from folioflow.sinks.catalog import publish_table
@@ -166,16 +166,10 @@ def q_portfolio_by_day_asset(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = clean_columns(feeds.events_feed(spark, sf_dir)).withColumn("extraction_date", F.col("event_date"))
     write_daily(conform(ev, RAW), opts.raw_path, date_col="extraction_date")
     backfill_transform(spark, opts, "1900-01-01", "2100-12-31")
-    out = read_tree(spark, opts.transformed_path, feeds_portfolio_schema())
+    out = read_tree(spark, opts.transformed_path, PORTFOLIO)
     return out.select(*PARTITION_COLUMNS, "acao", "qtd_codigo", "participacao", "qtd_teorica_total", "data")
 
 
-def feeds_portfolio_schema() -> StructType:
-    from folioflow.schemas import PORTFOLIO
-
-    return PORTFOLIO
-
-
 # ------------------------------------------------------------------ scalar parsing / cleaning
 
 

@@ -43,6 +43,15 @@ def test_extract_then_transform(spark, scratch):
     assert sorted(r.record_count for r in audit) == [67, 134]
 
 
+def test_extract_reports_unparsed_numbers(spark, scratch):
+    root = scratch("job")
+    recs = [record(1), record(2, part="n/d"), record(3, theoricalQty="None"), record(4, part="1,2,3")]
+    land(f"{root}/landing", "page-0001.json", page_body(1, 1, recs))
+    report = extract_job(spark, f"{root}/landing", _opts(root))
+    got = {r.column_name: r.unparsed for r in report.unparsed_numbers.collect()}
+    assert got == {"part": 2, "theoricalQty": 0}
+
+
 def test_first_page_only_by_default(spark, scratch):
     root = scratch("job")
     _land_three(f"{root}/landing")
@@ -142,3 +151,15 @@ def test_landing_stream_available_now(spark, scratch):
     q2 = landing_stream(spark, f"{root}/landing", opts, checkpoint=f"{root}/_ckpt")
     q2.awaitTermination()
     assert read_tree(spark, opts.raw_path).count() == 135
+
+
+def test_command_line(spark, scratch):
+    from folioflow.__main__ import main
+
+    root = scratch("cli")
+    _land_three(f"{root}/landing")
+    common = ["--root", root, "--run-timestamp", RUN.isoformat()]
+    out = main(["all", "--landing", f"{root}/landing", "--all-pages", *common])
+    assert (out["raw_records"], out["missing_pages"], out["portfolio_rows"]) == (134, 0, 67)
+    out = main(["backfill", "--start", "2025-07-01", "--end", "2025-07-31", *common])
+    assert out["portfolio_rows"] == 67
