@@ -53,13 +53,16 @@ def parse_number_ptbr(c: Column | str, dtype: DataType = NUMBER) -> Column:
     the three shapes, or does not fit ``dtype``, is NULL.
     """
     s = strip_non_numeric(c)
-    # grouped: drop the dots, then the comma becomes the decimal point
-    grouped = F.translate(F.translate(s, ".", ""), ",", ".")
+    # The comma form has no dot; the grouped and dot forms have one or more.
+    # A plain substring test picks the shape to try, so each value runs at
+    # most two patterns (grouped before dot: "976.044" fits both).
+    has_dot = s.contains(".")
+    grouped = F.translate(F.translate(s, ".", ""), ",", ".")  # drop the dots, comma → decimal point
     comma_decimal = F.translate(s, ",", ".")
     normalised = (
-        F.when(s.rlike(_GROUPED), grouped)
-        .when(s.rlike(_COMMA_DECIMAL), comma_decimal)
-        .when(s.rlike(_DOT_DECIMAL), s)
+        F.when(~has_dot & s.rlike(_COMMA_DECIMAL), comma_decimal)
+        .when(has_dot & s.rlike(_GROUPED), grouped)
+        .when(has_dot & s.rlike(_DOT_DECIMAL), s)
     )
     return normalised.try_cast(dtype)
 
