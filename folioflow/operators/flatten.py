@@ -26,7 +26,7 @@ def run_headers(pages: DataFrame) -> DataFrame:
     return (
         pages.where(F.col("page_number") == 1)
         .groupBy("index")
-        .agg(F.min("header").alias("run_header"))
+        .agg(F.min("header").alias("run_header"), F.max("total_pages").alias("run_total_pages"))
     )
 
 
@@ -35,8 +35,10 @@ def flatten_results(pages: DataFrame, header_from_first_page: bool = True) -> Da
 
     NULL or empty ``results`` give no rows; a record missing a key gives
     NULL in that column.  With ``header_from_first_page`` every row of an
-    index gets its page 1 header, and an index whose page 1 did not land
-    gives no rows (page 1 carries the page count and the header).
+    index gets its page 1 header, an index whose page 1 did not land gives
+    no rows (page 1 carries the page count and the header), and pages
+    numbered beyond page 1's ``totalPages`` are left out (they are never
+    requested).
 
     The per-index header frame is joined without a hint: adaptive
     execution measures it (one row per index) and broadcasts it only when
@@ -44,7 +46,11 @@ def flatten_results(pages: DataFrame, header_from_first_page: bool = True) -> Da
     sort-merge join whose skewed partitions it splits.
     """
     if header_from_first_page:
-        with_header = pages.join(run_headers(pages), "index", "inner").withColumn("header", F.col("run_header"))
+        with_header = (
+            pages.join(run_headers(pages), "index", "inner")
+            .where(F.col("page_number") <= F.greatest(F.col("run_total_pages"), F.lit(1)))
+            .withColumn("header", F.col("run_header"))
+        )
     else:
         with_header = pages
     header = [F.col(f"header.{src}").alias(dst) for dst, src in HEADER_COLUMNS.items()]

@@ -57,6 +57,14 @@ def test_missing_page_reported_and_rows_kept(spark, scratch):
     assert flatten_results(select_pages(pages, True)).count() == 84
 
 
+def test_pages_beyond_total_pages_are_left_out(spark, scratch):
+    folder = scratch("landing")
+    land(folder, "page-0001.json", page_body(1, 1, [record(1)]))  # says: one page
+    land(folder, "page-0002.json", page_body(2, 1, [record(2)]))  # never requested
+    pages = read_pages(spark, folder, index="IBOV")
+    assert [r.cod for r in flatten_results(select_pages(pages, True)).collect()] == ["C001"]
+
+
 def test_missing_first_page_gives_no_rows(spark, scratch):
     folder = scratch("landing")
     _land_three(folder, skip=(1,))
