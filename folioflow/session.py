@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,6 +68,3 @@ def local_path(uri: str) -> str:
         return uri[len("file:"):]
     return uri
 
-
-def is_local(uri: str) -> bool:
-    return uri.startswith("file:") or uri.startswith(os.sep)

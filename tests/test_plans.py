@@ -98,3 +98,28 @@ def test_no_python_udfs_in_registered_plans(spark):
     for name in ("portfolio_by_asset", "clean_table", "quality_report", "reconcile", "flatten_pages"):
         plan = _plan(entry.queries()[name](spark, "/root/testdata/sf0.001"))
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_hot_day_is_written_by_several_tasks(spark, scratch):
+    """A day holding most rows is split by the rebalance, not written by one task."""
+    import os
+
+    root = scratch("hot-day")
+    df = spark.range(0, 200_000, 1, 8).select(
+        F.col("id"),
+        F.when(F.col("id") % 10 < 8, F.lit(dt.date(2025, 7, 25)))
+        .otherwise(F.date_add(F.lit(dt.date(2025, 7, 1)), (F.col("id") % 20).cast("int")))
+        .alias("d"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "512KB")
+    try:
+        res = write_daily(df, root, date_col="d")
+    finally:
+        spark.conf.set(key, before)
+    assert res.record_count == 200_000
+    hot = os.path.join(root, "year=2025", "month=07", "day=25")
+    files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
+    assert len(files) > 1, files
