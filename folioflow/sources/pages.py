@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from folioflow.schemas import CORRUPT_COLUMN, PAGE_WITH_CORRUPT
 
@@ -42,10 +43,13 @@ def read_pages(
     no results.  ``index`` comes from an ``index=`` directory level when the
     landing layout has one, else from the ``index`` argument.
     """
-    reader = spark.read.schema(PAGE_WITH_CORRUPT).options(**_JSON_OPTIONS).option("multiLine", multi_line)
+    # ``index`` is declared as text so a discovered ``index=007`` directory keeps
+    # its zeros (an inferred partition type would make it the integer 7).
+    schema = StructType(PAGE_WITH_CORRUPT.fields + [StructField("index", StringType())])
+    reader = spark.read.schema(schema).options(**_JSON_OPTIONS).option("multiLine", multi_line)
     df = reader.json(path)
     df = df.withColumn("_source_file", F.col("_metadata.file_name"))
-    index_col = F.col("index") if "index" in df.columns else F.lit(index)
+    index_col = F.coalesce(F.col("index"), F.lit(index).cast("string"))
     return normalise_pages(df, index_col=index_col, file_col=F.col("_source_file"))
 
 

@@ -140,12 +140,12 @@ def test_json_lines_and_index_directories(spark, scratch):
     import json
 
     folder = scratch("landing")
-    for idx in ("IBOV", "SMLL"):
+    for idx in ("IBOV", "SMLL", "007"):
         lines = "\n".join(json.dumps(page_body(n, 3, recs)) for n, recs in three_pages())
         land(folder, f"index={idx}/part-0.json", lines)
     pages = read_pages(spark, folder, multi_line=False)
     counts = {r["index"]: r.total_records for r in consolidated_counts(pages).collect()}
-    assert counts == {"IBOV": 134, "SMLL": 134}
+    assert counts == {"IBOV": 134, "SMLL": 134, "007": 134}
 
 
 def test_parse_pages_from_text_column(spark):
