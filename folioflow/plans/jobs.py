@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,9 +66,15 @@ def extract_job(
     is raised and the day's previous data is left in place.
     """
     pages = read_pages(spark, landing, multi_line=multi_line, index=opts.index)
-    raw = extract_frame(pages, opts)
     day = as_date(partition_day) if partition_day is not None else opts.run_date
-    result = write_daily(raw, opts.raw_path, day, leading=opts.leading_partitions)
+    # Both sides of the page-1 header join read the pages; keep the parsed
+    # pages on local disk for this write so the JSON is tokenized once.
+    # Lost blocks are recomputed from the landed files.
+    parsed = pages.persist(StorageLevel.DISK_ONLY)
+    try:
+        result = write_daily(extract_frame(parsed, opts), opts.raw_path, day, leading=opts.leading_partitions)
+    finally:
+        parsed.unpersist()
     append_audit(spark, opts.audit_path, result, RAW_SOURCE, opts.run_timestamp)
     return ExtractReport(
         write=result,
