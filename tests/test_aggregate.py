@@ -1,4 +1,4 @@
-"""Portfolio aggregation: the reference's six-row fixture (F1) and grouping cases."""
+"""Portfolio aggregation: the six-row golden fixture (F1) and grouping cases."""
 
 from __future__ import annotations
 
@@ -59,8 +59,8 @@ def test_schema_and_totals(f1_result):
     assert abs(tot[0] - 22.75) < 1e-9 and tot[1] == 6313576
 
 
-def test_reference_validations(f1, f1_result):
-    """The reference's validate_transformations, as distributed checks."""
+def test_original_validations(f1, f1_result):
+    """The original transform validations (Q1–Q6), as distributed checks."""
     checks = (
         check_not_empty(f1_result)
         .unionByName(check_columns_present(f1_result))
