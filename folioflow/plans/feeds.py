@@ -118,7 +118,11 @@ def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_pages(
-    spark: SparkSession, sf_dir: str, page_size: int = CONVERSATION_PAGE_SIZE, drop_some: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    page_size: int = CONVERSATION_PAGE_SIZE,
+    drop_some: bool = False,
+    index_in_body: bool = False,
 ) -> DataFrame:
     """Response bodies (JSON text) built from conversations: one index per
     conversation, one page per ``page_size`` consecutive turns.
@@ -132,7 +136,9 @@ def conversation_pages(
     role, type = first two letters of the role upper-cased + ``'  NM'``,
     part = length/100 with a decimal comma, theoricalQty = length × 1000
     dot-grouped.  Header: date = 2024-01-01 + (page - 1) days, so only page
-    1's header is right for the whole index.
+    1's header is right for the whole index.  ``index_in_body`` writes the
+    index next to the response fields, as a fetcher landing one line per
+    response would.
     """
     conv = table(spark, sf_dir, "conversations")
     turns = conv.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"))
@@ -162,7 +168,9 @@ def conversation_pages(
         pages = pages.where(~((F.col("slot") > 0) & (F.col("recs")[0]["_role"] == "user")))
     page_number = F.col("slot") + 1
     total_pages = F.ceil(F.col("n_turns") / page_size).cast("bigint")
+    index = F.col("conv_id").cast("string")
     body = F.struct(
+        *([index.alias("index")] if index_in_body else []),
         F.struct(
             page_number.alias("pageNumber"),
             F.lit(page_size).cast("bigint").alias("pageSize"),
@@ -179,7 +187,7 @@ def conversation_pages(
             lambda r: F.struct(*[r[f.name].alias(f.name) for f in PAGE["results"].dataType.elementType.fields]),
         ).alias("results"),
     )
-    return pages.select(F.col("conv_id").cast("string").alias("index"), F.to_json(body).alias("body"))
+    return pages.select(index.alias("index"), F.to_json(body).alias("body"))
 
 
 def orders_daily(spark: SparkSession, sf_dir: str) -> DataFrame:

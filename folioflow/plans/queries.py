@@ -712,13 +712,10 @@ _RAW_FROM_CONV_SQL = """
   CAST(n AS VARCHAR) || ',0' AS reductor"""
 
 
-def _land_pages(spark: SparkSession, sf_dir: str, landing: str, by_index: bool) -> None:
-    """Write response bodies as JSON Lines files (one response per line)."""
-    bodies = feeds.conversation_pages(spark, sf_dir)
-    if by_index:
-        bodies.select("index", F.col("body").alias("value")).write.mode("overwrite").partitionBy("index").text(landing)
-    else:
-        bodies.select(F.col("body").alias("value")).write.mode("overwrite").text(landing)
+def _land_pages(spark: SparkSession, sf_dir: str, landing: str) -> None:
+    """Land the responses as JSON Lines, one response per line with its index beside it."""
+    bodies = feeds.conversation_pages(spark, sf_dir, index_in_body=True)
+    bodies.select(F.col("body").alias("value")).write.mode("overwrite").text(landing)
 
 
 def _conversation_job_options(spark: SparkSession) -> JobOptions:
@@ -739,7 +736,7 @@ def q_extract_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1 end to end: landed JSON pages → raw daily partition (per index) → read back."""
     opts = _conversation_job_options(spark)
     landing = f"{opts.root}/landing"
-    _land_pages(spark, sf_dir, landing, by_index=True)
+    _land_pages(spark, sf_dir, landing)
     extract_job(spark, landing, opts, multi_line=False)
     return read_tree(spark, opts.raw_path, opts.raw_schema, opts.leading_partitions)
 
@@ -758,7 +755,7 @@ def q_transform_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extract then transform the run date (per index), read the transformed partition back."""
     opts = _conversation_job_options(spark)
     landing = f"{opts.root}/landing"
-    _land_pages(spark, sf_dir, landing, by_index=True)
+    _land_pages(spark, sf_dir, landing)
     extract_job(spark, landing, opts, multi_line=False)
     transform_job(spark, opts)
     return read_transformed_day(spark, opts, RUN_DATE)
@@ -772,10 +769,8 @@ def q_landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The extract on a file stream (availableNow): each page with its own header."""
     opts = JobOptions(root=scratch_path(spark, "stream"), run_timestamp=RUN_TIMESTAMP, index_mode="column")
     landing = f"{opts.root}/landing"
-    _land_pages(spark, sf_dir, landing, by_index=True)
-    q = landing_stream(
-        spark, landing, opts, multi_line=False, index_from_path=True, checkpoint=f"{opts.root}/_checkpoint"
-    )
+    _land_pages(spark, sf_dir, landing)
+    q = landing_stream(spark, landing, opts, multi_line=False, checkpoint=f"{opts.root}/_checkpoint")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"landing stream failed: {q.exception()}")

@@ -40,8 +40,9 @@ def read_pages(
     Lines, one response per line, split like any text file.
 
     A file that is not JSON becomes a row with ``corrupt_record`` set and
-    no results.  ``index`` comes from an ``index=`` directory level when the
-    landing layout has one, else from the ``index`` argument.
+    no results.  The response body does not name its index; it comes from
+    an ``index=`` directory level, or an ``index`` field landed beside the
+    response fields, else from the ``index`` argument.
     """
     # ``index`` is declared as text so a discovered ``index=007`` directory keeps
     # its zeros (an inferred partition type would make it the integer 7).

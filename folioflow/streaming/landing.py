@@ -35,19 +35,16 @@ def landing_stream(
     output: str | None = None,
     checkpoint: str | None = None,
     multi_line: bool = True,
-    index_from_path: bool = False,
     available_now: bool = True,
     max_files_per_trigger: int = 1000,
 ) -> StreamingQuery:
     """Start the ingest; returns the running query (``awaitTermination()`` to wait).
 
-    ``index_from_path``: the landing has an ``index=<name>`` directory level
-    (the response body does not name its index); the file source fills the
-    column from the path.
+    The index comes, as in the batch reader, from an ``index=<name>``
+    directory level or an ``index`` field landed beside the response,
+    else from ``opts.index``.
     """
-    schema = PAGE_WITH_CORRUPT
-    if index_from_path:
-        schema = StructType(schema.fields + [StructField("index", StringType())])
+    schema = StructType(PAGE_WITH_CORRUPT.fields + [StructField("index", StringType())])
     stream = (
         spark.readStream.schema(schema)
         .option("mode", "PERMISSIVE")
@@ -58,7 +55,7 @@ def landing_stream(
     )
     pages = normalise_pages(
         stream.withColumn("_source_file", F.col("_metadata.file_name")),
-        index_col=F.col("index") if index_from_path else F.lit(opts.index),
+        index_col=F.coalesce(F.col("index"), F.lit(opts.index)),
         file_col=F.col("_source_file"),
     )
     rows = flatten_results(usable(pages), header_from_first_page=False).withColumns(

@@ -163,3 +163,17 @@ def test_command_line(spark, scratch):
     assert (out["raw_records"], out["missing_pages"], out["portfolio_rows"]) == (134, 0, 67)
     out = main(["backfill", "--start", "2025-07-01", "--end", "2025-07-31", *common])
     assert out["portfolio_rows"] == 67
+
+
+def test_landing_stream_index_from_directories(spark, scratch):
+    root = scratch("stream")
+    for idx in ("IBOV", "007"):
+        for n, recs in three_pages():
+            land(f"{root}/landing/index={idx}", f"page-{n:04d}.json", page_body(n, 3, recs))
+    opts = _opts(root, index_mode="column")
+    q = landing_stream(spark, f"{root}/landing", opts, checkpoint=f"{root}/_ckpt")
+    q.awaitTermination()
+    assert q.exception() is None
+    got = {r["index"]: r.n for r in read_tree(spark, opts.raw_path, opts.raw_schema).groupBy("index").count()
+           .withColumnRenamed("count", "n").collect()}
+    assert got == {"IBOV": 134, "007": 134}

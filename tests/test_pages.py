@@ -168,3 +168,18 @@ def test_request_manifest(spark):
         "eyJwYWdlTnVtYmVyIjoxLCJwYWdlU2l6ZSI6MTIwMCwibGFuZ3VhZ2UiOiJwdC1iciIsImluZGV4IjoiSUJPViJ9"
     )
     assert rows[1].params_json == '{"pageNumber":2,"pageSize":1200,"language":"pt-br","index":"IBOV"}'
+
+
+def test_index_field_beside_the_response(spark, scratch):
+    import json
+
+    folder = scratch("landing")
+    lines = []
+    for idx in ("IBOV", "SMLL"):
+        for n, recs in three_pages():
+            lines.append(json.dumps({"index": idx, **page_body(n, 3, recs)}))
+    land(folder, "responses.jsonl", "\n".join(lines))
+    pages = read_pages(spark, folder, multi_line=False, index="unused")
+    counts = {r["index"]: r.total_records for r in consolidated_counts(pages).collect()}
+    assert counts == {"IBOV": 134, "SMLL": 134}
+    assert missing_pages(pages).count() == 0
