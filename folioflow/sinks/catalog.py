@@ -30,9 +30,10 @@ def publish_table(
     database = table.rsplit(".", 1)[0] if "." in table else None
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"PARTITIONED BY ({', '.join(part_cols)}) LOCATION '{path}'"
+        f"PARTITIONED BY ({', '.join(part_cols)}) LOCATION '{location}'"
     )
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     return spark.table(table)

@@ -115,10 +115,12 @@ def missing_pages(pages: DataFrame) -> DataFrame:
     """Pages 2..totalPages (from page 1) that did not arrive usable.
 
     ``greatest(totalPages, 1)``: ``sequence`` counts down when stop < start.
-    The expected set has one row per page, not per record, and the anti
-    join is keyed on (index, page) so no single key is hot.
+    The page count is taken once per index (a page 1 landed twice does not
+    double the report); the expected set has one row per page, not per
+    record, and the anti join is keyed on (index, page) so no key is hot.
     """
-    expected = first_pages(pages).select(
+    announced = first_pages(pages).groupBy("index").agg(F.max("total_pages").alias("total_pages"))
+    expected = announced.select(
         "index",
         F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(F.col("total_pages"), F.lit(1).cast("long")))).alias(
             "page_number"

@@ -183,3 +183,11 @@ def test_index_field_beside_the_response(spark, scratch):
     counts = {r["index"]: r.total_records for r in consolidated_counts(pages).collect()}
     assert counts == {"IBOV": 134, "SMLL": 134}
     assert missing_pages(pages).count() == 0
+
+
+def test_duplicate_first_page_does_not_double_the_missing_report(spark, scratch):
+    folder = scratch("landing")
+    land(folder, "a/page-0001.json", page_body(1, 3, [record(1)]))
+    land(folder, "b/page-0001.json", page_body(1, 3, [record(1)]))
+    pages = read_pages(spark, f"{folder}/*/", index="IBOV")
+    assert sorted(r.page_number for r in missing_pages(pages).collect()) == [2, 3]
