@@ -2,6 +2,7 @@
 
 from folioflow.plans.jobs import (
     ExtractReport,
+    audit_rows,
     backfill_transform,
     extract_frame,
     extract_job,
@@ -14,6 +15,7 @@ from folioflow.plans.jobs import (
 
 __all__ = [
     "ExtractReport",
+    "audit_rows",
     "backfill_transform",
     "extract_frame",
     "extract_job",

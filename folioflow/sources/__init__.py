@@ -3,6 +3,7 @@
 from folioflow.sources.daily import PartitionNotFound, read_day, read_days, read_tree
 from folioflow.sources.legacy import migrate_legacy_raw, read_legacy_tree, row_based_parquet_reader
 from folioflow.sources.manifest import request_manifest
+from folioflow.sources.tables import read_table, spread
 from folioflow.sources.pages import (
     consolidated_counts,
     first_pages,
@@ -28,9 +29,11 @@ __all__ = [
     "read_legacy_tree",
     "read_days",
     "read_pages",
+    "read_table",
     "read_tree",
     "request_manifest",
     "row_based_parquet_reader",
     "select_pages",
+    "spread",
     "usable",
 ]
