@@ -44,7 +44,13 @@ def shared_dir(spark: SparkSession) -> str:
     Only when the session names none (local tests) is a folder created
     here; on a cluster the configured shared location is always used.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext on this side (e.g. Spark Connect)
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

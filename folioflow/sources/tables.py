@@ -14,10 +14,12 @@ def spread(df: DataFrame, min_splits: int | None = None) -> DataFrame:
     large inputs (one split per row group, thousands of them) are left
     as they are, so no shuffle is added where the scan is already parallel.
     """
-    target = min_splits or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_splits or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the plan as it is
         return df
-    return df.repartition(target)
+    return df if splits >= target else df.repartition(target)
 
 
 def read_table(spark: SparkSession, path: str, *, spread_input: bool = True) -> DataFrame:
