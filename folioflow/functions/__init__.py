@@ -13,7 +13,6 @@ from folioflow.functions.dates import (
     timestamp_literal,
 )
 from folioflow.functions.numbers import (
-    decimal_comma,
     exact,
     group_thousands,
     parse_number,
@@ -32,7 +31,6 @@ __all__ = [
     "clean_text",
     "compact_date_text",
     "date_literal",
-    "decimal_comma",
     "exact",
     "group_thousands",
     "iso_date_text",

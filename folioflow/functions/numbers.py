@@ -25,7 +25,8 @@ from folioflow.schemas import NUMBER
 # Characters that survive the first cleaning step (digits, comma, dot, minus).
 _NOT_NUMERIC_CHARS = r"[^0-9,.\-]"
 
-# pt-BR grammar on the stripped text, tried in this order.
+# pt-BR grammar on the stripped text: three shapes.  A value without a dot
+# can only be the comma form; with dots, grouped is tried before dot-decimal.
 _GROUPED = r"^-?[0-9]{1,3}(\.[0-9]{3})+(,[0-9]+)?$"  # 1.234.567,89 - dots group
 _COMMA_DECIMAL = r"^-?[0-9]+(,[0-9]+)?$"  # 1234,5 or 1234 - comma is the decimal mark
 _DOT_DECIMAL = r"^-?([0-9]+\.[0-9]*|\.[0-9]+)$"  # 12.5, 5., .5 - a lone dot is decimal
@@ -97,7 +98,3 @@ def group_thousands(c: Column | str) -> Column:
     """Integer → pt-BR grouped text: ``6842346`` → ``"6.842.346"``."""
     return F.translate(F.format_number(_col(c).cast("bigint"), 0), ",", ".")
 
-
-def decimal_comma(c: Column | str, digits: int) -> Column:
-    """Number → text with a decimal comma and no grouping: ``0.05`` → ``"0,05"``."""
-    return F.translate(F.format_string(f"%.{digits}f", _col(c)), ".", ",")
