@@ -170,6 +170,17 @@ def q_portfolio_by_day_asset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*PARTITION_COLUMNS, "acao", "qtd_codigo", "participacao", "qtd_teorica_total", "data")
 
 
+@register("portfolio_from_stored_raw", f"WITH {LINEITEM_F} {PORTFOLIO_SQL}")
+def q_portfolio_from_stored_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The production path on the largest table: the cleaned feed stored as a raw day,
+    then the transform job reads that day back (pruned scan) and writes the portfolio."""
+    opts = JobOptions(root=scratch_path(spark, "stored-raw"), run_timestamp=RUN_TIMESTAMP)
+    raw = add_run_metadata(_lineitem_raw(spark, sf_dir), RUN_TIMESTAMP)
+    write_daily(conform(raw, RAW), opts.raw_path, RUN_DATE)
+    transform_job(spark, opts)
+    return read_transformed_day(spark, opts, RUN_DATE).select(*PORTFOLIO.fieldNames())
+
+
 # ------------------------------------------------------------------ scalar parsing / cleaning
 
 
