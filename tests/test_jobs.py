@@ -177,3 +177,18 @@ def test_landing_stream_index_from_directories(spark, scratch):
     got = {r["index"]: r.n for r in read_tree(spark, opts.raw_path, opts.raw_schema).groupBy("index").count()
            .withColumnRenamed("count", "n").collect()}
     assert got == {"IBOV": 134, "007": 134}
+
+
+def test_backfill_per_index_column(spark, scratch):
+    root = scratch("job")
+    for idx in ("IBOV", "SMLL"):
+        lines = "\n".join(json.dumps({"index": idx, **page_body(n, 3, recs)}) for n, recs in three_pages())
+        land(f"{root}/landing", f"{idx}.jsonl", lines)
+    opts = _opts(root, all_pages=True, index_mode="column")
+    for day in ("2025-07-20", "2025-07-21"):
+        extract_job(spark, f"{root}/landing", opts, multi_line=False, partition_day=day)
+    res = backfill_transform(spark, opts, "2025-07-20", "2025-07-21")
+    assert res.record_count == 2 * 2 * 67
+    out = read_tree(spark, opts.transformed_path, opts.portfolio_schema)
+    got = {(r["index"], r.day): r.n for r in out.groupBy("index", "day").count().withColumnRenamed("count", "n").collect()}
+    assert got == {("IBOV", "20"): 67, ("IBOV", "21"): 67, ("SMLL", "20"): 67, ("SMLL", "21"): 67}

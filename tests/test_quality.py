@@ -74,3 +74,13 @@ def test_checks(spark):
 def test_unparsed(spark):
     df = spark.createDataFrame([("1,5", 1.5), ("x", None), (None, None)], "t string, v double")
     assert check_unparsed(df, "t", "v").first().value == 1.0
+
+
+def test_constant_date_check_fails_on_two_dates(spark):
+    from folioflow.operators import check_constant_date
+
+    df = spark.createDataFrame([("A", "2025-07-25"), ("B", "2025-07-24")], "acao string, data string")
+    row = check_constant_date(df, "2025-07-25").first()
+    assert (row.value, row.passed) == (2.0, False)
+    ok = check_constant_date(df.where("acao = 'A'"), "2025-07-25").first()
+    assert ok.passed
