@@ -144,3 +144,14 @@ def test_migrate_legacy_tree(spark, scratch):
     ]
     assert {r.extraction_timestamp for r in rows} == {dt.datetime(2025, 7, 25, 14, 32, 40, 123456)}
     assert rows[1].theoricalQty is None  # NaN in pandas → NULL
+
+
+def test_rewriting_a_day_from_itself_is_safe(spark, scratch):
+    """Dynamic overwrite stages the output, so a day rewritten from its own rows survives."""
+    root = scratch("raw")
+    write_daily(_raw(spark, "A", 5), root, "2024-01-15")
+    write_daily(_raw(spark, "B", 2), root, "2024-01-16")
+    day = read_day(spark, root, "2024-01-15")
+    write_daily(day.drop("year", "month", "day").withColumn("asset", F.lit("A2")), root, "2024-01-15")
+    assert [r.asset for r in read_day(spark, root, "2024-01-15").collect()] == ["A2"] * 5
+    assert read_day(spark, root, "2024-01-16").count() == 2
