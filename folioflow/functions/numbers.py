@@ -22,8 +22,10 @@ from pyspark.sql.types import DataType, NumericType, StringType
 
 from folioflow.schemas import NUMBER
 
-# Characters that survive the first cleaning step (digits, comma, dot, minus).
-_NOT_NUMERIC_CHARS = r"[^0-9,.\-]"
+# Fixed value (must equal the original cleaning): every character outside
+# this class is deleted before parsing.  In Java regular expressions \d is
+# the ASCII digits 0-9 and a trailing "-" in a class is literal.
+NON_NUMERIC_PATTERN = r"[^\d,.-]"
 
 # pt-BR grammar on the stripped text: three shapes.  A value without a dot
 # can only be the comma form; with dots, grouped is tried before dot-decimal.
@@ -38,7 +40,7 @@ def _col(c: Column | str) -> Column:
 
 def strip_non_numeric(c: Column | str) -> Column:
     """Remove everything except digits, ``,``, ``.`` and ``-`` (``"R$ 3,10"`` → ``"3,10"``)."""
-    return F.regexp_replace(_col(c).cast("string"), _NOT_NUMERIC_CHARS, "")
+    return F.regexp_replace(_col(c).cast("string"), NON_NUMERIC_PATTERN, "")
 
 
 def parse_number_compat(c: Column | str) -> Column:
