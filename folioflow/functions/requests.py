@@ -6,16 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed values (the API's request parameters, in this order): pageNumber,
+# pageSize, language, index.
+REQUEST_FIELDS = ("pageNumber", "pageSize", "language", "index")
+
+
 def request_json(page_number: Column, page_size: Column, language: Column, index: Column) -> Column:
     """Compact JSON of the request, fields in the API's order."""
-    return F.to_json(
-        F.struct(
-            page_number.cast("long").alias("pageNumber"),
-            page_size.cast("long").alias("pageSize"),
-            language.alias("language"),
-            index.alias("index"),
-        )
-    )
+    values = (page_number.cast("long"), page_size.cast("long"), language, index)
+    return F.to_json(F.struct(*[v.alias(name) for v, name in zip(values, REQUEST_FIELDS)]))
 
 
 def base64_text(c: Column) -> Column:
