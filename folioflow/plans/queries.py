@@ -744,7 +744,7 @@ def _conversation_job_options(spark: SparkSession) -> JobOptions:
     "'2025' AS year, '07' AS month, '25' AS day FROM c",
 )
 def q_extract_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G1 end to end: landed JSON pages → raw daily partition (per index) → read back."""
+    """G1 end to end: landed JSON pages → raw daily partition (index kept as a column) → read back."""
     opts = _conversation_job_options(spark)
     landing = f"{opts.root}/landing"
     _land_pages(spark, sf_dir, landing)
