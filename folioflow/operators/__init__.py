@@ -1,6 +1,12 @@
 """DataFrame → DataFrame operators (chain them with ``DataFrame.transform``)."""
 
-from folioflow.operators.aggregate import MissingColumns, portfolio_by_asset, require_columns
+from folioflow.operators.aggregate import (
+    MissingColumns,
+    asset_groups,
+    finish_portfolio,
+    portfolio_by_asset,
+    require_columns,
+)
 from folioflow.operators.clean import clean_columns, conform, to_raw, unparsed_numbers
 from folioflow.operators.flatten import add_run_metadata, flatten_results, run_headers
 from folioflow.operators.present import ordered, top_rows
@@ -27,12 +33,13 @@ from folioflow.operators.quality import (
     row_count,
     summary_stats,
 )
-from folioflow.operators.reconcile import check_reconcile, reconcile
+from folioflow.operators.reconcile import check_reconcile, reconcile, reconcile_with
 
 __all__ = [
     "CHECK_SCHEMA",
     "MissingColumns",
     "add_run_metadata",
+    "asset_groups",
     "check_columns_absent",
     "check_columns_present",
     "check_constant_date",
@@ -50,6 +57,7 @@ __all__ = [
     "distinct_values",
     "dtypes_report",
     "duplicate_count",
+    "finish_portfolio",
     "flatten_results",
     "negative_count",
     "negative_rows",
@@ -58,6 +66,7 @@ __all__ = [
     "portfolio_by_asset",
     "quality_report",
     "reconcile",
+    "reconcile_with",
     "require_columns",
     "row_count",
     "run_headers",

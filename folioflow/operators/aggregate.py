@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions.dates import as_date
@@ -23,6 +23,43 @@ def require_columns(df: DataFrame, required: tuple[str, ...] = REQUIRED_COLUMNS)
         raise MissingColumns(f"required columns not found: {missing}")
 
 
+def asset_groups(
+    raw: DataFrame,
+    by: tuple[str, ...] = (),
+    extra: dict[str, Column] | None = None,
+) -> DataFrame:
+    """The aggregation behind the portfolio: one row per (``by``, asset), NULL asset included.
+
+    ``extra`` adds more aggregates to the same pass (the quality report
+    derives its raw-side metrics from them).  The plan is a partial
+    HashAggregate per task, one exchange of at most (groups × tasks) rows,
+    and a final HashAggregate: a hot asset is reduced map-side, so skew on
+    the key does not reach the shuffle.
+    """
+    require_columns(raw)
+    aggs = [
+        F.count("cod").alias("qtd_codigo"),
+        F.coalesce(F.sum(exact("part")), F.lit(0)).cast("double").alias("participacao"),
+        F.round(F.coalesce(F.sum(exact("theoricalQty")), F.lit(0)), 0).cast("bigint").alias("qtd_teorica_total"),
+        F.count("asset").alias("_assets"),
+    ]
+    aggs += [c.alias(name) for name, c in (extra or {}).items()]
+    return raw.groupBy(*by, "asset").agg(*aggs)
+
+
+def finish_portfolio(groups: DataFrame, run_date: dt.date | str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Drop the NULL-asset group (zero ``count(asset)``), rename, add ``data``."""
+    day = as_date(run_date).isoformat()
+    return groups.where(F.col("_assets") > 0).select(
+        *by,
+        F.col("asset").alias("acao"),
+        "qtd_codigo",
+        "participacao",
+        "qtd_teorica_total",
+        F.lit(day).alias("data"),
+    )
+
+
 def portfolio_by_asset(
     raw: DataFrame,
     run_date: dt.date | str | None = None,
@@ -42,28 +79,5 @@ def portfolio_by_asset(
       are spread over tasks (re-runs and retries give identical output);
     * ``data`` is the run date as ``YYYY-MM-DD`` (one bound value);
     * ``by`` adds leading keys (e.g. the partition columns for a backfill).
-
-    The plan is a partial HashAggregate per task, one exchange of at most
-    (groups × tasks) rows, and a final HashAggregate: a hot asset is reduced
-    map-side, so skew on the key does not reach the shuffle.
     """
-    require_columns(raw)
-    day = as_date(run_date).isoformat()
-    return (
-        raw.groupBy(*by, "asset")
-        .agg(
-            F.count("cod").alias("qtd_codigo"),
-            F.coalesce(F.sum(exact("part")), F.lit(0)).cast("double").alias("participacao"),
-            F.round(F.coalesce(F.sum(exact("theoricalQty")), F.lit(0)), 0).cast("bigint").alias("qtd_teorica_total"),
-            F.count("asset").alias("_assets"),
-        )
-        .where(F.col("_assets") > 0)
-        .select(
-            *by,
-            F.col("asset").alias("acao"),
-            "qtd_codigo",
-            "participacao",
-            "qtd_teorica_total",
-            F.lit(day).alias("data"),
-        )
-    )
+    return finish_portfolio(asset_groups(raw, by), run_date, by)

@@ -229,27 +229,47 @@ def quality_report(
 ) -> DataFrame:
     """Every check of a transform run, as ``(check, column_name, value, passed)`` rows.
 
-    Three passes over the raw rows, whatever the number of checks: one
-    aggregation for all per-row metrics (NULLs, negatives, total, distinct
-    assets), one for duplicate codes, one for the reconciliation; plus one
-    aggregation over the (small) result.  The schema checks read no data.
+    Two passes over the raw rows, whatever the number of checks: one
+    aggregation per asset, run now and checkpointed (it recomputes the
+    portfolio for the reconciliation, and its groups are summed into the
+    per-row metrics: NULLs, negatives, total, distinct assets), and one for
+    duplicate codes; plus one aggregation over the (small) result.  The
+    schema checks read no data.
     """
-    from folioflow.operators.reconcile import reconcile
+    from folioflow.operators.aggregate import asset_groups, finish_portfolio
+    from folioflow.operators.reconcile import reconcile_with
+
+    from folioflow.session import shared_dir
 
     want = as_date(expected_date).isoformat()
-    raw_metrics = raw.agg(
-        F.count_if(F.col("cod").isNull()).alias("null_cod"),
-        F.count_if(F.col("asset").isNull()).alias("null_asset"),
-        F.count_if(F.col("part") < 0).alias("negative_part"),
-        F.coalesce(F.sum(exact("part")), F.lit(0)).cast("double").alias("total_part"),
-        F.count_distinct("asset").alias("distinct_asset"),
+    # The recomputed portfolio and the raw metrics both come from one
+    # per-asset aggregation.  Each consumer would otherwise get its own
+    # column-pruned copy of it, so it is checkpointed (one row per asset)
+    # into the shared checkpoint folder: the raw rows are aggregated once.
+    shared_dir(raw.sparkSession)
+    groups = asset_groups(
+        raw,
+        extra={
+            "_rows": F.count(F.lit(1)),
+            "_null_cod": F.count_if(F.col("cod").isNull()),
+            "_negative": F.count_if(F.col("part") < 0),
+            "_part_sum": F.sum(exact("part")),
+        },
+    ).checkpoint(eager=True)
+    raw_metrics = groups.agg(
+        F.coalesce(F.sum("_null_cod"), F.lit(0)).alias("null_cod"),
+        F.coalesce(F.sum(F.when(F.col("asset").isNull(), F.col("_rows"))), F.lit(0)).alias("null_asset"),
+        F.coalesce(F.sum("_negative"), F.lit(0)).alias("negative_part"),
+        F.coalesce(F.sum("_part_sum"), F.lit(0)).cast("double").alias("total_part"),
+        F.count_if(F.col("_assets") > 0).alias("distinct_asset"),
     )
     result_metrics = result.agg(
         F.count(F.lit(1)).alias("result_rows"),
         F.count_distinct("data").alias("dates"),
         F.min("data").alias("first_date"),
     )
-    mismatches = reconcile(raw, result, reconcile_tolerance).agg(F.count(F.lit(1)).alias("mismatches"))
+    expected = finish_portfolio(groups, expected_date)
+    mismatches = reconcile_with(expected, result, reconcile_tolerance).agg(F.count(F.lit(1)).alias("mismatches"))
     merged = _merge_single_rows([raw_metrics, result_metrics, duplicate_count(raw, "cod"), mismatches])
     c = F.col
     checks = _stack_checks(

@@ -16,7 +16,14 @@ def reconcile(source: DataFrame, result: DataFrame, tolerance: float = 0.01, by:
     Both sides have one row per (``by``, asset), so no join key is hot.
     An empty result means the table reconciles.
     """
-    expected = portfolio_by_asset(source, by=by).select(
+    return reconcile_with(portfolio_by_asset(source, by=by), result, tolerance, by)
+
+
+def reconcile_with(
+    expected_portfolio: DataFrame, result: DataFrame, tolerance: float = 0.01, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """:func:`reconcile` against an already recomputed portfolio."""
+    expected = expected_portfolio.select(
         *by,
         F.col("acao"),
         F.col("qtd_codigo").alias("expected_qtd_codigo"),
