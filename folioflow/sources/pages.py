@@ -35,9 +35,10 @@ def read_pages(
     """Read landed response bodies.
 
     ``multi_line=True``: one (possibly pretty-printed) JSON document per
-    file, one task per file.  A page holds at most the API page size
-    (1200 records), so a task is always small.  ``multi_line=False``: JSON
-    Lines, one response per line, split like any text file.
+    file; a file is never split, and small files are packed several to a
+    task.  A page holds at most the API page size (1200 records), so no
+    file is large.  ``multi_line=False``: JSON Lines, one response per
+    line, split like any text file.
 
     A file that is not JSON becomes a row with ``corrupt_record`` set and
     no results.  The response body does not name its index; it comes from
