@@ -163,6 +163,11 @@ def test_command_line(spark, scratch):
     assert (out["raw_records"], out["missing_pages"], out["portfolio_rows"]) == (134, 0, 67)
     out = main(["backfill", "--start", "2025-07-01", "--end", "2025-07-31", *common])
     assert out["portfolio_rows"] == 67
+    out = main(["transform", "--source-date", "2025-07-25", "--target-date", "2025-07-26", *common])
+    assert out["portfolio_rows"] == 67
+    table = "folioflow_cli.raw_" + root.rsplit("-", 1)[-1][:10]
+    out = main(["publish", "--table", table, *common])
+    assert out["rows"] == 134
 
 
 def test_landing_stream_index_from_directories(spark, scratch):
