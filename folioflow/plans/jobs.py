@@ -140,8 +140,18 @@ def run_all(spark: SparkSession, landing: str | list[str], opts: JobOptions, *,
 
 
 def publish(spark: SparkSession, opts: JobOptions, table: str = "portfolio.raw_daily") -> DataFrame:
-    """Register the raw tree as an external partitioned table."""
-    return publish_table(spark, table, opts.raw_path, opts.raw_schema, opts.leading_partitions)
+    """Register the raw tree as an external partitioned table.
+
+    A database that does not exist yet is created under the job root.
+    """
+    return publish_table(
+        spark,
+        table,
+        opts.raw_path,
+        opts.raw_schema,
+        opts.leading_partitions,
+        database_location=f"{opts.root.rstrip('/')}/_catalog",
+    )
 
 
 def read_transformed_day(spark: SparkSession, opts: JobOptions, day: dt.date | str | None = None) -> DataFrame:

@@ -532,7 +532,7 @@ def q_table_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "orders-table")
     _write_orders(spark, sf_dir, path)
     name = "folioflow_scratch.orders_" + path.rsplit("-", 1)[-1][:12]
-    t = publish_table(spark, name, path, ORDERS_DAILY)
+    t = publish_table(spark, name, path, ORDERS_DAILY, database_location=scratch_path(spark, "catalog"))
     return t.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
 
 

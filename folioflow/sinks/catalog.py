@@ -13,6 +13,11 @@ from pyspark.sql.types import StructType
 from folioflow.schemas import PARTITION_COLUMNS, RAW
 
 
+def _quote(text: str) -> str:
+    """Escape a path for a single-quoted SQL literal."""
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _ddl(schema: StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -23,14 +28,20 @@ def publish_table(
     path: str,
     schema: StructType = RAW,
     leading: tuple[str, ...] = (),
+    database_location: str | None = None,
 ) -> DataFrame:
-    """``CREATE TABLE IF NOT EXISTS .. USING parquet PARTITIONED BY .. LOCATION`` + partition recovery."""
+    """``CREATE TABLE IF NOT EXISTS .. USING parquet PARTITIONED BY .. LOCATION`` + partition recovery.
+
+    A missing database is created, at ``database_location`` when given
+    (else the warehouse default).
+    """
     part_cols = [*leading, *PARTITION_COLUMNS]
     columns = _ddl(schema) + ", " + ", ".join(f"`{c}` string" for c in part_cols)
     database = table.rsplit(".", 1)[0] if "." in table else None
     if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    location = path.replace("\\", "\\\\").replace("'", "\\'")
+        where = f" LOCATION '{_quote(database_location)}'" if database_location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
+    location = _quote(path)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
         f"PARTITIONED BY ({', '.join(part_cols)}) LOCATION '{location}'"

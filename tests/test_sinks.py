@@ -88,7 +88,8 @@ def test_publish_table(spark, scratch):
     root = scratch("tbl")
     write_daily(_raw(spark, "A", 2), root, "2024-01-15")
     write_daily(_raw(spark, "B", 3), root, "2024-01-16")
-    t = publish_table(spark, "folioflow_test.raw_daily_" + os.path.basename(root).replace("-", "_")[-12:], root)
+    name = "folioflow_test.raw_daily_" + os.path.basename(root).replace("-", "_")[-12:]
+    t = publish_table(spark, name, root, database_location=scratch("catalog"))
     assert t.where("day = '16'").count() == 3
     assert dict(t.dtypes)["month"] == "string"
 
