@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from folioflow.llm.html_text import extract_text
 from folioflow.llm.language import identify_language
+from folioflow.llm.personal_data import find_personal_data
 from folioflow.llm.prefix_hash import fingerprints
 from folioflow.llm.repetition import repetition_quality
 from folioflow.llm.secrets import find_secrets
@@ -23,6 +25,14 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(_table(spark, sf_dir, "documents"))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_table(spark, sf_dir, "documents"))
 
@@ -37,6 +47,8 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_personal_data": op2_personal_data,
+    "op5_html_text": op5_html_text,
     "op6_secrets": op6_secrets,
     "op8_quality": op8_quality,
     "op9_language": op9_language,
