@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folioflow.llm.html_text import extract_text
 from folioflow.llm.language import identify_language
+from folioflow.llm.packing import pack
 from folioflow.llm.personal_data import find_personal_data
 from folioflow.llm.prefix_hash import fingerprints
 from folioflow.llm.repetition import repetition_quality
 from folioflow.llm.secrets import find_secrets
+from folioflow.llm.sentence_pieces import encode_pieces
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +31,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(_table(spark, sf_dir, "pages"))
 
@@ -45,13 +51,19 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(_table(spark, sf_dir, "documents"))
 
 
+def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_pieces(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_personal_data": op2_personal_data,
+    "op3_packing": op3_packing,
     "op5_html_text": op5_html_text,
     "op6_secrets": op6_secrets,
     "op8_quality": op8_quality,
     "op9_language": op9_language,
+    "op10_sentence_pieces": op10_sentence_pieces,
 }
 
 ORACLE_SQL: dict[str, str] = {}
