@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from folioflow.llm.html_text import extract_text
+from folioflow.llm.jaccard_join import jaccard_components
 from folioflow.llm.language import identify_language
+from folioflow.llm.lm_difference import score_documents
 from folioflow.llm.packing import pack
 from folioflow.llm.personal_data import find_personal_data
 from folioflow.llm.prefix_hash import fingerprints
@@ -35,6 +37,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled as of good quality."""
+    good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return score_documents(_table(spark, sf_dir, "documents"), good)
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(_table(spark, sf_dir, "pages"))
 
@@ -43,6 +51,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_quality(_table(spark, sf_dir, "documents"))
 
@@ -59,8 +71,10 @@ QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_personal_data": op2_personal_data,
     "op3_packing": op3_packing,
+    "op4_lm_difference": op4_lm_difference,
     "op5_html_text": op5_html_text,
     "op6_secrets": op6_secrets,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_sentence_pieces": op10_sentence_pieces,
