@@ -9,10 +9,12 @@ word is given to the tokenizer.
 from __future__ import annotations
 
 import os
+import unicodedata
+from array import array
 
 import numpy as np
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 500_000  # words in each of the two generations of the cache
 TAIL = ".,!?;:*$%#&|)"
 
 
@@ -23,8 +25,20 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class WordTokenizer:
-    """``ids(text)``: the text's ids as little-endian unsigned 32-bit bytes."""
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, the rest from 256 up."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    letters = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
+    return [letters[b] for b in range(256)]
+
+
+class WordTokenizer(dict):
+    """Ids of words, as little-endian unsigned 32-bit bytes; a word that is not there yet is encoded.
+
+    When CACHE_WORDS words are held they become the older generation, whose
+    words come back when they are met again; the one before it is dropped.
+    """
 
     _open: dict[str, WordTokenizer] = {}
 
@@ -35,31 +49,41 @@ class WordTokenizer:
         return cls._open[path]
 
     def __init__(self, path: str) -> None:
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.letters = {i: c for i, c in enumerate(byte_letters())}
 
     def ids(self, text: str) -> bytes:
+        """The ids of a whole text."""
+        if len(self) > CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
         words = text.replace("\n", " ").split(" ")  # other white space is left to the tokenizer
-        found = list(map(self.cache.get, words))
-        if None in found:
-            if len(self.cache) > CACHE_WORDS:
-                self.cache.clear()
-            found = [self._new(w) if b is None else b for w, b in zip(words, found)]
-        return b"".join(found)
-
-    def _new(self, word: str) -> bytes:
-        got = self.cache.get(word)
-        if got is not None:
-            return got
-        core = word.rstrip(TAIL)
-        if core != word and core.isalnum():  # punctuation is a token of its own after a letter or digit
-            got = self._new(core) + self._new(word[len(core) :])
-        elif word.isascii() and word.isalpha():  # one piece for the model; only case is normalised
-            got = np.array([t.id for t in self.tokenizer.model.tokenize(word.lower())], dtype="<u4").tobytes()
-        else:
-            got = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        self.cache[word] = got
+        return b"".join(map(self.__getitem__, words))
+
+    def __missing__(self, word: str) -> bytes:
+        got = self.older.get(word)
+        if got is None:
+            got = self._encode(word)
+        self[word] = got
         return got
+
+    def _encode(self, word: str) -> bytes:
+        core = word.rstrip(TAIL)
+        if len(core) < len(word) and core.isalnum():  # punctuation is a token of its own after a letter or digit
+            return self[core] + self[word[len(core) :]]
+        if word.isalpha() and "\u03a3" not in word and unicodedata.is_normalized("NFC", word):
+            # letters alone are one piece for the model; only case is normalised
+            low = word.lower()
+            if low != word:
+                return self[low] if low.isalpha() else self._whole(word)
+            piece = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.letters)
+            return array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
+        return self._whole(word)
+
+    def _whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
