@@ -27,7 +27,6 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Iterable
 from itertools import chain
 
 import numpy as np
@@ -38,8 +37,10 @@ from folioflow.llm.batches import groups, map_columns, pick
 MARK = "▁"
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_000_003, 998_244_353)
-CACHE_SEGMENTS = 500_000
+CACHE_SEGMENTS = 500_000  # segments in each of the two generations of the cache
+SIEVE_BITS = 18  # hashes are looked up only if a bit table of this size has them
 CELLS = 500_000  # characters of equal-length segments that advance together
+PAIR_MIX = 2_654_435_761
 LONG = 64  # above this many characters a segment merges by a heap of its own
 
 
@@ -76,6 +77,54 @@ def _field(raw: bytes, wanted: int) -> list:
     return out
 
 
+class Ids:
+    """Ids of many segments, one after another, with the place of each."""
+
+    def __init__(self) -> None:
+        self.flat = np.zeros(0, dtype="<u4")
+        self.start = np.zeros(0, dtype=np.int64)
+        self.length = np.zeros(0, dtype=np.int64)
+
+    def add(self, raw: list[bytes]) -> None:
+        length = np.array([len(r) for r in raw], dtype=np.int64) // 4
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
+        self.length = np.concatenate([self.length, length])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(raw), dtype="<u4")])
+
+    def join(self, places: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The ids of texts, given the places of all their segments and where each text's end."""
+        length = self.length[places]
+        behind = np.cumsum(length)
+        at = np.arange(behind[-1] if len(behind) else 0) + np.repeat(self.start[places] - (behind - length), length)
+        raw = self.flat[at].tobytes()
+        stops = (np.concatenate([[0], behind])[ends] * 4).tolist()
+        return [raw[lo:hi] for lo, hi in zip([0, *stops], stops)]
+
+
+class Segments(dict):
+    """Numbers of the segments met so far, in order; a new one gets the next number and waits for its ids."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.names: list[str] = []
+        self.best: list[bytes] = []  # Viterbi ids
+        self.own: list[bytes] = []  # the file's own ids
+        self.best_ids, self.own_ids = Ids(), Ids()
+
+    def __missing__(self, segment: str) -> int:
+        self[segment] = n = len(self.names)
+        self.names.append(segment)
+        return n
+
+    def fill(self, pairs: list[tuple[bytes, bytes]]) -> None:
+        if pairs:
+            best, own = zip(*pairs)
+            self.best += best
+            self.own += own
+            self.best_ids.add(best)
+            self.own_ids.add(own)
+
+
 class PieceModel:
     """The pieces of a model file, and segments encoded so far."""
 
@@ -113,6 +162,9 @@ class PieceModel:
                 texts.append((piece, i))
                 self.bytes_of.append(piece.encode("utf-8"))
         self.byte_ids = byte_ids
+        self.byte_flat = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
+        self.byte_length = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
+        self.byte_start = np.cumsum(self.byte_length) - self.byte_length
         self.score = np.array([sp.get_score(i) for i in range(size)])
         if self.merges:
             self.price = -np.log(np.maximum(-self.score, 0.0) + 2.0)
@@ -127,12 +179,12 @@ class PieceModel:
         # signs that no piece has behind a letter: a word and the signs after it are encoded apart
         joined = {b for p, _ in texts for a, b in zip(p, p[1:]) if a.isalpha()}
         self.signs = "".join(c for c in ".,!?;:*$%&#|)" if c not in joined)
-        self.best: dict[str, bytes] = {}  # Viterbi ids of the segments met so far
-        self.own: dict[str, bytes] = {}  # the file's own ids
+        self.met = Segments()
+        self.older = Segments()
 
     def _index(self, texts: list[tuple[str, int]]) -> None:
         """Sorted hashes of the pieces of each length, and of the pairs that join to a piece."""
-        self.keys: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.keys: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         by_length: dict[int, list[tuple[str, int]]] = {}
         for piece, i in texts:
             by_length.setdefault(len(piece), []).append((piece, i))
@@ -140,7 +192,9 @@ class PieceModel:
             points = np.array([[ord(c) for c in p] for p, _ in members], dtype=np.int64)
             hashes = self._extend(points, length)[-1][:, 0]
             order = np.argsort(hashes)
-            self.keys[length] = (hashes[order], np.array([i for _, i in members], dtype=np.int64)[order])
+            sieve = np.zeros(1 << SIEVE_BITS, dtype=bool)
+            sieve[hashes & ((1 << SIEVE_BITS) - 1)] = True
+            self.keys[length] = (hashes[order], np.array([i for _, i in members], dtype=np.int64)[order], sieve)
         pairs: dict[int, int] = {}
         size = len(self.bytes_of)
         for piece, i in texts:
@@ -150,6 +204,8 @@ class PieceModel:
                     pairs[a * size + b] = i
         self.pair_keys = np.array(sorted(pairs), dtype=np.int64)
         self.pair_ids = np.array([pairs[k] for k in self.pair_keys.tolist()], dtype=np.int64)
+        self.pair_sieve = np.zeros(1 << (SIEVE_BITS + 2), dtype=bool)
+        self.pair_sieve[(self.pair_keys * PAIR_MIX >> 20) & (len(self.pair_sieve) - 1)] = True
 
     @staticmethod
     def _extend(points: np.ndarray, longest: int) -> list[np.ndarray]:
@@ -172,9 +228,13 @@ class PieceModel:
         """Piece ids of hashes, -1 where there is none."""
         if length not in self.keys:
             return np.full(hashes.shape, -1, dtype=np.int64)
-        keys, ids = self.keys[length]
-        at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-        return np.where(keys[at] == hashes, ids[at], -1)
+        keys, ids, sieve = self.keys[length]
+        out = np.full(hashes.shape, -1, dtype=np.int64)
+        likely = np.nonzero(sieve[hashes & (len(sieve) - 1)])
+        wanted = hashes[likely]
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        out[likely] = np.where(keys[at] == wanted, ids[at], -1)
+        return out
 
     # -- segments ------------------------------------------------------------
 
@@ -190,17 +250,27 @@ class PieceModel:
             return [s for s in whole.split("\x00") if s]
         return re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", lead + text.replace(" ", MARK))
 
-    def encode_segments(self, segments: Iterable[str]) -> None:
-        """Encode those segments that are not in the cache yet."""
-        new = set(segments).difference(self.best)
-        apart = {}
-        for s in new:
+    def encode_new(self) -> None:
+        """Encode the segments met since the last call."""
+        met, older = self.met, self.older
+        found: dict[str, tuple[bytes, bytes]] = {}
+        single: list[str] = []
+        apart: dict[str, tuple[str, str]] = {}
+        at = len(met.best)
+        while at < len(met.names):  # grows: a word and the signs after it are segments of their own
+            s = met.names[at]
+            at += 1
+            if s in older:
+                found[s] = (older.best[older[s]], older.own[older[s]])
+                continue
             word = s.rstrip(self.signs)
             if len(word) < len(s) and word and word[-1].isalpha():
                 apart[s] = (word, s[len(word) :])
-        single = new.difference(apart).union(*apart.values()).difference(self.best)
+                met[word], met[s[len(word) :]]
+            else:
+                single.append(s)
         by_length: dict[int, list[str]] = {}
-        for s in sorted(single):
+        for s in single:
             by_length.setdefault(len(s), []).append(s)
         for length, words in by_length.items():
             step = max(1, CELLS // length)
@@ -208,12 +278,12 @@ class PieceModel:
                 part = words[lo : lo + step]
                 points = np.frombuffer("".join(part).encode("utf-32-le"), dtype=np.uint32).astype(np.int64).reshape(len(part), length)
                 best = self.viterbi(points, part)
-                merged = (self.merge(points, part) if length <= LONG else [self._merge_long(w) for w in part]) if self.merges else best
-                self.best.update(zip(part, best))
-                self.own.update(zip(part, merged))
-        for s, (word, signs) in apart.items():
-            self.best[s] = self.best[word] + self.best[signs]
-            self.own[s] = self.own[word] + self.own[signs]
+                own = (self.merge(points, part) if length <= LONG else [self._merge_long(w) for w in part]) if self.merges else best
+                found.update(zip(part, zip(best, own)))
+        for s, pair in apart.items():
+            (a, b), (c, d) = ((found.get(x) or (met.best[met[x]], met.own[met[x]])) for x in pair)
+            found[s] = (a + c, b + d)
+        met.fill([found[s] for s in met.names[len(met.best) :]])
 
     def _bytes(self, word: str) -> list[int]:
         return self.byte_ids[np.frombuffer(word.encode("utf-8"), dtype=np.uint8)].tolist()
@@ -277,15 +347,11 @@ class PieceModel:
         starts = np.broadcast_to(np.arange(n), (m, n)).copy()
         out: list[bytes] = [b""] * m
         rows = np.arange(m)
-        size = len(self.bytes_of)
+        joined = self._joined(ids[:, :-1], ids[:, 1:])  # the piece that each pair makes
+        score = np.where(joined >= 0, self.score[joined], -np.inf)
         while True:
             width = ids.shape[1]
-            if width > 1 and len(self.pair_keys):
-                a, b = ids[:, :-1], ids[:, 1:]
-                key = np.where((a >= 0) & (b >= 0), a * size + b, -1)
-                at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-                joined = np.where(self.pair_keys[at] == key, self.pair_ids[at], -1)
-                score = np.where(joined >= 0, self.score[joined], -np.inf)
+            if width > 1:
                 pick_at = np.argmax(score, axis=1)  # the first of equals
                 live = np.isfinite(score[np.arange(len(ids)), pick_at])
             else:
@@ -296,13 +362,32 @@ class PieceModel:
                     out[k] = raw
             if not live.any():
                 return out
-            ids, starts, rows = ids[live], starts[live], rows[live]
-            pick_at, joined = pick_at[live], joined[live]
+            ids, starts, rows, joined, score, pick_at = (x[live] for x in (ids, starts, rows, joined, score, pick_at))
             every = np.arange(len(ids))
             ids[every, pick_at] = joined[every, pick_at]
             keep = np.arange(width)[None, :] != (pick_at + 1)[:, None]  # drop the right half of each pair
             ids = ids[keep].reshape(len(ids), width - 1)
             starts = starts[keep].reshape(len(starts), width - 1)
+            keep = np.arange(width - 1)[None, :] != pick_at[:, None]  # and the pair itself
+            joined = joined[keep].reshape(len(ids), width - 2)
+            score = score[keep].reshape(len(ids), width - 2)
+            for shift in (-1, 0):  # only the pairs beside the new piece have changed
+                at = pick_at + shift
+                some = np.flatnonzero((at >= 0) & (at < width - 2))
+                place = at[some]
+                piece = self._joined(ids[some, place], ids[some, place + 1])
+                joined[some, place] = piece
+                score[some, place] = np.where(piece >= 0, self.score[piece], -np.inf)
+
+    def _joined(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The piece that two neighbouring pieces join to, -1 where there is none."""
+        out = np.full(a.shape, -1, dtype=np.int64)
+        key = np.where((a >= 0) & (b >= 0), a * len(self.bytes_of) + b, 0)
+        likely = np.nonzero(self.pair_sieve[(key * PAIR_MIX >> 20) & (len(self.pair_sieve) - 1)])
+        wanted = key[likely]
+        at = np.minimum(np.searchsorted(self.pair_keys, wanted), len(self.pair_keys) - 1)
+        out[likely] = np.where(self.pair_keys[at] == wanted, self.pair_ids[at], -1)
+        return out
 
     def _merge_long(self, word: str) -> bytes:
         """Merge order of one long segment, by a heap of its pairs."""
@@ -341,17 +426,21 @@ class PieceModel:
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(Viterbi ids, the file's own ids) of each text, as unsigned 32-bit little-endian bytes."""
-        if len(self.best) > CACHE_SEGMENTS:
-            self.best.clear()
-            self.own.clear()
+        if len(self.met) > CACHE_SEGMENTS:
+            self.older, self.met = self.met, Segments()
         parts = [self.segments(t) for t in texts]
-        self.encode_segments(chain.from_iterable(parts))
-        return [(b"".join(map(self.best.__getitem__, p)), b"".join(map(self.own.__getitem__, p))) for p in parts]
+        places = np.array(list(map(self.met.__getitem__, chain.from_iterable(parts))), dtype=np.int64)
+        self.encode_new()
+        ends = np.cumsum([len(p) for p in parts])
+        return list(zip(*(ids.join(places, ends) for ids in (self.met.best_ids, self.met.own_ids))))
 
     def decode(self, ids: bytes) -> str:
         """The text of ids."""
-        raw = b"".join([self.bytes_of[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
-        text = raw.decode("utf-8", errors="replace").replace(MARK, " ")
+        places = np.frombuffer(ids, dtype="<u4")
+        length = self.byte_length[places]
+        behind = np.cumsum(length)
+        at = np.arange(behind[-1] if len(behind) else 0) + np.repeat(self.byte_start[places] - (behind - length), length)
+        text = self.byte_flat[at].tobytes().decode("utf-8", errors="replace").replace(MARK, " ")
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
