@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit folioflow/__main__.py <extract|transform|all|backfill|publish> --root URI ...``.
+"""Command line: ``spark-submit folioflow/__main__.py <manifest|extract|transform|all|backfill|publish> --root URI ...``.
 
 Each command runs one job and prints one JSON line with the counts the
 driver saw (the data never leaves the cluster).
@@ -16,13 +16,13 @@ if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from folioflow.options import DEFAULT_INDEX, DEFAULT_LANGUAGE, DEFAULT_PAGE_SIZE, INDEX_MODES, NUMBER_MODES, JobOptions
-from folioflow.plans import backfill_transform, extract_job, publish, transform_job
+from folioflow.plans import backfill_transform, extract_job, publish, run_all, transform_job, write_manifest
 from folioflow.session import build_session
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="folioflow", description=__doc__)
-    p.add_argument("command", choices=["extract", "transform", "all", "backfill", "publish"])
+    p.add_argument("command", choices=["manifest", "extract", "transform", "all", "backfill", "publish"])
     p.add_argument("--root", required=True, help="output root URI (file:/..., s3a://bucket/prefix, hdfs://...)")
     p.add_argument("--landing", help="landed response pages (extract, all)")
     p.add_argument("--json-lines", action="store_true", help="landing holds JSON Lines, not one document per file")
@@ -30,13 +30,15 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--index", default=DEFAULT_INDEX)
     p.add_argument("--language", default=DEFAULT_LANGUAGE)
     p.add_argument("--page-size", type=int, default=DEFAULT_PAGE_SIZE)
-    p.add_argument("--number-mode", choices=NUMBER_MODES, default="ptbr")
+    p.add_argument("--number-mode", choices=NUMBER_MODES, default="auto")
     p.add_argument("--index-mode", choices=INDEX_MODES, default="none")
-    p.add_argument("--day", help="raw partition day for extract (default: run date)")
+    p.add_argument("--day", help="day that extract writes, and all extracts and transforms (default: run date)")
+    p.add_argument("--base-url", help="request endpoint of the manifest")
+    p.add_argument("--total-pages", type=int, default=1, help="pages in the manifest")
     p.add_argument("--source-date", help="raw day read by transform (default: run date)")
     p.add_argument("--target-date", help="portfolio day written by transform (default: run date)")
-    p.add_argument("--start", help="first day of a backfill")
-    p.add_argument("--end", help="last day of a backfill")
+    p.add_argument("--start", help="first day of a backfill (default: the first there is)")
+    p.add_argument("--end", help="last day of a backfill (default: the last there is)")
     p.add_argument("--table", default="portfolio.raw_daily", help="catalog table for publish")
     p.add_argument("--run-timestamp", help="ISO timestamp to bind as the run clock (default: now)")
     return p
@@ -60,15 +62,21 @@ def main(argv: list[str] | None = None) -> dict:
     if args.command in ("extract", "all"):
         if not args.landing:
             raise SystemExit("--landing is required for extract")
-        report = extract_job(spark, args.landing, opts, multi_line=not args.json_lines, partition_day=args.day)
+        if args.command == "all":
+            report, written = run_all(spark, args.landing, opts, multi_line=not args.json_lines, day=args.day)
+            out["portfolio_rows"] = written.record_count
+        else:
+            report = extract_job(spark, args.landing, opts, multi_line=not args.json_lines, partition_day=args.day)
         out["raw_records"] = report.write.record_count
-        out["missing_pages"] = report.missing_pages.count()
-    if args.command in ("transform", "all"):
+        out |= report.losses()
+    if args.command == "manifest":
+        if not args.base_url:
+            raise SystemExit("--base-url is required for manifest")
+        out["path"], out["requests"] = write_manifest(spark, opts, args.base_url, args.total_pages)
+    if args.command == "transform":
         written = transform_job(spark, opts, args.source_date, args.target_date)
         out["portfolio_rows"] = written.record_count
     if args.command == "backfill":
-        if not (args.start and args.end):
-            raise SystemExit("--start and --end are required for backfill")
         out["portfolio_rows"] = backfill_transform(spark, opts, args.start, args.end).record_count
     if args.command == "publish":
         out["table"] = args.table

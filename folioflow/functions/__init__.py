@@ -13,12 +13,16 @@ from folioflow.functions.dates import (
     timestamp_literal,
 )
 from folioflow.functions.numbers import (
-    exact,
+    add_sums,
     group_thousands,
     parse_number,
     parse_number_compat,
+    parse_number_enus,
     parse_number_ptbr,
     strip_non_numeric,
+    sum_double,
+    sum_long,
+    sums,
     to_number,
 )
 from folioflow.functions.requests import base64_text, request_json, request_token, request_url
@@ -26,16 +30,17 @@ from folioflow.functions.text import WHITESPACE, clean_text, strip_text
 
 __all__ = [
     "WHITESPACE",
+    "add_sums",
     "as_date",
     "base64_text",
     "clean_text",
     "compact_date_text",
     "date_literal",
-    "exact",
     "group_thousands",
     "iso_date_text",
     "parse_number",
     "parse_number_compat",
+    "parse_number_enus",
     "parse_number_ptbr",
     "partition_columns",
     "partition_date",
@@ -47,6 +52,9 @@ __all__ = [
     "request_url",
     "strip_non_numeric",
     "strip_text",
+    "sum_double",
+    "sum_long",
+    "sums",
     "timestamp_literal",
     "to_number",
 ]

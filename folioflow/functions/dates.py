@@ -65,12 +65,20 @@ def partition_predicate(day: dt.date | str | None) -> Column:
     return cond
 
 
-def partition_range_predicate(start: dt.date | str, end: dt.date | str) -> Column:
-    """Days ``start..end`` inclusive, as a prunable predicate on the partition columns."""
-    lo = "".join(partition_values(start).values())
-    hi = "".join(partition_values(end).values())
+def partition_range_predicate(start: dt.date | str | None, end: dt.date | str | None) -> Column:
+    """Days ``start..end`` inclusive (None: no bound), as a prunable predicate on the partition columns.
+
+    The plain bounds on ``year`` alone are those that a metastore can use.
+    """
     key = F.concat(*[F.col(c) for c in PARTITION_COLUMNS])
-    return key.between(F.lit(lo), F.lit(hi))
+    out = F.lit(True)
+    if start is not None:
+        lo = partition_values(start)
+        out = out & (F.col("year") >= lo["year"]) & (key >= "".join(lo.values()))
+    if end is not None:
+        hi = partition_values(end)
+        out = out & (F.col("year") <= hi["year"]) & (key <= "".join(hi.values()))
+    return out
 
 
 def partition_date(prefix: str = "") -> Column:

@@ -32,6 +32,7 @@ from folioflow.operators.quality import (
     quality_report,
     row_count,
     summary_stats,
+    transformed_quality,
 )
 from folioflow.operators.reconcile import check_reconcile, reconcile, reconcile_with
 
@@ -71,6 +72,7 @@ __all__ = [
     "row_count",
     "run_headers",
     "summary_stats",
+    "transformed_quality",
     "to_raw",
     "top_rows",
     "unparsed_numbers",

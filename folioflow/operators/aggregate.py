@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions.dates import as_date
-from folioflow.functions.numbers import exact
+from folioflow.functions.numbers import sum_double, sum_long, sums
 from folioflow.schemas import REQUIRED_COLUMNS
 
 
@@ -39,8 +39,8 @@ def asset_groups(
     require_columns(raw)
     aggs = [
         F.count("cod").alias("qtd_codigo"),
-        F.coalesce(F.sum(exact("part")), F.lit(0)).cast("double").alias("participacao"),
-        F.round(F.coalesce(F.sum(exact("theoricalQty")), F.lit(0)), 0).cast("bigint").alias("qtd_teorica_total"),
+        sum_double(sums("part")).alias("participacao"),
+        sum_long(sums("theoricalQty")).alias("qtd_teorica_total"),
         F.count("asset").alias("_assets"),
     ]
     aggs += [c.alias(name) for name, c in (extra or {}).items()]
@@ -77,6 +77,8 @@ def portfolio_by_asset(
     * sums skip NULLs, and a group with nothing to sum gives 0;
     * sums run on exact decimals, so the totals do not depend on how rows
       are spread over tasks (re-runs and retries give identical output);
+      values that no decimal holds exactly are added as doubles, none is
+      rounded or dropped, and a quantity that no long holds raises;
     * ``data`` is the run date as ``YYYY-MM-DD`` (one bound value);
     * ``by`` adds leading keys (e.g. the partition columns for a backfill).
     """

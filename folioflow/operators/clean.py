@@ -66,9 +66,10 @@ def to_raw(
     run_timestamp: dt.datetime,
     number_mode: str = "ptbr",
     keep_index: bool = False,
+    header_from_first_page: bool = True,
 ) -> DataFrame:
     """Pages frame → raw rows: flatten, header, run metadata, clean, fixed schema."""
-    rows = flatten_results(pages)
+    rows = flatten_results(pages, header_from_first_page)
     rows = add_run_metadata(rows, run_timestamp)
     rows = clean_columns(rows, number_mode)
     return conform(rows, RAW, keep=("index",) if keep_index else ())

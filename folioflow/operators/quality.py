@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from folioflow.functions.dates import as_date
-from folioflow.functions.numbers import exact
+from folioflow.functions.numbers import add_sums, sum_double, sum_long, sums
 from folioflow.schemas import DROPPED_COLUMNS, PORTFOLIO
 
 CHECK_SCHEMA = StructType(
@@ -120,11 +120,11 @@ def summary_stats(
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.lit(len(df.columns)).cast("long").alias("column_count"),
-        F.round(F.sum(exact(value)) / F.count(v), 9).cast("double").alias("mean_value"),
+        F.when(F.count(v) > 0, F.round(sum_double(sums(value)) / F.count(v), 9)).alias("mean_value"),
         F.max(v).alias("max_value"),
         F.min_by(F.col(label), order_key).alias("argmax_label"),
-        F.coalesce(F.sum(exact(value)), F.lit(0)).cast("double").alias("total_value"),
-        F.round(F.coalesce(F.sum(exact(quantity)), F.lit(0)), 0).cast("bigint").alias("total_quantity"),
+        sum_double(sums(value)).alias("total_value"),
+        sum_long(sums(quantity)).alias("total_quantity"),
     ).withColumns(
         {
             "total_value_text": F.format_number(F.col("total_value"), 3),
@@ -136,6 +136,11 @@ def summary_stats(
 # ---------------------------------------------------------------- checks
 
 
+def _absent(df: DataFrame, name: str, column: str, passed: bool) -> DataFrame:
+    """The check row of a column that the frame does not have."""
+    return df.sparkSession.createDataFrame([(name, column, None, passed)], CHECK_SCHEMA)
+
+
 def check_not_empty(df: DataFrame, name: str = "not_empty") -> DataFrame:
     """Q1 (one-row probe: ``limit 1`` under an aggregate)."""
     n = df.limit(1).agg(F.count(F.lit(1)).alias("n"))
@@ -177,7 +182,12 @@ def check_constant_date(result: DataFrame, expected: dt.date | str | None, colum
 
 
 def check_nulls(df: DataFrame, columns: tuple[str, ...] = ("cod", "asset")) -> DataFrame:
-    """Q7: required columns have no NULLs."""
+    """Q7: required columns have no NULLs; one that is absent fails."""
+    absent = [c for c in columns if c not in df.columns]
+    if absent:
+        there = tuple(c for c in columns if c not in absent)
+        failed = [_absent(df, "no_nulls", c, False) for c in absent]
+        return union_all([check_nulls(df, there), *failed] if there else failed)
     return null_counts(df, list(columns)).select(
         F.lit("no_nulls").alias("check"),
         F.col("column_name"),
@@ -187,22 +197,31 @@ def check_nulls(df: DataFrame, columns: tuple[str, ...] = ("cod", "asset")) -> D
 
 
 def check_duplicates(df: DataFrame, column: str = "cod") -> DataFrame:
-    """Q8."""
+    """Q8; fails on a frame without the column."""
+    if column not in df.columns:
+        return _absent(df, "no_duplicates", column, False)
     return duplicate_count(df, column).select(
         *_check("no_duplicates", column, F.col("duplicates"), F.col("duplicates") == 0)
     )
 
 
 def check_negatives(df: DataFrame, column: str = "part") -> DataFrame:
-    """Q9."""
+    """Q9; nothing to check (passed, NULL value) on a frame without the optional column."""
+    if column not in df.columns:
+        return _absent(df, "no_negatives", column, True)
     return negative_count(df, column).select(
         *_check("no_negatives", column, F.col("negatives"), F.col("negatives") == 0)
     )
 
 
 def check_total(df: DataFrame, column: str = "part", target: float = 100.0, tolerance: float | None = None) -> DataFrame:
-    """Q10: the column's total; passes when within ``tolerance`` of ``target`` (always, if no tolerance)."""
-    total = df.agg(F.coalesce(F.sum(exact(column)), F.lit(0)).cast("double").alias("t"))
+    """Q10: the column's total; passes when within ``tolerance`` of ``target`` (always, if no tolerance).
+
+    Nothing to check (passed, NULL value) on a frame without the column.
+    """
+    if column not in df.columns:
+        return _absent(df, "total", column, True)
+    total = df.agg(sum_double(sums(column)).alias("t"))
     ok = F.lit(True) if tolerance is None else F.abs(F.col("t") - F.lit(target)) <= F.lit(tolerance)
     return total.select(*_check("total", column, F.col("t"), ok))
 
@@ -221,6 +240,19 @@ def _stack_checks(row: DataFrame, checks: list[tuple[str, str | None, Column, Co
     return row.select(F.stack(F.lit(len(checks)), *args).alias("check", "column_name", "value", "passed"))
 
 
+def transformed_quality(result: DataFrame) -> DataFrame:
+    """Checks of a stored portfolio: NULLs of every column, totals of both measures, in one aggregation."""
+    names = [c for c in PORTFOLIO.fieldNames() if c in result.columns]
+    sums_of = {"participacao": "_participacao", "qtd_teorica_total": "_qtd_teorica_total"}
+    row = result.agg(
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in names],
+        *[sum_double(sums(c)).alias(alias) for c, alias in sums_of.items() if c in names],
+    )
+    checks = [("no_nulls", c, F.col(f"null_{c}"), F.col(f"null_{c}") == 0) for c in names]
+    checks += [("total", c, F.col(alias), F.lit(True)) for c, alias in sums_of.items() if c in names]
+    return union_all([_stack_checks(row, checks), check_columns_present(result)])
+
+
 def quality_report(
     raw: DataFrame,
     result: DataFrame,
@@ -253,14 +285,14 @@ def quality_report(
             "_rows": F.count(F.lit(1)),
             "_null_cod": F.count_if(F.col("cod").isNull()),
             "_negative": F.count_if(F.col("part") < 0),
-            "_part_sum": F.sum(exact("part")),
+            "_part_sum": sums("part"),
         },
     ).checkpoint(eager=True)
     raw_metrics = groups.agg(
         F.coalesce(F.sum("_null_cod"), F.lit(0)).alias("null_cod"),
         F.coalesce(F.sum(F.when(F.col("asset").isNull(), F.col("_rows"))), F.lit(0)).alias("null_asset"),
         F.coalesce(F.sum("_negative"), F.lit(0)).alias("negative_part"),
-        F.coalesce(F.sum("_part_sum"), F.lit(0)).cast("double").alias("total_part"),
+        sum_double(add_sums("_part_sum")).alias("total_part"),
         F.count_if(F.col("_assets") > 0).alias("distinct_asset"),
     )
     result_metrics = result.agg(

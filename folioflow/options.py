@@ -18,7 +18,9 @@ TRANSFORMED_PREFIX = "portfolio-transformed"
 RAW_SOURCE = "portfolio-feed"
 TRANSFORMED_SOURCE = "portfolio-feed-transformed"
 
-NUMBER_MODES = ("ptbr", "compat")
+# "auto": by the language of the responses.
+NUMBER_MODES = ("auto", "ptbr", "enus", "compat")
+LANGUAGE_NUMBERS = {"pt": "ptbr", "en": "enus"}
 
 # Where the index name goes: nowhere (one index per root, as the original
 # layout), a data column (several indices per day, grouped per index), or
@@ -40,7 +42,7 @@ class JobOptions:
     index: str = DEFAULT_INDEX
     language: str = DEFAULT_LANGUAGE
     all_pages: bool = False
-    number_mode: str = "ptbr"
+    number_mode: str = "auto"
     run_timestamp: dt.datetime = field(default_factory=lambda: dt.datetime.now().replace(microsecond=0))
     raw_prefix: str = RAW_PREFIX
     transformed_prefix: str = TRANSFORMED_PREFIX
@@ -49,6 +51,11 @@ class JobOptions:
     def __post_init__(self) -> None:
         if self.number_mode not in NUMBER_MODES:
             raise ValueError(f"number_mode must be one of {NUMBER_MODES}, got {self.number_mode!r}")
+        if self.number_mode == "auto":
+            prefix = self.language.lower()[:2]
+            if prefix not in LANGUAGE_NUMBERS:
+                raise ValueError(f"no number grammar for language {self.language!r}; set number_mode")
+            object.__setattr__(self, "number_mode", LANGUAGE_NUMBERS[prefix])
         if self.index_mode not in INDEX_MODES:
             raise ValueError(f"index_mode must be one of {INDEX_MODES}, got {self.index_mode!r}")
         if not 1 <= int(self.page_size) <= MAX_PAGE_SIZE:

@@ -6,11 +6,13 @@ from folioflow.plans.jobs import (
     backfill_transform,
     extract_frame,
     extract_job,
+    extract_pages,
     publish,
     read_transformed_day,
     run_all,
     transform_frame,
     transform_job,
+    write_manifest,
 )
 
 __all__ = [
@@ -19,9 +21,11 @@ __all__ = [
     "backfill_transform",
     "extract_frame",
     "extract_job",
+    "extract_pages",
     "publish",
     "read_transformed_day",
     "run_all",
     "transform_frame",
     "transform_job",
+    "write_manifest",
 ]

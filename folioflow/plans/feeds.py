@@ -45,10 +45,23 @@ NBSP = " "
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A shared test table; spread over the cores when stored as one row group."""
+    """A shared test table."""
     return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def dealt_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A shared test table whose rows a feed rewrites at length.
+
+    The test tables are single files of one row group, which one task scans.
+    Such a scan (one split, so under one split's bytes) is dealt to all cores
+    as a step of its own; a table of several splits is left as it is.
+    """
+    df = table(spark, sf_dir, name)
+    if df.rdd.getNumPartitions() > 1:
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism)
+
+
 def _comma_cents(cents: Column) -> Column:
     """Integer cents → ``'1234,05'`` (exact, no float formatting)."""
     sign = F.when(cents < 0, F.lit("-")).otherwise(F.lit(""))
@@ -63,7 +76,7 @@ def cents(c: Column | str) -> Column:
 
 def lineitem_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed-looking text rows, one per lineitem (see module doc)."""
-    li = table(spark, sf_dir, "lineitem")
+    li = dealt_table(spark, sf_dir, "lineitem")
     ln, flag, status = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
     disc = _comma_cents(cents("l_discount"))
     asset = (
@@ -107,7 +120,7 @@ def lineitem_stale_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily feed from events: asset = event type, one day per event date."""
-    ev = table(spark, sf_dir, "events")
+    ev = dealt_table(spark, sf_dir, "events")
     return ev.select(
         F.concat(F.lit(" "), F.col("event_type")).alias("asset"),
         F.col("user_id").cast("string").alias("cod"),
@@ -140,7 +153,7 @@ def conversation_pages(
     index next to the response fields, as a fetcher landing one line per
     response would.
     """
-    conv = table(spark, sf_dir, "conversations")
+    conv = dealt_table(spark, sf_dir, "conversations")
     turns = conv.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"))
     length = F.length("text").cast("bigint")
     rows = conv.join(turns, "conv_id").select(

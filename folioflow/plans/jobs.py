@@ -9,7 +9,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,32 +18,51 @@ from folioflow.operators.clean import to_raw, unparsed_numbers
 from folioflow.operators.flatten import flatten_results
 from folioflow.options import RAW_SOURCE, TRANSFORMED_SOURCE, JobOptions
 from folioflow.schemas import PARTITION_COLUMNS, PORTFOLIO, RAW
+from folioflow.session import shared_dir
 from folioflow.sinks.audit import append_audit
 from folioflow.sinks.catalog import publish_table
 from folioflow.sinks.daily import WriteResult, write_daily
 from folioflow.sources.daily import read_day, read_days
+from folioflow.sources.manifest import request_manifest
 from folioflow.sources.pages import (
     consolidated_counts,
     missing_first_pages,
     missing_pages,
     read_pages,
     select_pages,
+    unnumbered_pages,
 )
 
 
 @dataclass(frozen=True)
 class ExtractReport:
     write: WriteResult
-    missing_pages: DataFrame  # pages 2..totalPages that did not arrive (lazy)
+    missing_pages: DataFrame  # pages 2..totalPages that did not arrive (lazy; empty when only page 1 is asked for)
     missing_first_pages: DataFrame  # indices with no page 1: their rows were not written (lazy)
+    unnumbered_pages: DataFrame  # pages without a page number: their rows were not written (lazy)
     counts: DataFrame  # records and pages per index (lazy)
     unparsed_numbers: DataFrame  # per numeric column, text that parsed to NULL (lazy)
 
+    def losses(self) -> dict[str, int]:
+        """Everything that landed or was announced and is not in the written rows."""
+        unparsed = {f"unparsed_{r['column_name']}": r["unparsed"] for r in self.unparsed_numbers.collect()}  # a row per column
+        return {
+            "missing_pages": self.missing_pages.count(),
+            "missing_first_pages": self.missing_first_pages.count(),
+            "unnumbered_pages": self.unnumbered_pages.count(),
+            **unparsed,
+        }
+
+
+def run_pages(pages: DataFrame, opts: JobOptions) -> DataFrame:
+    """The pages of this run: without an index in the layout, only those of ``opts.index``."""
+    return pages if opts.keeps_index else pages.where(F.col("index") == opts.index)
+
 
 def extract_frame(pages: DataFrame, opts: JobOptions) -> DataFrame:
     """Pages → raw rows of this run (no write)."""
-    chosen = select_pages(pages, opts.all_pages)
-    raw = to_raw(chosen, opts.run_timestamp, opts.number_mode, keep_index=opts.keeps_index)
+    chosen = select_pages(run_pages(pages, opts), opts.all_pages)
+    raw = to_raw(chosen, opts.run_timestamp, opts.number_mode, keep_index=opts.keeps_index, header_from_first_page=opts.all_pages)
     if opts.index_mode == "column":
         raw = raw.select("index", *RAW.fieldNames())
     return raw
@@ -65,23 +83,25 @@ def extract_job(
     nothing at all is written, :class:`~folioflow.sinks.daily.EmptyOutput`
     is raised and the day's previous data is left in place.
     """
-    pages = read_pages(spark, landing, multi_line=multi_line, index=opts.index)
+    return extract_pages(spark, read_pages(spark, landing, multi_line=multi_line, index=opts.index), opts, partition_day=partition_day)
+
+
+def extract_pages(
+    spark: SparkSession, pages: DataFrame, opts: JobOptions, *, partition_day: dt.date | str | None = None
+) -> ExtractReport:
+    """:func:`extract_job` on a pages frame."""
     day = as_date(partition_day) if partition_day is not None else opts.run_date
-    # Both sides of the page-1 header join read the pages; keep the parsed
-    # pages on local disk for this write so the JSON is tokenized once.
-    # Lost blocks are recomputed from the landed files.
-    parsed = pages.persist(StorageLevel.DISK_ONLY)
-    try:
-        result = write_daily(extract_frame(parsed, opts), opts.raw_path, day, leading=opts.leading_partitions)
-    finally:
-        parsed.unpersist()
+    pages = run_pages(pages, opts)
+    result = write_daily(extract_frame(pages, opts), opts.raw_path, day, leading=opts.leading_partitions)
     append_audit(spark, opts.audit_path, result, RAW_SOURCE, opts.run_timestamp)
+    chosen = select_pages(pages, opts.all_pages)
     return ExtractReport(
         write=result,
-        missing_pages=missing_pages(pages),
+        missing_pages=missing_pages(pages, opts.all_pages),
         missing_first_pages=missing_first_pages(pages),
+        unnumbered_pages=unnumbered_pages(pages),
         counts=consolidated_counts(pages, opts.all_pages),
-        unparsed_numbers=unparsed_numbers(flatten_results(select_pages(pages, opts.all_pages)), opts.number_mode),
+        unparsed_numbers=unparsed_numbers(flatten_results(chosen, opts.all_pages), opts.number_mode),
     )
 
 
@@ -112,33 +132,53 @@ def transform_job(
 def backfill_transform(
     spark: SparkSession,
     opts: JobOptions,
-    start: dt.date | str,
-    end: dt.date | str,
+    start: dt.date | str | None = None,
+    end: dt.date | str | None = None,
 ) -> WriteResult:
-    """G2 over a date range in one job: group by (day, asset), each source day → same target day.
+    """G2 over a date range (open where a bound is None) in one job: group by (day, asset), each source day → same target day.
 
     The partition columns lead the grouping, so the result is already
     keyed by output directory; only days that have data are replaced.
     """
     raw = read_days(spark, opts.raw_path, start, end, opts.raw_schema, opts.leading_partitions)
-    result = transform_frame(raw, opts, by=PARTITION_COLUMNS)
+    # one row per day and asset; stored, as the write and the audit's count per day both read it
+    shared_dir(spark)
+    result = transform_frame(raw, opts, by=PARTITION_COLUMNS).checkpoint()
+    counts = result.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("record_count"))
     written = write_daily(
         result.select(*opts.group_keys, *PARTITION_COLUMNS, *PORTFOLIO.fieldNames()),
         opts.transformed_path,
         date_col=partition_date(),
         leading=opts.leading_partitions,
     )
-    append_audit(spark, opts.audit_path, written, TRANSFORMED_SOURCE, opts.run_timestamp)
+    append_audit(spark, opts.audit_path, written, TRANSFORMED_SOURCE, opts.run_timestamp, counts=counts)
     return written
 
 
-def run_all(spark: SparkSession, landing: str | list[str], opts: JobOptions, *, multi_line: bool = True) -> tuple[ExtractReport, WriteResult]:
-    """Extract then transform the run date; the first failure raises and stops."""
-    report = extract_job(spark, landing, opts, multi_line=multi_line)
-    written = transform_job(spark, opts, opts.run_date, opts.run_date)
+def run_all(
+    spark: SparkSession,
+    landing: str | list[str],
+    opts: JobOptions,
+    *,
+    multi_line: bool = True,
+    day: dt.date | str | None = None,
+) -> tuple[ExtractReport, WriteResult]:
+    """Extract into ``day`` (default: the run date), then transform that day; the first failure raises and stops."""
+    day = as_date(day) if day is not None else opts.run_date
+    report = extract_job(spark, landing, opts, multi_line=multi_line, partition_day=day)
+    written = transform_job(spark, opts, day, day)
     return report, written
 
 
+def write_manifest(spark: SparkSession, opts: JobOptions, base_url: str, total_pages: int = 1) -> tuple[str, int]:
+    """S4 as a job: the run's page requests (index, language and page size of ``opts``) under ``root/_manifest``."""
+    one = spark.range(1).select(F.lit(opts.index).alias("index"), F.lit(opts.language).alias("language"))
+    requests = request_manifest(one, base_url, page_size=opts.page_size, total_pages=total_pages if opts.all_pages else 1)
+    path = f"{opts.root.rstrip('/')}/_manifest"
+    requests.write.mode("overwrite").parquet(path)
+    return path, spark.read.parquet(path).count()
+
+
 def publish(spark: SparkSession, opts: JobOptions, table: str = "portfolio.raw_daily") -> DataFrame:
     """Register the raw tree as an external partitioned table.
 

@@ -35,14 +35,19 @@ from folioflow.operators.present import top_rows
 from folioflow.operators.quality import (
     check_columns_absent,
     check_columns_present,
+    check_duplicates,
     check_group_cardinality,
+    check_negatives,
     check_not_empty,
+    check_nulls,
     distinct_values,
+    dtypes_report,
     duplicate_count,
     negative_count,
     null_counts,
     quality_report,
     summary_stats,
+    transformed_quality,
     union_all,
 )
 from folioflow.operators.reconcile import reconcile
@@ -62,7 +67,9 @@ from folioflow.sources.pages import (
     consolidated_counts,
     missing_pages,
     parse_pages,
+    read_pages,
     select_pages,
+    unnumbered_pages,
     usable,
 )
 from folioflow.streaming.landing import landing_stream
@@ -73,7 +80,7 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 # Request endpoint used by the manifest query (any base works; the token is the contract).
-MANIFEST_BASE_URL = "https://feed.example/indexCall/GetPortfolioDay"
+MANIFEST_BASE_URL = "https://feed.example/portfolio"
 
 RAW_TEXT_COLUMNS = ("segment", "cod", "asset", "type", "part", "partAcum", "theoricalQty")
 
@@ -165,7 +172,7 @@ def q_portfolio_by_day_asset(spark: SparkSession, sf_dir: str) -> DataFrame:
     opts = JobOptions(root=scratch_path(spark, "by-day"), run_timestamp=RUN_TIMESTAMP)
     ev = clean_columns(feeds.events_feed(spark, sf_dir)).withColumn("extraction_date", F.col("event_date"))
     write_daily(conform(ev, RAW), opts.raw_path, date_col="extraction_date")
-    backfill_transform(spark, opts, "1900-01-01", "2100-12-31")
+    backfill_transform(spark, opts)
     out = read_tree(spark, opts.transformed_path, PORTFOLIO)
     return out.select(*PARTITION_COLUMNS, "acao", "qtd_codigo", "participacao", "qtd_teorica_total", "data")
 
@@ -489,10 +496,25 @@ def q_daily_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "csv_roundtrip",
-    "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    """
+SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' || c_name || ' '
+    WHEN 3 THEN 'a "' || c_name || '", b' WHEN 4 THEN c_name || chr(10) || 'second line' WHEN 5 THEN c_name || '\\"x' ELSE c_name END AS c_name,
+  c_nationkey, c_acctbal, c_mktsegment
+FROM customer""".replace("\\\\", "\\"),
 )
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
+    """Text with padding, quotes, commas, line ends, a backslash, nothing, and NULL comes back as it was."""
+    name, kind = F.col("c_name"), F.col("c_custkey") % 7
+    text = (
+        F.when(kind == 0, F.lit(None).cast("string"))
+        .when(kind == 1, F.lit(""))
+        .when(kind == 2, F.concat(F.lit("  "), name, F.lit(" ")))
+        .when(kind == 3, F.concat(F.lit('a "'), name, F.lit('", b')))
+        .when(kind == 4, F.concat(name, F.lit("\nsecond line")))
+        .when(kind == 5, F.concat(name, F.lit('\\"x')))
+        .otherwise(name)
+    )
+    c = table(spark, sf_dir, "customer").withColumn("c_name", text)
     path = scratch_path(spark, "customer-csv")
     write_csv(c, path)
     schema = StructType(
@@ -509,16 +531,21 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "write_audit",
-    "SELECT 'portfolio-feed' AS source, count(*) AS record_count, '1.0' AS schema_version FROM orders",
+    """
+SELECT 'portfolio-feed' AS source, 'orders' AS target, CAST(o_orderdate AS DATE) AS partition_date,
+  TIMESTAMP '2025-07-25 14:32:40' AS run_timestamp, count(*) AS record_count, '1.0' AS schema_version
+FROM orders GROUP BY 3""",
 )
 def q_write_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One audit row per day of a write over all days, every column."""
     from folioflow.options import RAW_SOURCE
     from folioflow.sinks.audit import append_audit
 
     root = scratch_path(spark, "audit")
     result = _write_orders(spark, sf_dir, f"{root}/orders")
-    append_audit(spark, f"{root}/_audit", result, RAW_SOURCE, RUN_TIMESTAMP)
-    return read_audit(spark, f"{root}/_audit").select("source", "record_count", "schema_version")
+    days = read_tree(spark, result.path, ORDERS_DAILY).groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("record_count"))
+    append_audit(spark, f"{root}/_audit", result, RAW_SOURCE, RUN_TIMESTAMP, counts=days)
+    return read_audit(spark, f"{root}/_audit").withColumn("target", F.substring_index("target", "/", -1))
 
 
 @register(
@@ -653,7 +680,8 @@ def q_summary_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "schema_checks",
-    """
+    f"""
+WITH {LINEITEM_F}
 SELECT 'not_empty' AS "check", CAST(NULL AS VARCHAR) AS column_name,
   CAST(least(count(*), 1) AS DOUBLE) AS value, count(*) > 0 AS passed
 FROM lineitem WHERE l_linenumber <> 7
@@ -664,11 +692,21 @@ UNION ALL SELECT 'columns_present', 'qtd_teorica_total', 1.0, true
 UNION ALL SELECT 'columns_present', 'data', 1.0, true
 UNION ALL SELECT 'columns_absent', 'segment', 0.0, true
 UNION ALL SELECT 'columns_absent', 'type', 0.0, true
-UNION ALL SELECT 'columns_absent', 'partAcum', 0.0, true""",
+UNION ALL SELECT 'columns_absent', 'partAcum', 0.0, true
+UNION ALL SELECT 'columns_present', unnest(['acao', 'qtd_codigo', 'participacao', 'qtd_teorica_total', 'data']), 0.0, false
+UNION ALL SELECT 'columns_absent', unnest(['segment', 'type', 'partAcum']), 1.0, false
+UNION ALL SELECT 'no_nulls', 'cod', CAST(count(*) - count(cod) AS DOUBLE), count(*) = count(cod) FROM f
+UNION ALL SELECT 'no_nulls', 'issuer', NULL, false
+UNION ALL SELECT 'no_duplicates', 'issuer', NULL, false
+UNION ALL SELECT 'no_negatives', 'issuer', NULL, true""",
 )
 def q_schema_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = _lineitem_portfolio(spark, sf_dir)
-    return union_all([check_not_empty(result), check_columns_present(result), check_columns_absent(result)])
+    """On a frame that passes, then on one that fails (raw rows), with columns that are absent."""
+    raw = _lineitem_raw(spark, sf_dir)
+    result = portfolio_by_asset(raw, RUN_DATE)
+    failing = [check_columns_present(raw), check_columns_absent(raw), check_nulls(raw, ("cod", "issuer"))]
+    absent = [check_duplicates(raw, "issuer"), check_negatives(raw, "issuer")]
+    return union_all([check_not_empty(result), check_columns_present(result), check_columns_absent(result), *failing, *absent])
 
 
 @register("top_rows", f"WITH {LINEITEM_F} SELECT * FROM ({PORTFOLIO_SQL}) ORDER BY acao LIMIT 3")
@@ -774,17 +812,152 @@ def q_transform_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "landing_stream",
-    f"WITH {CONV_C} SELECT {_RAW_FROM_CONV_SQL.format(data_date='CAST(DATE ' + chr(39) + '2024-01-01' + chr(39) + ' + CAST(turn // 3 AS INTEGER) AS VARCHAR)')} FROM c",
+    f"WITH {CONV_C} SELECT {_RAW_FROM_CONV_SQL.format(data_date=chr(39) + '2024-01-01' + chr(39))}, "
+    "'2025' AS year, '07' AS month, '25' AS day FROM c",
 )
 def q_landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The extract on a file stream (availableNow): each page with its own header."""
-    opts = JobOptions(root=scratch_path(spark, "stream"), run_timestamp=RUN_TIMESTAMP, index_mode="column")
+    """The same landing through the file stream (availableNow): the same rows as the extract job."""
+    opts = _conversation_job_options(spark)
     landing = f"{opts.root}/landing"
     _land_pages(spark, sf_dir, landing)
-    q = landing_stream(spark, landing, opts, multi_line=False, checkpoint=f"{opts.root}/_checkpoint")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(f"landing stream failed: {q.exception()}")
-    return read_tree(spark, opts.raw_path, opts.raw_schema, opts.leading_partitions).select(
-        "index", *RAW.fieldNames()
+    landing_stream(spark, landing, opts, multi_line=False)
+    return read_tree(spark, opts.raw_path, opts.raw_schema, opts.leading_partitions)
+
+
+# ------------------------------------------------------------------ values and pages outside the usual feed
+
+
+@register(
+    "sum_precision",
+    """
+SELECT CAST(l_orderkey AS VARCHAR) AS acao, count(*) AS qtd_codigo,
+  CAST(CAST(sum(l_partkey % 100000) AS DECIMAL(38, 0)) AS DOUBLE) / 10000000 AS participacao,
+  CAST(sum((l_suppkey % 9 + 1) * 10000000000000000) AS BIGINT) AS qtd_teorica_total,
+  '2025-07-25' AS data
+FROM lineitem GROUP BY l_orderkey""",
+)
+def q_sum_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of seven decimals, and values of 1e16 and more: none is rounded or dropped before summing."""
+    li = feeds.dealt_table(spark, sf_dir, "lineitem")
+    raw = li.select(
+        F.col("l_orderkey").cast("string").alias("asset"),
+        F.col("l_partkey").cast("string").alias("cod"),
+        ((F.col("l_partkey") % 100000).cast("double") / 10000000).alias("part"),
+        ((F.col("l_suppkey") % 9 + 1).cast("double") * 1e16).alias("theoricalQty"),
+    )
+    return portfolio_by_asset(clean_columns(raw), RUN_DATE)
+
+
+@register(
+    "json_number_tokens",
+    """
+SELECT l_orderkey AS index, l_linenumber AS line,
+  CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_partkey AS DOUBLE) / 1000 ELSE CAST(l_partkey * 1000 AS DOUBLE) END AS part,
+  CASE WHEN l_linenumber % 3 = 0 THEN CAST(l_suppkey AS DOUBLE) * 10000000000000000 ELSE CAST(l_suppkey AS DOUBLE) / 10000 END AS theoricalQty
+FROM (SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem)""",
+)
+def q_json_number_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies with JSON numbers (of three decimals, of four, very large) beside pt-BR text: each keeps its value."""
+    li = feeds.dealt_table(spark, sf_dir, "lineitem")
+    three = F.concat((F.col("l_partkey") / 1000).cast("bigint").cast("string"), F.lit("."), F.lpad((F.col("l_partkey") % 1000).cast("string"), 3, "0"))
+    four = F.concat((F.col("l_suppkey") / 10000).cast("bigint").cast("string"), F.lit("."), F.lpad((F.col("l_suppkey") % 10000).cast("string"), 4, "0"))
+    part = F.when(F.col("l_linenumber") % 2 == 0, three).otherwise(  # a number, else grouped text
+        F.concat(F.lit('"'), group_thousands(F.col("l_partkey") * 1000), F.lit('"'))
     )
+    qty = F.when(F.col("l_linenumber") % 3 == 0, (F.col("l_suppkey").cast("decimal(20,0)") * 10000000000000000).cast("decimal(38,0)").cast("string")).otherwise(four)
+    body = F.concat(
+        F.lit('{"page":{"pageNumber":1,"totalPages":1},"results":[{"cod":"'), F.col("l_linenumber").cast("string"),
+        F.lit('","part":'), part, F.lit(',"theoricalQty":'), qty, F.lit("}]}"),
+    )
+    pages = parse_pages(li.select(F.col("l_orderkey").cast("string").alias("index"), body.alias("body")), index="index")
+    rows = clean_columns(flatten_results(select_pages(pages, all_pages=False), header_from_first_page=False))
+    return rows.select("index", F.col("cod").cast("int").alias("line"), "part", "theoricalQty")
+
+
+def _odd_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversation pages, page 1 of every third conversation without its ``results``."""
+    pages = _conversation_pages(spark, sf_dir)
+    bare = (F.col("page_number") == 1) & (F.col("index").cast("bigint") % 3 == 0)
+    return pages.withColumn("results", F.when(~bare, F.col("results")))
+
+
+_ODD_C = f"""WITH {CONV_C}, u AS (SELECT * FROM c WHERE NOT (turn < 3 AND conv_id % 3 = 0))"""
+
+
+@register("first_page_without_results", f"{_ODD_C} SELECT {_PAGE_ROW_SQL} FROM u")
+def q_first_page_without_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page 1 without ``results`` has no rows; its header and page count still serve the other pages."""
+    return flatten_results(select_pages(_odd_pages(spark, sf_dir), all_pages=True))
+
+
+@register(
+    "written_counts",
+    f"""{_ODD_C}
+SELECT a.index, coalesce(b.total_records, 0) AS total_records, a.pages_landed, a.total_pages FROM
+  (SELECT CAST(conv_id AS VARCHAR) AS index, count(DISTINCT turn // 3) AS pages_landed,
+     CAST(ceil(count(*) / 3) AS BIGINT) AS total_pages FROM c GROUP BY conv_id) a
+  LEFT JOIN (SELECT CAST(conv_id AS VARCHAR) AS index, count(*) AS total_records FROM u GROUP BY conv_id) b ON a.index = b.index""",
+)
+def q_written_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of a run are those of the rows it writes."""
+    return consolidated_counts(_odd_pages(spark, sf_dir))
+
+
+@register(
+    "selected_index",
+    """
+SELECT 'T' || CAST(turn AS VARCHAR) AS cod, role AS asset, CAST(length(text) AS DOUBLE) / 100 AS part, '2025' AS year
+FROM conversations WHERE conv_id = (SELECT min(conv_id) FROM conversations)""",
+)
+def q_selected_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing of many indices, a layout without an index: the run takes its own index only."""
+    first = table(spark, sf_dir, "conversations").agg(F.min("conv_id").cast("string").alias("i")).first()["i"]
+    opts = JobOptions(root=scratch_path(spark, "one-index"), run_timestamp=RUN_TIMESTAMP, all_pages=True, index=first)
+    landing = f"{opts.root}/landing"
+    _land_pages(spark, sf_dir, landing)
+    extract_job(spark, landing, opts, multi_line=False)
+    return read_tree(spark, opts.raw_path).select("cod", "asset", "part", "year")
+
+
+@register(
+    "unnumbered_pages",
+    """
+SELECT CAST(conv_id AS VARCHAR) AS index, count(*) AS total_records
+FROM conversations WHERE conv_id % 2 = 0 GROUP BY conv_id, turn // 3""",
+)
+def q_unnumbered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON Lines bodies without a page number are reported (never numbered after their file)."""
+    bodies = feeds.conversation_pages(spark, sf_dir, index_in_body=True)
+    record_count = F.size(F.from_json("body", "results array<string>")["results"])
+    line = F.when(
+        F.col("index").cast("bigint") % 2 == 0,
+        F.concat(F.lit('{"index":"'), F.col("index"), F.lit('","page":{"totalRecords":'), record_count.cast("string"), F.lit('},"results":[]}')),
+    ).otherwise(F.col("body"))
+    landing = f"{scratch_path(spark, 'unnumbered')}/landing"
+    bodies.select(line.alias("value")).write.text(landing)
+    return unnumbered_pages(read_pages(spark, landing, multi_line=False))
+
+
+@register("dtypes_report", """
+SELECT unnest(['acao', 'qtd_codigo', 'participacao', 'qtd_teorica_total', 'data']) AS column_name,
+  unnest(['string', 'bigint', 'double', 'bigint', 'string']) AS dtype
+FROM (SELECT count(*) AS n FROM lineitem) WHERE n > 0""")
+def q_dtypes_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dtypes_report(_lineitem_portfolio(spark, sf_dir))
+
+
+@register(
+    "transformed_quality",
+    f"""
+WITH {LINEITEM_F}, p AS ({PORTFOLIO_SQL})
+SELECT 'no_nulls' AS "check", 'acao' AS column_name, CAST(count(*) - count(acao) AS DOUBLE) AS value, count(*) = count(acao) AS passed FROM p
+UNION ALL SELECT 'no_nulls', 'qtd_codigo', CAST(count(*) - count(qtd_codigo) AS DOUBLE), count(*) = count(qtd_codigo) FROM p
+UNION ALL SELECT 'no_nulls', 'participacao', CAST(count(*) - count(participacao) AS DOUBLE), count(*) = count(participacao) FROM p
+UNION ALL SELECT 'no_nulls', 'qtd_teorica_total', CAST(count(*) - count(qtd_teorica_total) AS DOUBLE), count(*) = count(qtd_teorica_total) FROM p
+UNION ALL SELECT 'no_nulls', 'data', CAST(count(*) - count(data) AS DOUBLE), count(*) = count(data) FROM p
+UNION ALL SELECT 'total', 'participacao', CAST(sum(part_cents) AS DOUBLE) / 100, true FROM f WHERE asset IS NOT NULL
+UNION ALL SELECT 'total', 'qtd_teorica_total', CAST(sum(qty) AS DOUBLE), true FROM f WHERE asset IS NOT NULL
+UNION ALL SELECT 'columns_present', unnest(['acao', 'qtd_codigo', 'participacao', 'qtd_teorica_total', 'data']), 1.0, true""",
+)
+def q_transformed_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transformed_quality(_lineitem_portfolio(spark, sf_dir))

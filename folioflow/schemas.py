@@ -16,18 +16,20 @@ from pyspark.sql.types import (
     StructField,
     StructType,
     TimestampNTZType,
+    VariantType,
 )
 
-# Exact arithmetic type for parsed numbers and their sums.  Sums over a
-# decimal are independent of row order, so a re-run (or a retried task)
-# gives bit-identical totals.
-NUMBER = DecimalType(20, 4)
+# Exact arithmetic type of sums.  Sums over a decimal are independent of row
+# order, so a re-run (or a retried task) gives bit-identical totals; numbers
+# that it cannot hold exactly are summed beside it (functions/numbers.py).
+NUMBER = DecimalType(36, 18)
 
 CORRUPT_COLUMN = "_corrupt_record"
 
-# One record of the ``results`` list.  Every field is read as text: the
-# feed writes numbers in pt-BR notation ("0,490", "476.976.044") and the
-# JSON reader keeps a numeric token's text when the field is a string.
+# One record of the ``results`` list, as text: the feed writes numbers in
+# pt-BR notation ("0,490", "476.976.044").  A body may also hold them as JSON
+# numbers; those are read with their token type (LANDED_RESULT) and become
+# text that every number grammar reads alike (operators/flatten.py).
 RESULT = StructType(
     [
         StructField("segment", StringType()),
@@ -40,6 +42,10 @@ RESULT = StructType(
     ]
 )
 
+LANDED_RESULT = StructType(
+    [StructField(f.name, VariantType()) if f.name in ("part", "theoricalQty") else f for f in RESULT.fields]
+)
+
 PAGE_INFO = StructType(
     [
         StructField("pageNumber", LongType()),
@@ -66,7 +72,14 @@ PAGE = StructType(
     ]
 )
 
-PAGE_WITH_CORRUPT = StructType(PAGE.fields + [StructField(CORRUPT_COLUMN, StringType())])
+LANDED_PAGE = StructType(
+    [
+        StructField("page", PAGE_INFO),
+        StructField("header", HEADER),
+        StructField("results", ArrayType(LANDED_RESULT)),
+        StructField(CORRUPT_COLUMN, StringType()),
+    ]
+)
 
 # Raw table: one row per ticker code.
 RAW = StructType(
@@ -101,7 +114,7 @@ PORTFOLIO = StructType(
     ]
 )
 
-# Columns the transform needs, and those the raw rows carry but the
+# Columns the transform needs, and those the raw rows carry but the
 # portfolio table must not.
 REQUIRED_COLUMNS = ("asset", "cod", "part", "theoricalQty")
 DROPPED_COLUMNS = ("segment", "type", "partAcum")

@@ -1,11 +1,13 @@
-"""K4: write audit - one row per write, appended to an audit table."""
+"""K4: write audit - one row per write and day, appended to an audit table."""
 
 from __future__ import annotations
 
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from folioflow.functions.dates import partition_date, timestamp_literal
 from folioflow.options import SCHEMA_VERSION
 from folioflow.schemas import AUDIT
 from folioflow.sinks.daily import WriteResult
@@ -17,8 +19,21 @@ def audit_frame(
     source: str,
     run_timestamp: dt.datetime,
     schema_version: str = SCHEMA_VERSION,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """The audit row of one write (the count comes from the write itself)."""
+    """The audit rows of a write: one, counted by the write itself, or one per day of ``counts``.
+
+    ``counts``: ``(year, month, day, record_count)`` of a write over several days.
+    """
+    if counts is not None:
+        return counts.select(
+            F.lit(source).alias("source"),
+            F.lit(result.path).alias("target"),
+            partition_date().alias("partition_date"),
+            timestamp_literal(run_timestamp).alias("run_timestamp"),
+            F.col("record_count").cast("long").alias("record_count"),
+            F.lit(schema_version).alias("schema_version"),
+        )
     row = (source, result.path, result.partition_date, run_timestamp, result.record_count, schema_version)
     return spark.createDataFrame([row], AUDIT)
 
@@ -30,8 +45,9 @@ def append_audit(
     source: str,
     run_timestamp: dt.datetime,
     schema_version: str = SCHEMA_VERSION,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    frame = audit_frame(spark, result, source, run_timestamp, schema_version)
+    frame = audit_frame(spark, result, source, run_timestamp, schema_version, counts)
     frame.coalesce(1).write.mode("append").parquet(audit_path)
     return frame
 

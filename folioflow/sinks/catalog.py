@@ -7,6 +7,8 @@ and rewritten onto its own path (that pattern can delete the data).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -22,6 +24,16 @@ def _ddl(schema: StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def _matches(spark: SparkSession, table: str, path: str, schema: StructType, part_cols: list[str]) -> bool:
+    """Whether a table's entry has this location and these columns."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    place = next((r["data_type"] for r in rows if r["col_name"] == "Location"), "")
+    same = lambda p: re.sub("^file:/+", "/", p).rstrip("/")
+    have = [(f.name, f.dataType.simpleString()) for f in spark.table(table).schema.fields]
+    want = [(f.name, f.dataType.simpleString()) for f in schema.fields] + [(c, "string") for c in part_cols]
+    return same(place) == same(path) and have == want
+
+
 def publish_table(
     spark: SparkSession,
     table: str,
@@ -30,7 +42,10 @@ def publish_table(
     leading: tuple[str, ...] = (),
     database_location: str | None = None,
 ) -> DataFrame:
-    """``CREATE TABLE IF NOT EXISTS .. USING parquet PARTITIONED BY .. LOCATION`` + partition recovery.
+    """``CREATE TABLE IF NOT EXISTS .. USING parquet PARTITIONED BY .. LOCATION`` + partition sync.
+
+    An entry of that name with another location or schema is replaced (its
+    files are left alone), partitions that are gone are dropped from it.
 
     A missing database is created, at ``database_location`` when given
     (else the warehouse default).
@@ -42,9 +57,12 @@ def publish_table(
         where = f" LOCATION '{_quote(database_location)}'" if database_location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
     location = _quote(path)
+    if spark.catalog.tableExists(table) and not _matches(spark, table, path, schema, part_cols):
+        spark.sql(f"DROP TABLE {table}")  # external: only the entry goes, the files stay
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
         f"PARTITIONED BY ({', '.join(part_cols)}) LOCATION '{location}'"
     )
-    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
     return spark.table(table)

@@ -32,10 +32,15 @@ def with_partition_columns(df: DataFrame, day: dt.date | str | None = None, date
     if date_col is None:
         source = F.lit(as_date(day))
     else:
-        source = F.col(date_col) if isinstance(date_col, str) else date_col
+        source = _present(F.col(date_col) if isinstance(date_col, str) else date_col, "day")
     return df.withColumns(partition_columns(source))
 
 
+def _present(c: Column, name: str) -> Column:
+    """``c``; a NULL fails the write (its directory would be one that no read returns)."""
+    return F.coalesce(c, F.raise_error(F.lit(f"NULL {name} in a partitioned write")))
+
+
 def write_daily(
     df: DataFrame,
     path: str,
@@ -55,19 +60,26 @@ def write_daily(
       existing data of that day is untouched; the observed count then
       reports the failure.  The count is taken while writing (an
       ``Observation`` in the final stage), so there is no second pass.
-    * **File sizing**: a ``rebalance`` on the partition columns lets
-      adaptive execution merge small output partitions and split a day
-      that is much larger than the rest, so one hot day becomes several
-      right-sized files written by several tasks, not one huge task.
+    * **NULL keys**: a NULL day or leading key fails the write.
+    * **File sizing**: a ``rebalance`` lets adaptive execution merge small
+      output partitions and split large ones.  For a literal day it has no
+      key (rows are dealt round robin); with ``date_col`` it goes by the
+      partition columns, and a day much larger than the rest becomes several
+      files written by several tasks.
     * Task retries and lost executors are handled by the file commit
       protocol: only committed task output is moved into place.
     """
     staged = with_partition_columns(df, day, date_col)
     if drop_date_col and isinstance(date_col, str):
         staged = staged.drop(date_col)
+    for name in leading:
+        staged = staged.withColumn(name, _present(F.col(name), name))
     cols = [*leading, *PARTITION_COLUMNS]
+    # One day of one directory needs no key: rows are dealt round robin into
+    # files of the advisory size.  Else rows go by their directory.
+    by = [] if date_col is None and not leading else cols if date_col is not None else list(leading)
     observation = Observation()
-    staged = staged.hint("rebalance", *cols).observe(observation, F.count(F.lit(1)).alias("rows"))
+    staged = staged.hint("rebalance", *by).observe(observation, F.count(F.lit(1)).alias("rows"))
     (
         staged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

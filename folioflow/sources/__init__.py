@@ -1,9 +1,9 @@
 """Sources: landed response pages, request manifest, daily Parquet trees."""
 
 from folioflow.sources.daily import PartitionNotFound, read_day, read_days, read_tree
-from folioflow.sources.legacy import migrate_legacy_raw, read_legacy_tree, row_based_parquet_reader
+from folioflow.sources.legacy import migrate_legacy_raw, read_legacy_tree, row_based_session
 from folioflow.sources.manifest import request_manifest
-from folioflow.sources.tables import read_table, spread
+from folioflow.sources.tables import read_table
 from folioflow.sources.pages import (
     consolidated_counts,
     first_pages,
@@ -13,6 +13,7 @@ from folioflow.sources.pages import (
     parse_pages,
     read_pages,
     select_pages,
+    unnumbered_pages,
     usable,
 )
 
@@ -32,8 +33,8 @@ __all__ = [
     "read_table",
     "read_tree",
     "request_manifest",
-    "row_based_parquet_reader",
+    "row_based_session",
     "select_pages",
-    "spread",
+    "unnumbered_pages",
     "usable",
 ]

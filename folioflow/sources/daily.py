@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from folioflow.functions.dates import partition_predicate, partition_range_predicate
+from folioflow.functions.dates import as_date, partition_range_predicate, partition_values
 from folioflow.schemas import RAW, with_partitions
 
 
@@ -27,38 +27,53 @@ def read_tree(
     return spark.read.schema(with_partitions(schema, leading)).parquet(path)
 
 
+def _day_paths(path: str, day: dt.date | str | None, leading: tuple[str, ...]) -> str:
+    """The day's directory (one per leading value)."""
+    levels = [*(f"{c}=*" for c in leading), *(f"{k}={v}" for k, v in partition_values(day).items())]
+    return "/".join([path.rstrip("/"), *levels])
+
+
+def _read(spark: SparkSession, root: str, paths: str, schema: StructType, leading: tuple[str, ...], what: str) -> DataFrame:
+    reader = spark.read.schema(with_partitions(schema, leading)).option("basePath", root)
+    try:
+        return reader.parquet(paths)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+            raise PartitionNotFound(f"no data for {what} under {root}") from exc
+        raise
+
+
 def read_day(
     spark: SparkSession,
     path: str,
     day: dt.date | str | None = None,
     schema: StructType = RAW,
     leading: tuple[str, ...] = (),
-    *,
-    must_exist: bool = True,
 ) -> DataFrame:
-    """One day (default today), pruned to that directory.
+    """One day (default today): only its own directory is listed and read.
 
-    ``must_exist`` checks with a one-row probe of the pruned scan, which
-    touches a single file of that day.
+    A day without a directory raises :class:`PartitionNotFound`.
     """
-    try:
-        df = read_tree(spark, path, schema, leading).where(partition_predicate(day))
-        if must_exist and df.isEmpty():
-            raise PartitionNotFound(f"no data for {day or dt.date.today()} under {path}")
-    except AnalysisException as exc:  # the root itself is missing
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            raise PartitionNotFound(f"nothing under {path}") from exc
-        raise
-    return df
+    return _read(spark, path, _day_paths(path, day, leading), schema, leading, str(day or dt.date.today()))
 
 
 def read_days(
     spark: SparkSession,
     path: str,
-    start: dt.date | str,
-    end: dt.date | str,
+    start: dt.date | str | None = None,
+    end: dt.date | str | None = None,
     schema: StructType = RAW,
     leading: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Days ``start..end`` inclusive (backfills), pruned by directory."""
-    return read_tree(spark, path, schema, leading).where(partition_range_predicate(start, end))
+    """Days ``start..end`` inclusive, open where a bound is None (backfills), pruned by directory.
+
+    With both bounds only the directories of their years are listed.
+    """
+    if start is None and end is None:
+        return read_tree(spark, path, schema, leading)
+    predicate = partition_range_predicate(start, end)
+    if start is None or end is None:
+        return read_tree(spark, path, schema, leading).where(predicate)
+    years = ",".join(str(y).zfill(4) for y in range(as_date(start).year, as_date(end).year + 1))
+    paths = "/".join([path.rstrip("/"), *(f"{c}=*" for c in leading), f"year={{{years}}}"])
+    return _read(spark, path, paths, schema, leading, f"{start} to {end}").where(predicate)

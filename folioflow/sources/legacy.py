@@ -10,9 +10,8 @@ pandas/pyarrow):
   tree is read in **one scan** with the declared text schema.
 * the run timestamp is ``INT64 TIMESTAMP(NANOS)``, which Spark does not
   map to a timestamp; read as ``bigint`` it is the raw count since the
-  epoch.  Values of 1e17 and above are nanoseconds (any instant after
-  1973), smaller ones microseconds (older writers), so both units in one
-  tree are converted exactly.
+  epoch.  Older writers stored microseconds; the unit is read
+  from the Parquet type of each day's files, never guessed from values.
 
 :func:`migrate_legacy_raw` rewrites such a tree once into the current
 layout; every later job reads the new tree with the vectorized reader.
@@ -20,8 +19,8 @@ layout; every later job reads the new tree with the vectorized reader.
 
 from __future__ import annotations
 
-import contextlib
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,53 +30,71 @@ from folioflow.functions.dates import partition_date
 from folioflow.operators.clean import conform
 from folioflow.schemas import PARTITION_COLUMNS, RAW, with_partitions
 from folioflow.sinks.daily import WriteResult, write_daily
+from folioflow.sources.daily import PartitionNotFound
 
 _EPOCH = dt.datetime(1970, 1, 1)
-_NANOS_FROM = 10**17
+UNITS = ("ns", "us")
 
 LEGACY_RAW = StructType(
     [StructField(f.name, LongType()) if f.name == "extraction_timestamp" else f for f in RAW.fields]
 )
 
 
-def epoch_count_to_ntz(c: Column) -> Column:
-    """Nanoseconds or microseconds since the epoch → TIMESTAMP_NTZ (no time-zone shift)."""
-    micros = F.when(F.abs(c) >= F.lit(_NANOS_FROM), F.floor(c / 1000)).otherwise(c).cast("decimal(20,0)")
-    seconds = (micros / F.lit(1_000_000)).cast("decimal(18,6)")
+def epoch_count_to_ntz(c: Column, unit: str = "ns") -> Column:
+    """A count of ``unit`` since the epoch → TIMESTAMP_NTZ (no time-zone shift), whole microseconds, rounded down."""
+    if unit not in UNITS:
+        raise ValueError(f"unit must be one of {UNITS}, got {unit!r}")
+    micros = F.call_function("div", c - F.pmod(c, F.lit(1000)), F.lit(1000)) if unit == "ns" else c
+    seconds = (micros.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
     return F.lit(_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
-@contextlib.contextmanager
-def row_based_parquet_reader(spark: SparkSession):
-    """Use the row-based Parquet reader for the actions run inside the block."""
-    key = "spark.sql.parquet.enableVectorizedReader"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+def row_based_session(spark: SparkSession) -> SparkSession:
+    """A session of its own (same cluster, same catalog) that uses the row-based Parquet reader.
+
+    It also reads nanosecond stamps as their raw count.  Other queries of
+    ``spark`` keep their settings.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.parquet.enableVectorizedReader", "false")
+    session.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return session
+
+
+def day_units(session: SparkSession, path: str) -> dict[str, list[str]]:
+    """The day directories under ``path`` by the unit of their files' time stamps.
+
+    Only names and one footer a day are read (the writer made one file a day).
+    """
+    files = session.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    days = files.select(F.regexp_replace("path", "/[^/]*$", "").alias("day")).distinct().orderBy("day").collect()
+    out: dict[str, list[str]] = {u: [] for u in UNITS}
+    for row in days:
+        kind = session.read.parquet(row["day"]).schema["extraction_timestamp"].dataType
+        out["ns" if isinstance(kind, LongType) else "us"].append(row["day"])
+    return out
 
 
-def read_legacy_tree(spark: SparkSession, path: str) -> DataFrame:
+def read_legacy_tree(session: SparkSession, path: str) -> DataFrame:
     """The legacy raw tree as :data:`~folioflow.schemas.RAW` + partition columns.
 
-    Run its actions inside :func:`row_based_parquet_reader` when some day
-    stored an all-NULL column with the NULL type.
+    ``session``: a :func:`row_based_session`.
     """
-    df = spark.read.schema(with_partitions(LEGACY_RAW)).parquet(path)
     nan_free = {c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in ("part", "theoricalQty")}
-    return df.withColumns(
-        {**nan_free, "extraction_timestamp": epoch_count_to_ntz(F.col("extraction_timestamp"))}
-    )
+    parts = []
+    for unit, days in day_units(session, path).items():
+        if days:
+            df = session.read.schema(with_partitions(LEGACY_RAW)).option("basePath", path).parquet(*days)
+            stamp = epoch_count_to_ntz(F.col("extraction_timestamp"), unit)
+            parts.append(df.withColumns({**nan_free, "extraction_timestamp": stamp}))
+    if not parts:
+        raise PartitionNotFound(f"no day under {path}")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def migrate_legacy_raw(spark: SparkSession, legacy_path: str, target_path: str) -> WriteResult:
     """One job: read the whole legacy tree once, write it in the current layout (same days)."""
-    with row_based_parquet_reader(spark):
-        legacy = read_legacy_tree(spark, legacy_path)
-        rows = conform(legacy, RAW, keep=PARTITION_COLUMNS).withColumn("_day", partition_date())
-        return write_daily(rows.drop(*PARTITION_COLUMNS), target_path, date_col="_day", drop_date_col=True)
+    legacy = read_legacy_tree(row_based_session(spark), legacy_path)
+    rows = conform(legacy, RAW, keep=PARTITION_COLUMNS).withColumn("_day", partition_date())
+    return write_daily(rows.drop(*PARTITION_COLUMNS), target_path, date_col="_day", drop_date_col=True)

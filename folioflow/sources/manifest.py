@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions.requests import request_json, request_token, request_url
+from folioflow.sources.pages import page_numbers
 
 
 def _as_col(v: Column | str | int) -> Column:
@@ -37,7 +38,7 @@ def request_manifest(
         pick(index).cast("string").alias("index"),
         pick(language).cast("string").alias("language"),
         pick(page_size).cast("long").alias("page_size"),
-        F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(pick(total_pages).cast("long"), F.lit(1).cast("long")))).alias(
+        F.explode(page_numbers(pick(total_pages).cast("long"))).alias(
             "page_number"
         ),
     )

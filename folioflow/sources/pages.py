@@ -16,13 +16,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from folioflow.schemas import CORRUPT_COLUMN, PAGE_WITH_CORRUPT
+from folioflow.schemas import CORRUPT_COLUMN, LANDED_PAGE
 
-_JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
 
-# Page number from a landed file name such as ``page-0003.json``: the last
-# run of digits in the name.
-_FILE_PAGE_NUMBER = r"([0-9]+)[^0-9]*$"
+# Page number from a landed file name such as ``page-0003.json`` (only for
+# bodies without one, and only where a file is one response).
+FILE_PAGE_NUMBER = r"^page-?([0-9]+)\.[A-Za-z.]+$"
+
+# No index has more pages than this; a larger ``totalPages`` is bad input.
+MAX_TOTAL_PAGES = 1_000_000
 
 
 def read_pages(
@@ -43,14 +46,16 @@ def read_pages(
     A file that is not JSON becomes a row with ``corrupt_record`` set and
     no results.  The response body does not name its index; it comes from
     an ``index=`` directory level, or an ``index`` field landed beside the
-    response fields, else from the ``index`` argument.
+    response fields, else from the ``index`` argument.  A body without a
+    page number takes it from a file name like ``page-0003.json``, never in
+    JSON Lines; pages left without one are in :func:`unnumbered_pages`.
     """
     # ``index`` is declared as text so a discovered ``index=007`` directory keeps
     # its zeros (an inferred partition type would make it the integer 7).
-    schema = StructType(PAGE_WITH_CORRUPT.fields + [StructField("index", StringType())])
-    reader = spark.read.schema(schema).options(**_JSON_OPTIONS).option("multiLine", multi_line)
+    schema = StructType(LANDED_PAGE.fields + [StructField("index", StringType())])
+    reader = spark.read.schema(schema).options(**JSON_OPTIONS).option("multiLine", multi_line)
     df = reader.json(path)
-    df = df.withColumn("_source_file", F.col("_metadata.file_name"))
+    df = df.withColumn("_source_file", F.col("_metadata.file_name") if multi_line else F.lit(None).cast("string"))
     index_col = F.coalesce(F.col("index"), F.lit(index).cast("string"))
     return normalise_pages(df, index_col=index_col, file_col=F.col("_source_file"))
 
@@ -66,7 +71,7 @@ def parse_pages(df: DataFrame, body: str = "body", index: str | Column | None =
     """
     parsed = df.select(
         *[c for c in df.columns if c != body],
-        F.inline(F.array(F.from_json(F.col(body), PAGE_WITH_CORRUPT, _JSON_OPTIONS))),
+        F.inline(F.array(F.from_json(F.col(body), LANDED_PAGE, JSON_OPTIONS))),
     )
     if index is None:
         index_col = F.col("index") if "index" in df.columns else F.lit(None).cast("string")
@@ -78,7 +83,7 @@ def parse_pages(df: DataFrame, body: str = "body", index: str | Column | None =
 
 def normalise_pages(df: DataFrame, *, index_col: Column, file_col: Column) -> DataFrame:
     """Common shape; ``totalPages`` absent → 1, page number from the body or the file name."""
-    from_file = F.regexp_extract(file_col, _FILE_PAGE_NUMBER, 1)
+    from_file = F.regexp_extract(file_col, FILE_PAGE_NUMBER, 1)
     page_number = F.coalesce(F.col("page.pageNumber"), F.nullif(from_file, F.lit("")).try_cast("long"))
     return df.select(
         index_col.cast("string").alias("index"),
@@ -92,50 +97,84 @@ def normalise_pages(df: DataFrame, *, index_col: Column, file_col: Column) -> Da
     )
 
 
+def parsed(pages: DataFrame) -> DataFrame:
+    """Pages that parsed, with or without ``results``."""
+    return pages.where(F.col("corrupt_record").isNull())
+
+
 def usable(pages: DataFrame) -> DataFrame:
     """Pages that parsed and carry a ``results`` list (possibly empty)."""
-    return pages.where(F.col("corrupt_record").isNull() & F.col("results").isNotNull())
+    return parsed(pages).where(F.col("results").isNotNull())
+
+
+def unnumbered_pages(pages: DataFrame) -> DataFrame:
+    """Pages that parsed but have no page number: their rows belong to no place in the run and are not used."""
+    return parsed(pages).where(F.col("page_number").isNull()).select("index", "total_records")
 
 
 def select_pages(pages: DataFrame, all_pages: bool) -> DataFrame:
-    """Page 1 only, or every landed page (UNION ALL in page order is implicit)."""
-    good = usable(pages)
-    return good if all_pages else good.where(F.col("page_number") == 1)
+    """Page 1 only, or every landed page (UNION ALL in page order is implicit).
+
+    A page without ``results`` stays: it has no rows, but page 1's header
+    and page count hold for the whole index.
+    """
+    good = parsed(pages)
+    return good.where(F.col("page_number").isNotNull()) if all_pages else good.where(F.col("page_number") == 1)
 
 
 def first_pages(pages: DataFrame) -> DataFrame:
-    return usable(pages).where(F.col("page_number") == 1)
+    return parsed(pages).where(F.col("page_number") == 1)
 
 
 def missing_first_pages(pages: DataFrame) -> DataFrame:
-    """Indices that landed something but no usable page 1 (fatal for that index)."""
-    return pages.select("index").distinct().join(first_pages(pages).select("index"), "index", "left_anti")
+    """Indices that landed something but no parsed page 1 (fatal for that index); a NULL index counts as one."""
+    landed = pages.select("index").distinct()
+    first = first_pages(pages).select(F.col("index").alias("first_index"))
+    return landed.join(first, F.col("index").eqNullSafe(F.col("first_index")), "left_anti")
 
 
-def missing_pages(pages: DataFrame) -> DataFrame:
-    """Pages 2..totalPages (from page 1) that did not arrive usable.
+def page_numbers(total: Column) -> Column:
+    """``1..total`` (1 at least) as an array; a total beyond any real one raises instead of filling a task."""
+    checked = F.when(
+        total > MAX_TOTAL_PAGES, F.raise_error(F.concat(F.lit("totalPages out of range: "), total.cast("string")))
+    ).otherwise(F.greatest(total, F.lit(1).cast("long")))
+    return F.sequence(F.lit(1).cast("long"), checked.cast("long"))
 
-    ``greatest(totalPages, 1)``: ``sequence`` counts down when stop < start.
+
+def missing_pages(pages: DataFrame, all_pages: bool = True) -> DataFrame:
+    """Pages 2..totalPages (from page 1) that did not arrive parsed.
+
+    With ``all_pages=False`` only page 1 is requested, so nothing is missing.
     The page count is taken once per index (a page 1 landed twice does not
     double the report); the expected set has one row per page, not per
     record, and the anti join is keyed on (index, page) so no key is hot.
     """
     announced = first_pages(pages).groupBy("index").agg(F.max("total_pages").alias("total_pages"))
-    expected = announced.select(
-        "index",
-        F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(F.col("total_pages"), F.lit(1).cast("long")))).alias(
-            "page_number"
-        ),
-    )
-    landed = usable(pages).select("index", "page_number")
-    return expected.join(landed, ["index", "page_number"], "left_anti")
+    total = F.col("total_pages") if all_pages else F.lit(1).cast("long")
+    expected = announced.select("index", F.explode(page_numbers(total)).alias("page_number"))
+    landed = parsed(pages).select(F.col("index").alias("landed_index"), F.col("page_number").alias("landed_page"))
+    same = F.col("index").eqNullSafe(F.col("landed_index")) & (F.col("page_number") == F.col("landed_page"))
+    return expected.join(landed, same, "left_anti")
 
 
 def consolidated_counts(pages: DataFrame, all_pages: bool = True) -> DataFrame:
-    """A3: records that arrived per index (what replaces ``totalRecords``), pages landed, pages announced."""
+    """A3: records per index (what replaces ``totalRecords``), pages landed, pages announced.
+
+    Counts the pages whose rows are used: those of an index with a page 1,
+    numbered up to its ``totalPages``.
+    """
     chosen = select_pages(pages, all_pages)
-    return chosen.groupBy("index").agg(
-        F.sum(F.coalesce(F.size("results"), F.lit(0))).cast("long").alias("total_records"),
-        F.count(F.lit(1)).alias("pages_landed"),
-        F.max(F.when(F.col("page_number") == 1, F.col("total_pages"))).alias("total_pages"),
+    # one row per (index, page number) comes out of the first aggregation, so
+    # the second knows page 1's count without a join of the pages
+    per_page = chosen.groupBy("index", "page_number").agg(
+        F.sum(F.coalesce(F.size("results"), F.lit(0))).cast("long").alias("records"),
+        F.count(F.lit(1)).alias("pages"),
+        F.max("total_pages").alias("total_pages"),
+    )
+    first = per_page.where("page_number = 1").select(
+        F.col("index").alias("first_index"), F.greatest("total_pages", F.lit(1)).alias("last_page"), F.col("total_pages").alias("announced")
+    )
+    used = per_page.join(first, F.col("index").eqNullSafe(F.col("first_index"))).where("page_number <= last_page")
+    return used.groupBy("index").agg(
+        F.sum("records").alias("total_records"), F.sum("pages").alias("pages_landed"), F.max("announced").alias("total_pages")
     )

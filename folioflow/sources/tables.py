@@ -1,27 +1,9 @@
-"""Plain Parquet table reads, with enough parallelism for the work after the scan."""
+"""Plain Parquet table reads."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame, min_splits: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan has fewer splits.
-
-    A Parquet file is split by row group, so a table stored as one row
-    group is scanned by one task, and every expression before the first
-    shuffle runs on one core.  Spreading costs one shuffle of the input;
-    large inputs (one split per row group, thousands of them) are left
-    as they are, so no shuffle is added where the scan is already parallel.
-    """
-    try:
-        target = min_splits or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the plan as it is
-        return df
-    return df if splits >= target else df.repartition(target)
-
-
-def read_table(spark: SparkSession, path: str, *, spread_input: bool = True) -> DataFrame:
-    df = spark.read.parquet(path)
-    return spread(df) if spread_input else df
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

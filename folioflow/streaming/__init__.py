@@ -1,5 +1,5 @@
-"""Structured Streaming form of the extract job."""
+"""File streams of landed pages."""
 
-from folioflow.streaming.landing import landing_stream
+from folioflow.streaming.landing import landing_stream, stage_pages, staged_pages
 
-__all__ = ["landing_stream"]
+__all__ = ["landing_stream", "stage_pages", "staged_pages"]

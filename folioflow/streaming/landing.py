@@ -1,78 +1,78 @@
-"""Continuous ingest of landed pages (the extract job on a file stream).
+"""Landed pages from a file stream, through the batch extract.
 
-Pages land as files; a file-stream source picks up each new file once,
-and the Parquet file sink commits every micro-batch through its own log,
-so a restarted query (lost driver or executors) neither loses nor
-duplicates rows.  ``availableNow`` processes what has landed and stops,
-which is the scheduled-daily shape of the batch job.
-
-Each page carries its own header here: holding page 1's header across
-micro-batches would need state for every open index, which the batch job
-does not need either (it sees all pages at once).
+The stream only stages: new landing files are read as they arrive, parsed,
+and appended to a staging table of pages (the file sink's log makes that
+exactly-once).  The raw day is then written from *all* staged pages by the
+extract job's own plan, so page selection, page 1's header, the cut at
+``totalPages`` and the replacement of the day are the same as in a batch run
+over the same landing, and the batch tree holds nothing but that job's files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from folioflow.functions.dates import partition_columns, timestamp_literal
-from folioflow.operators.clean import clean_columns, conform
-from folioflow.operators.flatten import flatten_results
 from folioflow.options import JobOptions
-from folioflow.schemas import CORRUPT_COLUMN, PAGE_WITH_CORRUPT, PARTITION_COLUMNS, RAW
-from folioflow.session import scratch_path
-from folioflow.sources.pages import normalise_pages, usable
+from folioflow.plans.jobs import ExtractReport, extract_pages
+from folioflow.schemas import LANDED_PAGE
+from folioflow.sources.pages import JSON_OPTIONS, normalise_pages
 
 
-def landing_stream(
+def stage_pages(
     spark: SparkSession,
     landing: str,
-    opts: JobOptions,
+    staging: str,
+    checkpoint: str,
     *,
-    output: str | None = None,
-    checkpoint: str | None = None,
     multi_line: bool = True,
+    index: str | None = None,
+    max_files_per_trigger: int = 10_000,
     available_now: bool = True,
-    max_files_per_trigger: int = 1000,
 ) -> StreamingQuery:
-    """Start the ingest; returns the running query (``awaitTermination()`` to wait).
-
-    The index comes, as in the batch reader, from an ``index=<name>``
-    directory level or an ``index`` field landed beside the response,
-    else from ``opts.index``.
-    """
-    schema = StructType(PAGE_WITH_CORRUPT.fields + [StructField("index", StringType())])
-    stream = (
+    """Append the pages of new landing files to ``staging`` (see :func:`~folioflow.sources.pages.read_pages`)."""
+    schema = StructType(LANDED_PAGE.fields + [StructField("index", StringType())])
+    bodies = (
         spark.readStream.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        .options(**JSON_OPTIONS)
         .option("multiLine", multi_line)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .json(landing)
     )
+    file_col = F.col("_metadata.file_name") if multi_line else F.lit(None).cast("string")
+    bodies = bodies.withColumn("_source_file", file_col)
     pages = normalise_pages(
-        stream.withColumn("_source_file", F.col("_metadata.file_name")),
-        index_col=F.coalesce(F.col("index"), F.lit(opts.index)),
-        file_col=F.col("_source_file"),
-    )
-    rows = flatten_results(usable(pages), header_from_first_page=False).withColumns(
-        {
-            "extraction_date": F.to_date(timestamp_literal(opts.run_timestamp)),
-            "extraction_timestamp": timestamp_literal(opts.run_timestamp),
-        }
+        bodies, index_col=F.coalesce(F.col("index"), F.lit(index).cast("string")), file_col=F.col("_source_file")
     )
-    raw = conform(clean_columns(rows, opts.number_mode), RAW, keep=("index",) if opts.keeps_index else ())
-    raw = raw.withColumns(partition_columns(F.col("extraction_date")))
-    cols = [*opts.leading_partitions, *PARTITION_COLUMNS]
-    writer = (
-        raw.writeStream.format("parquet")
-        .option("path", output or opts.raw_path)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "landing-stream"))
-        .partitionBy(*cols)
-        .outputMode("append")
+    writer = pages.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start(staging)
+
+
+def staged_pages(spark: SparkSession, staging: str) -> DataFrame:
+    """Everything staged so far."""
+    return spark.read.parquet(staging)
+
+
+def landing_stream(
+    spark: SparkSession,
+    landing: str,
+    opts: JobOptions,
+    *,
+    multi_line: bool = True,
+    partition_day: dt.date | str | None = None,
+    staging: str | None = None,
+    checkpoint: str | None = None,
+) -> ExtractReport:
+    """Stage what has landed since the last call, then write the day from all staged pages."""
+    staging = staging or f"{opts.root.rstrip('/')}/_staging/pages"
+    query = stage_pages(
+        spark, landing, staging, checkpoint or f"{opts.root.rstrip('/')}/_staging/checkpoint", multi_line=multi_line, index=opts.index
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"staging failed: {query.exception()}")
+    return extract_pages(spark, staged_pages(spark, staging), opts, partition_day=partition_day)

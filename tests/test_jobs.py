@@ -138,19 +138,83 @@ def test_publish_registers_partitions(spark, scratch):
     assert t.count() == 134
 
 
-def test_landing_stream_available_now(spark, scratch):
+def test_landing_stream_gives_the_rows_of_the_extract(spark, scratch):
     root = scratch("stream")
     _land_three(f"{root}/landing")
-    opts = _opts(root)
-    q = landing_stream(spark, f"{root}/landing", opts, checkpoint=f"{root}/_ckpt")
-    q.awaitTermination()
-    assert q.exception() is None
-    assert read_tree(spark, opts.raw_path).count() == 134
-    # a restart with nothing new adds nothing (the checkpoint remembers the files)
+    opts = _opts(root, all_pages=True)
+    assert landing_stream(spark, f"{root}/landing", opts).write.record_count == 134
+    # a page beyond totalPages is staged but not used, and the day is replaced, not doubled
     land(f"{root}/landing", "page-0009.json", page_body(9, 9, [record(500)]))
-    q2 = landing_stream(spark, f"{root}/landing", opts, checkpoint=f"{root}/_ckpt")
-    q2.awaitTermination()
-    assert read_tree(spark, opts.raw_path).count() == 135
+    landing_stream(spark, f"{root}/landing", opts)
+    assert read_tree(spark, opts.raw_path).count() == 134
+    # page 1 alone is the default of both
+    other = _opts(scratch("stream"))
+    assert landing_stream(spark, f"{root}/landing", other).write.record_count == 50
+
+
+def test_stream_then_batch_on_one_root(spark, scratch):
+    root = scratch("stream")
+    _land_three(f"{root}/landing")
+    opts = _opts(root, all_pages=True)
+    landing_stream(spark, f"{root}/landing", opts)
+    extract_job(spark, f"{root}/landing", opts, partition_day="2025-07-26")
+    assert read_tree(spark, opts.raw_path).count() == 268
+    assert read_day(spark, opts.raw_path, "2025-07-25").count() == read_day(spark, opts.raw_path, "2025-07-26").count() == 134
+
+
+def test_one_index_is_taken_from_a_landing_of_several(spark, scratch):
+    root = scratch("job")
+    for idx in ("IBOV", "SMLL"):
+        land(f"{root}/landing/index={idx}", "page-0001.json", page_body(1, 1, [record(1 if idx == "IBOV" else 2)]))
+    opts = _opts(root, index="SMLL")
+    assert extract_job(spark, f"{root}/landing", opts).write.record_count == 1
+    assert [r.cod for r in read_day(spark, opts.raw_path, RUN.date()).collect()] == ["C002"]
+
+
+def test_losses_are_reported(spark, scratch):
+    root = scratch("job")
+    lines = [page_body(1, 3, [record(1)]), {"page": {"totalPages": 1}, "results": [record(2)]}, page_body(2, 3, [record(3, part="n/d")])]
+    land(f"{root}/landing", "part-00007.jsonl", "\n".join(json.dumps(x) for x in lines))
+    report = extract_job(spark, f"{root}/landing", _opts(root, all_pages=True), multi_line=False)
+    assert report.write.record_count == 2
+    assert report.losses() == {
+        "missing_pages": 1, "missing_first_pages": 0, "unnumbered_pages": 1, "unparsed_part": 1, "unparsed_theoricalQty": 0
+    }
+    one = extract_job(spark, f"{root}/landing", _opts(scratch("job")), multi_line=False)
+    assert one.write.record_count == 1 and one.losses()["missing_pages"] == 0
+    assert {r.total_records for r in one.counts.collect()} == {1}
+
+
+def test_all_uses_one_day(spark, scratch):
+    from folioflow.__main__ import main
+
+    root = scratch("cli")
+    _land_three(f"{root}/landing")
+    out = main(["all", "--landing", f"{root}/landing", "--all-pages", "--day", "2025-07-24", "--root", root, "--run-timestamp", RUN.isoformat()])
+    assert (out["raw_records"], out["portfolio_rows"]) == (134, 67)
+    assert read_transformed_day(spark, _opts(root), "2025-07-24").count() == 67
+
+
+def test_manifest_command(spark, scratch):
+    from folioflow.__main__ import main
+
+    root = scratch("cli")
+    args = ["manifest", "--base-url", "https://h/x", "--total-pages", "3", "--all-pages", "--page-size", "50", "--language", "en-us", "--index", "SMLL"]
+    out = main([*args, "--root", root])
+    rows = spark.read.parquet(out["path"]).orderBy("page_number").collect()
+    assert out["requests"] == 3 and [r.page_number for r in rows] == [1, 2, 3]
+    assert {(r["index"], r.language, r.page_size) for r in rows} == {("SMLL", "en-us", 50)}
+
+
+def test_backfill_audits_every_day(spark, scratch):
+    root = scratch("job")
+    _land_three(f"{root}/landing")
+    opts = _opts(root, all_pages=True)
+    for day in ("2025-07-20", "2025-07-21"):
+        extract_job(spark, f"{root}/landing", opts, partition_day=day)
+    backfill_transform(spark, opts)
+    rows = [r for r in read_audit(spark, opts.audit_path).collect() if r.target == opts.transformed_path]
+    assert sorted((str(r.partition_date), r.record_count) for r in rows) == [("2025-07-20", 67), ("2025-07-21", 67)]
 
 
 def test_command_line(spark, scratch):
@@ -175,10 +239,8 @@ def test_landing_stream_index_from_directories(spark, scratch):
     for idx in ("IBOV", "007"):
         for n, recs in three_pages():
             land(f"{root}/landing/index={idx}", f"page-{n:04d}.json", page_body(n, 3, recs))
-    opts = _opts(root, index_mode="column")
-    q = landing_stream(spark, f"{root}/landing", opts, checkpoint=f"{root}/_ckpt")
-    q.awaitTermination()
-    assert q.exception() is None
+    opts = _opts(root, all_pages=True, index_mode="column")
+    landing_stream(spark, f"{root}/landing", opts)
     got = {r["index"]: r.n for r in read_tree(spark, opts.raw_path, opts.raw_schema).groupBy("index").count()
            .withColumnRenamed("count", "n").collect()}
     assert got == {"IBOV": 134, "007": 134}

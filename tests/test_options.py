@@ -1,4 +1,4 @@
-"""Job options validation and the input-spreading helper."""
+"""Job options and session settings."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ import pytest
 
 from folioflow.options import JobOptions
 from folioflow.schemas import PORTFOLIO, RAW
-from folioflow.sources.tables import spread
 
 
 def test_options_validate():
@@ -33,10 +32,27 @@ def test_options_paths_and_modes():
     assert part.group_keys == ("index",) and part.leading_partitions == ("index",) and part.raw_schema == RAW
 
 
-def test_spread_only_when_the_scan_has_too_few_splits(spark):
-    one = spark.range(0, 1000, 1, 1)
-    spread_one = spread(one, 8)
-    assert spread_one.rdd.getNumPartitions() == 8
-    many = spark.range(0, 1000, 1, 16)
-    assert spread(many, 8) is many  # already parallel: no shuffle added
-    assert spread_one.count() == 1000
+def test_the_language_chooses_the_number_grammar():
+    assert JobOptions(root="/x").number_mode == "ptbr"
+    assert JobOptions(root="/x", language="en-us").number_mode == "enus"
+    assert JobOptions(root="/x", language="fr", number_mode="compat").number_mode == "compat"
+    with pytest.raises(ValueError, match="language"):
+        JobOptions(root="/x", language="fr")
+
+
+def test_users_settings_win_over_the_defaults(spark):
+    from folioflow.session import SESSION_DEFAULTS, build_session
+
+    assert "minPartitionSize" not in str(SESSION_DEFAULTS)
+    again = build_session("local[*]", **{"spark.sql.shuffle.partitions": "8"})
+    assert again.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_no_scratch_folder_is_made_up_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from folioflow.session import shared_dir
+
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None, getConf=lambda: {})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(sparkContext=context))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from folioflow.operators import flatten_results, to_raw
@@ -15,6 +16,7 @@ from folioflow.sources import (
     read_pages,
     request_manifest,
     select_pages,
+    unnumbered_pages,
 )
 from tests.conftest import land, page_body, record, three_pages
 
@@ -129,11 +131,47 @@ def test_compat_mode_reproduces_old_behaviour(spark, scratch):
 def test_page_number_from_file_name(spark, scratch):
     folder = scratch("landing")
     body = {"page": {"totalPages": 2}, "results": [record(1)]}
-    land(folder, "resp-0001.json", body)
-    land(folder, "resp-0002.json", {"results": [record(2)]})
+    land(folder, "page-0001.json", body)
+    land(folder, "page-0002.json", {"results": [record(2)]})
     pages = read_pages(spark, folder, index="X")
     assert sorted(r.page_number for r in pages.collect()) == [1, 2]
     assert missing_pages(pages).count() == 0
+    # only that pattern counts: a date in a name is no page number
+    land(folder, "x_20250725.json", {"results": [record(3)]})
+    pages = read_pages(spark, folder, index="X")
+    assert unnumbered_pages(pages).count() == 1
+    assert flatten_results(select_pages(pages, True)).count() == 2
+
+
+def test_pages_without_an_index_are_one_index(spark, scratch):
+    folder = scratch("landing")
+    _land_three(folder)
+    pages = read_pages(spark, folder)
+    assert flatten_results(select_pages(pages, True)).count() == 134
+    assert missing_pages(pages).count() == 0 and missing_first_pages(pages).count() == 0
+
+
+def test_number_tokens_keep_their_value(spark, scratch):
+    import json
+
+    folder = scratch("landing")
+    tokens = [("2.857", 2.857), ("1.125", 1.125), ('"0,490"', 0.49), ("12", 12.0), ("1e20", 1e20), ("-3.5", -3.5), ("1.12e-7", 1.12e-7), ("null", None), ('"1.234"', 1234.0)]
+    body = '{"page":{"pageNumber":1},"results":[%s]}' % ",".join('{"cod":"%d","part":%s}' % (i, t) for i, (t, _) in enumerate(tokens))
+    assert json.loads(body)
+    land(folder, "page-0001.json", body)
+    for mode in ("ptbr", "enus"):
+        rows = to_raw(read_pages(spark, folder, index="X"), RUN, number_mode=mode).collect()
+        got = {int(r.cod): r.part for r in rows}
+        for i, (t, want) in enumerate(tokens):
+            if mode == "ptbr" or not t.startswith('"'):
+                assert got[i] == want, (mode, t)
+
+
+def test_a_page_count_out_of_range_raises(spark, scratch):
+    folder = scratch("landing")
+    land(folder, "page-0001.json", page_body(1, 10**12, [record(1)]))
+    with pytest.raises(Exception, match="totalPages out of range"):
+        missing_pages(read_pages(spark, folder, index="X")).collect()
 
 
 def test_json_lines_and_index_directories(spark, scratch):

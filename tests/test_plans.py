@@ -51,7 +51,8 @@ def test_transform_reads_only_needed_columns_of_one_day(spark, scratch):
     write_daily(_skewed_raw(spark, 3000), root, "2025-07-25")
     result = portfolio_by_asset(read_day(spark, root, "2025-07-25", RAW), RUN.date())
     plan = _plan(result)
-    assert "PartitionFilters" in plan and "isnotnull(day" in plan
+    files = read_day(spark, root, "2025-07-25", RAW).inputFiles()
+    assert files and all("/day=25/" in f for f in files)  # the file index is opened on the day's directory
     read_schema = plan[plan.index("ReadSchema") :].split("\n")[0] if "ReadSchema" in plan else plan
     for unused in ("segment", "partAcum", "extraction_timestamp", "reductor"):
         assert unused not in read_schema, read_schema
@@ -87,11 +88,46 @@ def test_json_bodies_are_parsed_once(spark):
     )
     rows = flatten_results(select_pages(parse_pages(bodies), all_pages=True))
     optimized = _optimized(rows)
-    # one from_json per branch of the header join (probe side + page-1 header side)
-    assert optimized.count("from_json(") == 2, optimized
+    # the header frame is stored; the pages' own side parses once and is not shuffled
+    assert optimized.count("from_json(") == 1, optimized
+    assert "Exchange hashpartitioning" not in _plan(rows)
     assert rows.count() == 2
 
 
+def test_page_one_needs_no_join(spark):
+    bodies = spark.createDataFrame([("IBOV", json.dumps(page_body(1, 2, [record(1)])))], "index string, body string")
+    rows = flatten_results(select_pages(parse_pages(bodies), all_pages=False), header_from_first_page=False)
+    assert "Join" not in _plan(rows) and "Exchange" not in _plan(rows)
+    assert rows.count() == 1
+
+
+def test_many_headers_are_joined_by_a_split_key(spark, monkeypatch):
+    from folioflow.operators import flatten
+
+    monkeypatch.setattr(flatten, "BROADCAST_HEADERS", 0)
+    bodies = spark.createDataFrame([("IBOV", json.dumps(page_body(n, 90, [record(n)]))) for n in range(1, 91)], "index string, body string")
+    rows = flatten_results(select_pages(parse_pages(bodies), all_pages=True))
+    assert "page_bucket" in _optimized(rows)
+    assert rows.count() == 90
+
+
+def test_one_day_is_not_hashed_on_its_date(spark, scratch):
+    from pyspark.sql import functions as F  # noqa: PLC0415
+
+    root = scratch("one-day")
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        write_daily(spark.range(0, 100_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("payload")), root, "2025-07-25")
+    finally:
+        spark.conf.set(key, before)
+    import os
+
+    day = os.path.join(root, "year=2025", "month=07", "day=25")
+    assert len([f for f in os.listdir(day) if f.endswith(".parquet")]) > 1  # dealt to several tasks even without adaptive execution
+
+
 def test_no_python_udfs_in_registered_plans(spark):
     import __spark_entry__ as entry
 

@@ -29,8 +29,8 @@ def py_ptbr(t: str | None) -> Decimal | None:
         n = s
     else:
         return None
-    d = Decimal(n).quantize(Decimal("0.0001"), rounding=ROUND_HALF_UP)
-    return None if abs(d) >= Decimal(10) ** 16 else d
+    d = Decimal(n).quantize(Decimal(1).scaleb(-18), rounding=ROUND_HALF_UP)
+    return None if abs(d) >= Decimal(10) ** 18 else d
 
 
 def py_compat(t: str | None) -> float | None:
@@ -71,3 +71,32 @@ def test_clean_text_matches_python_strip(spark, values):
     for i, v in enumerate(values):
         want = None if v is None or v.strip() == "None" else v.strip()
         assert got[i] == want, (v, got[i], want)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False, width=64)), min_size=1, max_size=60))
+def test_sums_round_and_drop_nothing(spark, values):
+    import math
+
+    from folioflow.functions import sum_double, sums
+
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    got = df.agg(sum_double(sums("v")).alias("s")).first()["s"]
+    there = [v for v in values if v is not None]
+    want = math.fsum(there)
+    assert abs(got - want) <= 1e-12 * max(1.0, math.fsum(map(abs, there)))
+
+
+def test_consecutive_nanosecond_stamps_keep_their_microsecond(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from folioflow.sources.legacy import epoch_count_to_ntz
+
+    first = 1_753_453_960_123_456_000
+    got = spark.range(2000).select(epoch_count_to_ntz(F.lit(first) + F.col("id") * 1000 + 999).alias("t"), "id").orderBy("id").collect()
+    start = dt.datetime(2025, 7, 25, 14, 32, 40, 123456)
+    assert [r.t for r in got] == [start + dt.timedelta(microseconds=i) for i in range(2000)]
+    early = spark.range(1).select(epoch_count_to_ntz(F.lit(-1)).alias("t")).first().t
+    assert early == dt.datetime(1969, 12, 31, 23, 59, 59, 999999)

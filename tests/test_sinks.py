@@ -70,8 +70,9 @@ def test_read_day_missing(spark, scratch):
 def test_day_read_is_pruned(spark, scratch):
     root = scratch("raw")
     write_daily(_raw(spark, "A", 1), root, "2024-01-15")
-    plan = read_day(spark, root, "2024-01-15", must_exist=False)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "2024" in plan
+    write_daily(_raw(spark, "B", 1), root, "2024-01-16")
+    files = read_day(spark, root, "2024-01-15").inputFiles()
+    assert files and all("year=2024/month=01/day=15" in f for f in files)
 
 
 def test_audit_appends(spark, scratch):
@@ -94,12 +95,42 @@ def test_publish_table(spark, scratch):
     assert dict(t.dtypes)["month"] == "string"
 
 
+def test_republish_to_another_place_returns_its_rows(spark, scratch):
+    one, two, name = scratch("raw"), scratch("raw"), "folioflow_test.moved_" + scratch("x").rsplit("-", 1)[-1][:12]
+    write_daily(_raw(spark, "A", 1), one, "2024-01-15")
+    write_daily(_raw(spark, "B", 5), two, "2024-01-15")
+    assert publish_table(spark, name, one, database_location=scratch("catalog")).count() == 1
+    assert publish_table(spark, name, two).count() == 5
+    assert publish_table(spark, name, two).count() == 5
+    assert read_tree(spark, one).count() == 1  # the first tree's files are left alone
+
+
+def test_null_keys_fail_the_write(spark, scratch):
+    df = spark.createDataFrame([(1, dt.date(2024, 1, 15)), (2, None)], "id long, d date")
+    with pytest.raises(Exception, match="NULL day"):
+        write_daily(df, scratch("raw"), date_col="d")
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id long, index string")
+    with pytest.raises(Exception, match="NULL index"):
+        write_daily(df, scratch("raw"), "2024-01-15", leading=("index",))
+
+
+def test_open_and_bounded_ranges(spark, scratch):
+    root = scratch("raw")
+    for day in ("2023-12-31", "2024-01-15", "2025-02-01"):
+        write_daily(_raw(spark, "A", 1), root, day)
+    from folioflow.sources import read_days
+
+    count = lambda a, b: read_days(spark, root, a, b).count()
+    assert (count(None, None), count("2024-01-01", None), count(None, "2024-01-15"), count("2024-01-15", "2024-12-31")) == (3, 2, 2, 1)
+
+
 def test_csv_roundtrip(spark, scratch):
     path = scratch("csv") + "/out"
-    df = spark.createDataFrame([("A, B", 1.25, 3), ("C", None, 4)], "a string, b double, c long")
+    rows = [("A, B", 1.25, 3), ("C", None, 4), (" pad ", 0.0, 5), ('say "x"', 0.0, 6), ("two\nlines", 0.0, 7), ("", 0.0, 8), (None, 0.0, 9), ("back\\slash", 0.0, 10)]
+    df = spark.createDataFrame(rows, "a string, b double, c long")
     write_csv(df, path)
     back = read_csv(spark, path, df.schema)
-    assert sorted(tuple(r) for r in back.collect()) == [("A, B", 1.25, 3), ("C", None, 4)]
+    assert sorted((tuple(r) for r in back.collect()), key=lambda r: r[2]) == rows
 
 
 def _legacy_day(folder, day, null_segment, unit="ns"):
