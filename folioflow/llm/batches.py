@@ -20,7 +20,7 @@ ARROW_TYPES = {
 
 # Texts are handed to an operator in groups of about this many characters,
 # which bounds what one Python worker holds besides the Arrow batch itself.
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 2_000_000
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
@@ -46,6 +46,17 @@ def groups(texts: list[str], limit: int = GROUP_CHARS) -> Iterator[tuple[int, in
         yield lo, len(texts)
 
 
+# Rows of an Arrow batch that are turned into Python objects at a time.
+SLICE_ROWS = 1_000
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most SLICE_ROWS rows (no copy)."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(lo, SLICE_ROWS)
+
+
 def map_columns(df: DataFrame, schema: dict[str, str], start: Callable) -> DataFrame:
     """``mapInArrow`` by column lists.
 
@@ -57,7 +68,7 @@ def map_columns(df: DataFrame, schema: dict[str, str], start: Callable) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
-        for batch in batches:
+        for batch in slices(batches):
             got = work({n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)})
             yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) for f in out], schema=out)
 
@@ -75,7 +86,7 @@ def filter_rows(df: DataFrame, column: str, start: Callable) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array(work(batch.column(at).to_pylist()), type=pa.bool_()))
 
     plain = df.toDF(*[f"c{i}" for i in range(len(names))])
@@ -94,7 +105,7 @@ def replace_rows(df: DataFrame, column: str, changed: dict[str, str], start: Cal
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
-        for batch in batches:
+        for batch in slices(batches):
             got = work(batch.column(at).to_pylist())
             arrays = list(batch.columns)
             for n in changed:

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.batches import groups, pick
+from folioflow.llm.batches import groups, pick, slices
 from folioflow.llm.word_tokens import WordTokenizer, tokenizer_path
 from folioflow.session import scratch_path
 
@@ -45,6 +45,7 @@ MU = 10.0
 BUCKET_TOKENS = 8_000_000
 BROADCAST_IDS = 500_000
 CHUNK_DOCS = 50_000
+CHUNK_CHARS = 1_000_000
 SIZE = 49_408  # ids of the default tokenizer; one more stands for the start of a text
 
 
@@ -86,9 +87,9 @@ def _chunks(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokenizer.open(tokenizer)
         number = TaskContext.get().partitionId() << 20
-        for batch in batches:
+        for batch in slices(batches):
             doc_ids, texts, target = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()], batch.column(2).to_pylist()
-            for first, last in groups(texts):
+            for first, last in groups(texts, CHUNK_CHARS):
                 for lo in range(first, last, CHUNK_DOCS):
                     hi = min(last, lo + CHUNK_DOCS)
                     raw = [words.ids(t) for t in texts[lo:hi]]
@@ -107,7 +108,7 @@ def _read(row: dict, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     """(u, v, document number, target flag of each document) of a chunk's bigrams."""
     lengths = np.frombuffer(row["lengths"], dtype="<u4").astype(np.int64)
     v = np.frombuffer(row["ids"], dtype="<u2").astype(np.int64)
-    doc = np.repeat(np.arange(len(lengths)), lengths)
+    doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
     u = np.empty_like(v)
     u[1:] = v[:-1]
     starts = np.cumsum(lengths) - lengths

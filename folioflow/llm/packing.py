@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.llm.batches import ARROW_TYPES, pick
+from folioflow.llm.batches import ARROW_TYPES, pick, slices
 from folioflow.llm.word_tokens import WordTokenizer, tokenizer_path
 from folioflow.session import scratch_path
 
@@ -239,7 +239,7 @@ def _tokens(docs: DataFrame, tokenizer: str, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokenizer.open(tokenizer)
-        for batch in batches:
+        for batch in slices(batches):
             counts, tails, fulls, marks = [], [], [], []
             for text in batch.column(1).to_pylist():
                 raw = words.ids(text or "") + end

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.batches import ARROW_TYPES, pick
+from folioflow.llm.batches import ARROW_TYPES, pick, slices
 
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (911_382_323, 972_663_749)
@@ -212,7 +212,7 @@ def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
     out = pa.schema([(n, ARROW_TYPES[t]) for n, t in SCHEMA.items()])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
+        for batch in slices(batches):
             yield from zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

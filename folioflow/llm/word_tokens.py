@@ -14,7 +14,7 @@ from array import array
 
 import numpy as np
 
-CACHE_WORDS = 500_000  # words in each of the two generations of the cache
+CACHE_WORDS = 350_000  # words in each of the two generations of the cache
 TAIL = ".,!?;:*$%#&|)"
 
 
