@@ -17,7 +17,7 @@ SF_MEDIUM = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[*]", "folioflow-tests", **{"spark.sql.shuffle.partitions": "8"})
+    session = build_session("local[*]", "folioflow-tests", **{"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB"})
     yield session
     session.stop()
 
