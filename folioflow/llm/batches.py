@@ -111,7 +111,7 @@ def replace_rows(df: DataFrame, column: str, changed: dict[str, str], start: Cal
             for n in changed:
                 if n in names:
                     i = names.index(n)
-                    arrays[i] = pa.array(got[n], type=batch.schema.field(i).type)
+                    arrays[i] = pa.array(got[n]).cast(batch.schema.field(i).type)
             yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
 
     return plain.mapInArrow(run, plain.schema).toDF(*names)
