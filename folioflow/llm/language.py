@@ -11,7 +11,8 @@ numbering of byte strings; a few array lookups for each byte give the longest
 known string that ends there, with its cost in every language at once.
 
 Training reads a bounded sample of labelled rows: about ``sample_docs`` rows
-for each language (at most twice that), chosen by a hash of ``doc_id``, whole
+for each language (at most twice that; fewer if there are so many languages
+that this would pass ``SAMPLE_ROWS`` rows), chosen by a hash of the row, whole
 texts of at most ``sample_chars`` characters.  Prediction reads whole texts.
 
 Defined results: ``und`` with score 0 for a NULL text, a text without a
@@ -29,6 +30,7 @@ from folioflow.llm.batches import filter_rows, map_columns, pick
 
 ORDER = 3
 FOLDS = 5
+SAMPLE_ROWS = 10_000
 GROUP_BYTES = 1_000_000
 
 
@@ -215,6 +217,7 @@ def train(docs: DataFrame, sample_docs: int = 200, sample_chars: int = 20_000, o
     )
     rows = rows.where(F.length("text").between(1, sample_chars))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sample_docs = max(1, min(sample_docs, SAMPLE_ROWS // max(1, len(counts))))
     # one condition for each language: a share of the hash range that holds about sample_docs rows
     chosen = F.lit(False)
     place = (F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**30)) / F.lit(float(2**30)))

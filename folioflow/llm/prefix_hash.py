@@ -191,10 +191,14 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
         F.min("place").alias("first"), F.percentile_approx("place", F.array(*shares), 10_000).alias("rest") if shares else F.array().alias("rest")
     ).first()  # one number for each partition
     bounds = sorted({found["first"], *(found["rest"] or [])}) if found["first"] is not None else [LEAST_ID]
-    at = F.array(*[F.lit(b) for b in bounds])
-    home = F.size(F.filter(at, lambda b: b <= F.col("place"))) - 1
+    # the last bound up to a place, found in two steps of about the square root of their number
+    stride = max(1, round(len(bounds) ** 0.5))
+    at, coarse = F.array(*[F.lit(b) for b in bounds]), F.array(*[F.lit(b) for b in bounds[::stride]])
+    upto = lambda some: F.size(F.filter(some, lambda b: b <= F.col("place")))
+    before = (upto(coarse) - 1) * stride
+    home = before + upto(F.slice(at, before + 1, F.lit(stride))) - 1
     last = len(bounds) - 1
-    guard_of = F.when(F.array_contains(at, F.col("place")), F.when(home == 0, F.lit(last)).otherwise(home - 1))
+    guard_of = F.when(F.element_at(at, home + 1) == F.col("place"), F.when(home == 0, F.lit(last)).otherwise(home - 1))
     copies = F.when(
         guard_of.isNotNull(),
         F.array(F.struct(home.alias("part"), F.lit(False).alias("guard")), F.struct(guard_of.alias("part"), F.lit(True).alias("guard"))),
