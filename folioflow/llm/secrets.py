@@ -24,7 +24,7 @@ import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,6 +44,13 @@ ESCAPES = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-F
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 MAX_LAYER = 8_000_000
 OVERLAP = 65_536
+PROBE = 65_536
+ZSTD_STEP = 512  # compressed bytes read at once
+BINARY = re.compile(rb"[^\t\r\n\x20-\x7e]")
+HEX_VALUE = np.array([int(chr(b), 16) if chr(b) in "0123456789abcdefABCDEF" else -1 for b in range(256)])
+BROKEN = (zlib.error, zstandard.ZstdError, OSError, EOFError, lzma.LZMAError, ValueError)
+ZLIB = b"|".join(re.escape(bytes((c, f))) for c in range(0x08, 0x79, 16) for f in range(256) if (c << 8 | f) % 31 == 0 and not f & 0x20)
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x28\xb5\x2f\xfd|BZh[1-9]|\xfd7zXZ\x00|" + ZLIB, re.S)  # where compressed data may begin
 
 
 @dataclass
@@ -64,8 +71,8 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[1])))
 
 
-def _inflate(data: bytes) -> Iterator[bytes]:
-    """Pieces of decompressed data, if ``data`` is compressed in a known form."""
+def _member(data: bytes) -> Generator[bytes, None, bytes]:
+    """Pieces of the first compressed member of ``data``, if it is one of a known form; returns the bytes after it."""
     if data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 0x0F == 8 and (data[0] << 8 | data[1]) % 31 == 0):
         work = zlib.decompressobj(47)
         piece = work.decompress(data, MAX_LAYER)
@@ -73,13 +80,80 @@ def _inflate(data: bytes) -> Iterator[bytes]:
             yield piece
             piece = work.decompress(work.unconsumed_tail, MAX_LAYER) if work.unconsumed_tail else b""
     elif data[:4] == b"\x28\xb5\x2f\xfd":
-        yield from zstandard.ZstdDecompressor().read_to_iter(data, write_size=MAX_LAYER)
+        work = zstandard.ZstdDecompressor().decompressobj()  # its output is not bounded, so its input is
+        for at in range(0, len(data), ZSTD_STEP):
+            piece = work.decompress(data[at : at + ZSTD_STEP])
+            for lo in range(0, len(piece), MAX_LAYER):
+                yield piece[lo : lo + MAX_LAYER]
+            if work.eof:
+                return work.unused_data + data[at + ZSTD_STEP :]
+        return b""
     elif data[:3] == b"BZh" or data[:6] == b"\xfd7zXZ\x00":
         work = bz2.BZ2Decompressor() if data[:3] == b"BZh" else lzma.LZMADecompressor()
         piece = work.decompress(data, MAX_LAYER)
         while piece:
             yield piece
             piece = b"" if work.eof else work.decompress(b"", MAX_LAYER)
+    elif data[1:4] == b"\x2a\x4d\x18" and data[0] >> 4 == 5:  # a zstd frame to be skipped
+        return data[8 + int.from_bytes(data[4:8], "little") :]
+    else:
+        return b""
+    return work.unused_data
+
+
+def _packed(data: bytes) -> bool:
+    """Whether ``data`` begins with compressed data."""
+    try:
+        return next(_member(data[:PROBE]), None) is not None
+    except BROKEN:
+        return False
+
+
+def _inflate(data: bytes, nested: list[bytes]) -> Iterator[bytes]:
+    """Pieces of the members of ``data`` one after the other; what is compressed again goes to ``nested`` whole."""
+    while data:
+        pieces = _member(data)
+        rest = b""
+        try:
+            piece = next(pieces)
+            inner = [piece] if _packed(piece) else None
+            try:
+                while True:
+                    if inner is None:
+                        yield piece
+                    piece = next(pieces)
+                    if inner is not None:
+                        inner.append(piece)
+            finally:
+                if inner is not None:
+                    nested.append(b"".join(inner))
+        except StopIteration as end:
+            rest = (end.value or b"").lstrip(b"\x00")  # zeros: padding between members
+        except BROKEN:
+            pass  # cut off or damaged: what came before counts
+        if rest and not _packed(rest):
+            nested.append(rest)
+            return
+        data = rest
+
+
+def _unpack(data: bytes) -> Iterator[str]:
+    """The texts inside ``data``, which is unwrapped as long as there is compressed data in it."""
+    work, seen = [data], set()
+    while work:
+        data = work.pop()
+        mark = hashlib.blake2b(data, digest_size=16).digest()
+        if mark in seen:
+            continue
+        seen.add(mark)
+        plain = _readable(data)
+        if plain is not None:
+            yield plain
+            continue
+        for window in _windows(_inflate(data, work)):
+            plain = _readable(window)
+            if plain is not None:
+                yield plain
 
 
 def _windows(pieces: Iterator[bytes]) -> Iterator[bytes]:
@@ -120,6 +194,7 @@ def _unwrap(layer: Layer) -> Iterator[Layer]:
         for m in RUN.finditer(text):
             if PERCENT.search(m.group()):
                 yield _bytewise(layer, m.start(), m.end())
+                yield from _packed_run(layer, m.start(), m.end())
     if "\\" in text or "&#" in text:
         found = list(ESCAPES.finditer(text))
         if found:
@@ -132,23 +207,49 @@ def _unwrap(layer: Layer) -> Iterator[Layer]:
         if not data:
             continue
         lo, hi = int(layer.starts[m.start()]), int(layer.ends[m.end() - 1])
-        plain = _readable(data)
-        if plain is not None:
+        for plain in _unpack(data):
             yield _coarse(plain, lo, hi)
-            continue
-        try:
-            for window in _windows(_inflate(data)):
-                plain = _readable(window)
-                if plain is not None:
-                    yield _coarse(plain, lo, hi)
-        except (zlib.error, zstandard.ZstdError, OSError, EOFError, lzma.LZMAError, ValueError):
-            continue  # not compressed data after all
 
 
 def _coarse(text: str, lo: int, hi: int) -> Layer:
     return Layer(text, np.full(len(text), lo, dtype=np.int64), np.full(len(text), hi, dtype=np.int64))
 
 
+def _percent_bytes(layer: Layer) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The bytes of ``layer`` with its percent escapes decoded, and the span of each."""
+    raw = np.frombuffer(layer.text.encode("utf-8", "surrogateescape"), dtype=np.uint8)
+    size = _sizes(layer.text)
+    starts, ends = np.repeat(layer.starts, size), np.repeat(layer.ends, size)
+    at = np.flatnonzero(raw[:-2] == ord("%"))
+    high, low = HEX_VALUE[raw[at + 1]], HEX_VALUE[raw[at + 2]]
+    good = (high >= 0) & (low >= 0)
+    at, value = at[good], (high * 16 + low)[good]
+    raw = raw.copy()
+    raw[at] = value
+    ends[at] = ends[at + 2]
+    kept = np.ones(len(raw), dtype=bool)
+    kept[at + 1] = kept[at + 2] = False
+    return raw[kept].tobytes(), starts[kept], ends[kept]
+
+
+def _sizes(text: str) -> np.ndarray:
+    """Bytes of each character; one for a byte that is no UTF-8 (a lone surrogate here)."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    size = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
+    return np.where((code >= 0xDC80) & (code <= 0xDCFF), 1, size)
+
+
+def _packed_run(layer: Layer, lo: int, hi: int) -> Iterator[Layer]:
+    """The texts of compressed data that stands in a run as percent escapes."""
+    raw, starts, ends = _percent_bytes(Layer(layer.text[lo:hi], layer.starts[lo:hi], layer.ends[lo:hi]))
+    if not BINARY.search(raw):
+        return
+    for m in MAGIC.finditer(raw):
+        if _packed(raw[m.start() : m.start() + PROBE]):
+            for plain in _unpack(raw[m.start() :]):
+                yield _coarse(plain, int(starts[m.start()]), int(ends[-1]))
+
+
 def _bytewise(layer: Layer, lo: int, hi: int) -> Layer:
     """A run with percent escapes, decoded with a span for each character (UTF-8, else one byte each)."""
     raw, starts, ends = bytearray(), [], []

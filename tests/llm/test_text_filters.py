@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import math
 import random
 import re
 import urllib.parse
+import zlib
 from collections import Counter, defaultdict
 
+import pytest
+import zstandard
+
 from folioflow.llm.language import ContextTrees, identify_language, keep_identified
 from folioflow.llm.repetition import RepetitionRules, keep_quality, measure, repetition_quality
 from folioflow.llm.secrets import find_secrets, redact, redact_secrets, scan
@@ -158,6 +164,25 @@ def test_nested_layers_are_unwrapped_and_mapped():
         assert "[SECRET]" in redact(text) and redact(text).startswith("aé ") and redact(text).endswith(" b")
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress])
+def test_compressed_data_in_compressed_data(pack):
+    secret = b"password = hunter2hunter2"
+    for data in (
+        pack(gzip.compress(secret)),
+        zlib.compress(bz2.compress(pack(secret))),
+        pack(b"nothing here ") + pack(secret),
+        pack(b"nothing here ") + zlib.compress(secret),
+        pack(b"see pass") + pack(b"word = hunter2hunter2"),
+        pack(b"nothing here ") + secret,
+        gzip.compress(pack(b"a")) + gzip.compress(pack(secret)),
+    ):
+        for inner in (base64.b64encode(data).decode(), "q=" + urllib.parse.quote(data, safe="")):
+            text = f"aé {inner} b"
+            spans = scan(text)[1]
+            assert spans and all(3 <= lo < hi <= 3 + len(inner) for lo, _, hi in spans)
+    assert scan(base64.b64encode(pack(secret * 3)[:-5]).decode())[2] <= 1  # cut off
+
+
 def test_cycles_and_junk_end():
     text = "%25" * 50 + " " + base64.b64encode(b"\x00" * 40).decode() + " " + "A" * 5000 + " \\u{110000} \\ud800 %zz &#99999999;"
     scan(text)
