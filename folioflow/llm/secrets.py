@@ -190,10 +190,10 @@ def _decode_base64(run: str) -> bytes | None:
 def _unwrap(layer: Layer) -> Iterator[Layer]:
     """The layers directly inside ``layer``."""
     text = layer.text
-    if "%" in text:
+    if PERCENT.search(text):
+        yield _bytewise(layer)
         for m in RUN.finditer(text):
             if PERCENT.search(m.group()):
-                yield _bytewise(layer, m.start(), m.end())
                 yield from _packed_run(layer, m.start(), m.end())
     if "\\" in text or "&#" in text:
         found = list(ESCAPES.finditer(text))
@@ -250,30 +250,12 @@ def _packed_run(layer: Layer, lo: int, hi: int) -> Iterator[Layer]:
                 yield _coarse(plain, int(starts[m.start()]), int(ends[-1]))
 
 
-def _bytewise(layer: Layer, lo: int, hi: int) -> Layer:
-    """A run with percent escapes, decoded with a span for each character (UTF-8, else one byte each)."""
-    raw, starts, ends = bytearray(), [], []
-    i = lo
-    while i < hi:
-        if layer.text[i] == "%" and i + 3 <= hi and PERCENT.match(layer.text, i):
-            raw.append(int(layer.text[i + 1 : i + 3], 16))
-            starts.append(int(layer.starts[i]))
-            ends.append(int(layer.ends[i + 2]))
-            i += 3
-        else:
-            for b in layer.text[i].encode("utf-8"):
-                raw.append(b)
-                starts.append(int(layer.starts[i]))
-                ends.append(int(layer.ends[i]))
-            i += 1
-    try:
-        text = raw.decode("utf-8")
-        first = [k for k, b in enumerate(raw) if b & 0xC0 != 0x80]
-    except UnicodeDecodeError:
-        text = raw.decode("latin-1")
-        first = list(range(len(raw)))
-    last = [*first[1:], len(raw)]
-    return Layer(text, np.array([starts[k] for k in first], dtype=np.int64), np.array([ends[k - 1] for k in last], dtype=np.int64))
+def _bytewise(layer: Layer) -> Layer:
+    """The whole layer with its percent escapes decoded (UTF-8, bytes that are none by themselves)."""
+    raw, starts, ends = _percent_bytes(layer)
+    text = raw.decode("utf-8", "surrogateescape")
+    last = np.cumsum(_sizes(text))
+    return Layer(text, starts[np.concatenate([[0], last[:-1]])], ends[last - 1])
 
 
 def _escaped(layer: Layer, found: list[re.Match]) -> Layer:

@@ -183,6 +183,23 @@ def test_compressed_data_in_compressed_data(pack):
     assert scan(base64.b64encode(pack(secret * 3)[:-5]).decode())[2] <= 1  # cut off
 
 
+def test_percent_escapes_across_quotes_and_spaces():
+    for secret in (
+        '"api_key": "abc%2Fdef%2Bghi12345"',
+        "password: s%65cretvalue1",
+        "%70assword = %27s%65cretvalue1",
+        "%22token%22 : %22abcd%65fgh1",
+        "pass%2577ord = abcdefgh1",
+    ):
+        text = f"é%C3%A9 %FF <{secret}> 100% %zz %"
+        spans = scan(text)[1]
+        lo, hi = text.index("<") + 1, text.index(">")
+        assert spans and all(lo <= a < b <= hi for a, _, b in spans), secret
+    text = "%41%E6%97%A5%FF password = hunter2%68unter2 日%E6"
+    ((lo, kind, hi),) = [s for s in scan(text)[1] if s[2] - s[0] > 20]
+    assert kind == "assign" and text[lo:hi] == "password = hunter2%68unter2"
+
+
 def test_cycles_and_junk_end():
     text = "%25" * 50 + " " + base64.b64encode(b"\x00" * 40).decode() + " " + "A" * 5000 + " \\u{110000} \\ud800 %zz &#99999999;"
     scan(text)
