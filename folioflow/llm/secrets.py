@@ -21,6 +21,7 @@ import base64
 import binascii
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
@@ -42,6 +43,9 @@ RUN = re.compile(r"[^\s\"'<>]+")
 PERCENT = re.compile(r"%[0-9A-Fa-f]{2}")
 ESCAPES = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+LINE_END = re.compile(r"\r?\n[\x20\t]*")
+LAST_LINE = re.compile(LINE_END.pattern + r"([A-Za-z0-9+/_-]+={0,2})(?![A-Za-z0-9+/_=-])")
+STRETCH = re.compile(rb"[\t\r\n\x20-\x7e]{14}")  # the shortest secret: token=12345678
 MAX_LAYER = 8_000_000
 OVERLAP = 65_536
 PROBE = 65_536
@@ -150,8 +154,9 @@ def _unpack(data: bytes) -> Iterator[str]:
         if plain is not None:
             yield plain
             continue
-        for window in _windows(_inflate(data, work)):
-            plain = _readable(window)
+        # bytes that are not all text may be compressed, and may be text in part
+        for window in itertools.chain([data], _windows(_inflate(data, work))):
+            plain = _legible(window)
             if plain is not None:
                 yield plain
 
@@ -178,6 +183,44 @@ def _readable(data: bytes) -> str | None:
     return text if text and odd * 20 <= len(text) else None
 
 
+def _legible(data: bytes) -> str | None:
+    """Text, if ``data`` is readable or has a stretch in it that could be a secret; other bytes become lone surrogates."""
+    plain = _readable(data)
+    if plain is None and STRETCH.search(data):
+        return data.decode("utf-8", "surrogateescape")
+    return plain
+
+
+def _base64_runs(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, characters) of each base64 run, and of each block of such lines of one width."""
+    block: list[re.Match] = []
+    for m in BASE64.finditer(text):
+        yield m.start(), m.end(), m.group()
+        if block:
+            width = len(block[0].group())
+            if len(m.group()) <= width and LINE_END.fullmatch(text, block[-1].end(), m.start()):
+                block.append(m)
+                if len(m.group()) == width and not m.group().endswith("="):
+                    continue
+            yield from _block(text, block)
+        block = [] if m.group().endswith("=") else [m]
+    if block:
+        yield from _block(text, block)
+
+
+def _block(text: str, lines: list[re.Match]) -> Iterator[tuple[int, int, str]]:
+    """The lines joined, with a shorter one after them; nothing for a single line."""
+    run, hi = "".join([m.group() for m in lines]), lines[-1].end()
+    width = len(lines[0].group())
+    count = len(lines)
+    if len(lines[-1].group()) == width and not run.endswith("="):
+        tail = LAST_LINE.match(text, hi)
+        if tail and len(tail.group(1)) < width:
+            run, hi, count = run + tail.group(1), tail.end(), count + 1
+    if count > 1:
+        yield lines[0].start(), hi, run
+
+
 def _decode_base64(run: str) -> bytes | None:
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
     body = body[: len(body) // 4 * 4 + (len(body) % 4 if len(body) % 4 != 1 else 0)]
@@ -199,14 +242,13 @@ def _unwrap(layer: Layer) -> Iterator[Layer]:
         found = list(ESCAPES.finditer(text))
         if found:
             yield _escaped(layer, found)
-    for m in BASE64.finditer(text):
-        run = m.group()
+    for start, end, run in _base64_runs(text):
         if run.isalpha() and (run.islower() or run[1:].islower()):
             continue  # a plain word
         data = _decode_base64(run)
         if not data:
             continue
-        lo, hi = int(layer.starts[m.start()]), int(layer.ends[m.end() - 1])
+        lo, hi = int(layer.starts[start]), int(layer.ends[end - 1])
         for plain in _unpack(data):
             yield _coarse(plain, lo, hi)
 

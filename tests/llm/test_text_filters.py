@@ -200,6 +200,28 @@ def test_percent_escapes_across_quotes_and_spaces():
     assert kind == "assign" and text[lo:hi] == "password = hunter2%68unter2"
 
 
+def test_base64_with_other_bytes_and_over_lines():
+    rng = random.Random(5)
+    secret = b"password = hunter2hunter2"
+    words = " ".join(f"{rng.randrange(10**9):x}" for _ in range(200)).encode()
+    noise = bytes(rng.randrange(256) for _ in range(300))
+    for data in (b"caf\xe9 " + secret, b"\x00\x01\xff" + secret + b"\x9c" * 5, noise + secret + noise, b"\x00" * 30 + secret):
+        assert [k for _, k, _ in scan(base64.b64encode(data).decode())[1]] == ["assign"]
+    for data in (b"x" * 40 + secret + b" and so on", gzip.compress(words + secret), noise + secret + noise):
+        run = base64.b64encode(data).decode()
+        for width in (64, 76, 61):
+            for end in ("\n", "\r\n", "\n  "):
+                text = "é:\n" + end.join(run[i : i + width] for i in range(0, len(run), width)) + "\n\nend of it"
+                spans = scan(text)[1]
+                assert spans and all(3 <= lo < hi <= len(text) - 11 for lo, _, hi in spans), (width, end)
+    lines = "\n".join(base64.b64encode(b"%d token=abcdefgh%d" % (i, i)).decode() for i in range(3))
+    assert len(scan(lines)[1]) >= 3
+    run = base64.b64encode(b"x" * 40 + secret + b" and so on").decode()
+    for text in ("Z" * 80 + "\n" + run[:60] + "\n" + run[60:], "-----BEGIN-----\n" + run[:48] + "\n" + run[48:96] + "\n-----END CERTIFICATE-----"):
+        assert scan(text)[1]
+    assert scan(base64.b64encode(noise).decode()) == ([], [], 0)
+
+
 def test_cycles_and_junk_end():
     text = "%25" * 50 + " " + base64.b64encode(b"\x00" * 40).decode() + " " + "A" * 5000 + " \\u{110000} \\ud800 %zz &#99999999;"
     scan(text)
