@@ -2,8 +2,10 @@
 
 The whole text is scanned first (the base spans).  Then every encoded run in
 it is unwrapped into a layer of its own and put on a worklist: percent
-escapes, backslash-u and character-reference escapes, base64, and compressed
-data inside base64 (gzip, zlib, bz2, xz, zstd).  Each layer is scanned again
+escapes, backslash-u and character-reference escapes, base64 (in one run, or
+in lines of one width), and compressed data inside base64 or percent escapes
+(gzip, zlib, bz2, xz, zstd; all members, and compressed again or not).  A
+layer need not be all text: bytes that are none are passed over.  Each layer is scanned again
 and unwrapped further until no new layer appears; a layer whose content was
 seen before is not entered again, so decoding cycles end.  A layer knows for
 each of its characters which span of the original text it came from, and a
@@ -11,8 +13,9 @@ secret found in it is reported at that span.
 
 Defined results: NULL text counts as empty; a document without secrets has
 zero counts and an empty span list; repeated rows get equal results.  A
-compressed layer over ``MAX_LAYER`` characters is scanned in overlapping
-windows of that size instead of as one piece.
+compressed layer over ``MAX_LAYER`` characters is scanned in windows, cut
+between characters where no secret and no encoded run goes on; a window grows
+until there is such a place, so the results do not depend on its size.
 """
 
 from __future__ import annotations
@@ -20,8 +23,8 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
-import itertools
 import lzma
 import re
 import zlib
@@ -45,9 +48,12 @@ ESCAPES = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-F
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 LINE_END = re.compile(r"\r?\n[\x20\t]*")
 LAST_LINE = re.compile(LINE_END.pattern + r"([A-Za-z0-9+/_-]+={0,2})(?![A-Za-z0-9+/_=-])")
-STRETCH = re.compile(rb"[\t\r\n\x20-\x7e]{14}")  # the shortest secret: token=12345678
+STRETCH = re.compile(r"[\t\r\n\x20-\x7e]{14}")  # the shortest secret: token=12345678
 MAX_LAYER = 8_000_000
-OVERLAP = 65_536
+LONE = re.compile("[\udc80-\udcff]")
+# after these no match and no encoded run goes on: characters that are in none, the space
+# between two words, and the end of a line that is not one of wrapped base64
+BREAK = re.compile(r"[^\t\r\n\x20-\x7e]|[<>\[\]^`|]|(?<=[g-zG-Z.,])\x20(?=[A-Za-z0-9])|(?<![A-Za-z0-9+/_;}\r-])\r?\n")
 PROBE = 65_536
 ZSTD_STEP = 512  # compressed bytes read at once
 BINARY = re.compile(rb"[^\t\r\n\x20-\x7e]")
@@ -150,45 +156,43 @@ def _unpack(data: bytes) -> Iterator[str]:
         if mark in seen:
             continue
         seen.add(mark)
-        plain = _readable(data)
-        if plain is not None:
+        plain = data.decode("utf-8", "surrogateescape")  # a byte that is no UTF-8 becomes a lone surrogate
+        if _legible(plain):
             yield plain
+        if not LONE.search(plain) and _readable(plain):
             continue
         # bytes that are not all text may be compressed, and may be text in part
-        for window in itertools.chain([data], _windows(_inflate(data, work))):
-            plain = _legible(window)
-            if plain is not None:
-                yield plain
+        for window in _windows(_inflate(data, work)):
+            if _legible(window):
+                yield window
 
 
-def _windows(pieces: Iterator[bytes]) -> Iterator[bytes]:
-    """Pieces joined to windows that overlap, so that no short secret is cut apart."""
-    held = b""
+def _windows(pieces: Iterator[bytes]) -> Iterator[str]:
+    """Pieces decoded and joined to windows, cut only where no secret and no encoded run goes on."""
+    decoder = codecs.getincrementaldecoder("utf-8")("surrogateescape")
+    held, looked = "", 0
     for piece in pieces:
-        held += piece
-        while len(held) > MAX_LAYER + OVERLAP:
-            yield held[: MAX_LAYER + OVERLAP]
-            held = held[MAX_LAYER:]
+        held += decoder.decode(piece)
+        if len(held) > MAX_LAYER:
+            cut = max((m.end() for m in BREAK.finditer(held, looked)), default=0)
+            looked = max(0, len(held) - 2)
+            if cut:
+                yield held[:cut]
+                held, looked = held[cut:], 0
+    held += decoder.decode(b"", True)
     if held:
         yield held
 
 
-def _readable(data: bytes) -> str | None:
-    """Text, if ``data`` is UTF-8 of (nearly) printable characters."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
+def _readable(text: str) -> bool:
+    """Whether ``text`` is of (nearly) printable characters."""
     odd = sum(1 for c in text if not c.isprintable() and c not in "\t\r\n")
-    return text if text and odd * 20 <= len(text) else None
+    return bool(text) and odd * 20 <= len(text)
 
 
-def _legible(data: bytes) -> str | None:
-    """Text, if ``data`` is readable or has a stretch in it that could be a secret; other bytes become lone surrogates."""
-    plain = _readable(data)
-    if plain is None and STRETCH.search(data):
-        return data.decode("utf-8", "surrogateescape")
-    return plain
+def _legible(text: str) -> bool:
+    """Whether ``text`` is readable or has a stretch in it that could be a secret."""
+    return STRETCH.search(text) is not None or _readable(text)
 
 
 def _base64_runs(text: str) -> Iterator[tuple[int, int, str]]:
@@ -254,7 +258,7 @@ def _unwrap(layer: Layer) -> Iterator[Layer]:
 
 
 def _coarse(text: str, lo: int, hi: int) -> Layer:
-    return Layer(text, np.full(len(text), lo, dtype=np.int64), np.full(len(text), hi, dtype=np.int64))
+    return Layer(text, np.broadcast_to(np.int64(lo), len(text)), np.broadcast_to(np.int64(hi), len(text)))
 
 
 def _percent_bytes(layer: Layer) -> tuple[bytes, np.ndarray, np.ndarray]:

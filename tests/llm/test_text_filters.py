@@ -17,6 +17,7 @@ from collections import Counter, defaultdict
 import pytest
 import zstandard
 
+from folioflow.llm import secrets
 from folioflow.llm.language import ContextTrees, identify_language, keep_identified
 from folioflow.llm.repetition import RepetitionRules, keep_quality, measure, repetition_quality
 from folioflow.llm.secrets import find_secrets, redact, redact_secrets, scan
@@ -222,6 +223,36 @@ def test_base64_with_other_bytes_and_over_lines():
     assert scan(base64.b64encode(noise).decode()) == ([], [], 0)
 
 
+@pytest.mark.parametrize("shift", range(3))
+def test_secret_in_a_large_layer_of_other_script(shift):
+    fill = "\u4e2d\u6587\uff0c" * 900_000
+    text = "a" * shift + fill + "password = hunter2hunter2 " + fill
+    assert len(scan(base64.b64encode(gzip.compress(text.encode(), 1)).decode())[1]) == 1
+
+
+def test_a_run_over_the_cut_of_a_large_layer():
+    rng = random.Random(3)
+    inner = base64.b64encode(gzip.compress(rng.randbytes(300_000).hex().encode() + b" password = hunter2hunter2")).decode()
+    text = "plain words " * 660_000 + inner + " plain words" * 100_000
+    assert {k for _, k, _ in scan(base64.b64encode(gzip.compress(text.encode(), 1)).decode())[1]} == {"assign", "hex"}
+
+
+def test_windows_of_a_large_layer(monkeypatch):
+    rng = random.Random(8)
+    long = base64.b64encode(b"see " + bytes(rng.randrange(32, 127) for _ in range(400)) + b" password = hunter2hunter2").decode()
+    wrapped = "\r\n".join(long[i : i + 76] for i in range(0, len(long), 76))
+    inners = ["password = hunter2hunter2", long, wrapped, "%70assword %3D hunter2hunter2", urllib.parse.quote(zlib.compress(b"token=abcdefgh1"))]
+    monkeypatch.setattr(secrets, "MAX_LAYER", 64)
+    for fill in ("\u4e2d\u6587\uff0c", "\u043f\u0440\u0438\u0432\u0435\u0442 ", "some plain words ", "\U0001f600"):
+        for inner in inners:
+            for shift in range(0, 64, 7):
+                text = "a" * shift + " " + fill * 30 + " " + inner + " " + fill * 30
+                for pack in (gzip.compress, bz2.compress, zstandard.ZstdCompressor().compress):
+                    assert scan(base64.b64encode(pack(text.encode())).decode())[1], (fill, inner[:20], shift)
+    joined = "".join(secrets._windows([text.encode()[i : i + 5] for i in range(0, len(text.encode()), 5)]))
+    assert joined == text
+
+
 def test_cycles_and_junk_end():
     text = "%25" * 50 + " " + base64.b64encode(b"\x00" * 40).decode() + " " + "A" * 5000 + " \\u{110000} \\ud800 %zz &#99999999;"
     scan(text)
