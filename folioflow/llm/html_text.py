@@ -8,7 +8,10 @@ discounted by the share of its text that stands in links.  The best container
 is kept whole, lifted to the ``article`` or ``main`` around it, together with
 those of its siblings that score well enough themselves.  Menus, page headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments are dropped first, by element, role, and class or id words.
+comments are dropped first, by element, role, or a whole class.  A word in a
+longer class, or in an id, drops block elements only if those with the word
+hold less than half of the page's text, or if an article stands elsewhere;
+forms are dropped likewise.
 
 Defined results: a NULL or empty page, and one without text, gives an empty
 text; a page cut off inside a tag loses only that tag; unclosed and crossed
@@ -50,6 +53,7 @@ BAD_WORDS = {
     "comment", "comments", "commentlist", "disqus", "respond", "reply", "replies", "discussion",
     "share", "sharing", "social", "related", "recommended", "recommendations", "outbrain", "taboola", "login", "search", "hidden",
 }
+NO_MARKS: frozenset[str] = frozenset()
 NEGATIONS = {"no", "has", "with", "without", "hide", "non"}
 GOOD_WORDS = {"article", "content", "entry", "main", "post", "story", "text", "body", "blog"}
 CLOSES = {  # an opening tag that ends an open element, up to the boundary
@@ -78,6 +82,7 @@ class Page:
         self.parents: list[int] = [-1]
         self.bonus: list[float] = [0.0]
         self.soft: list[bool] = [False]  # forms: dropped unless they hold most of the page
+        self.marks: list[frozenset[str]] = [NO_MARKS]  # words in a class or id that say it may be no main text
         self.blocks: list[tuple[int, str, int]] = []  # block element, text, characters in links
         self._open: list[int] = [0]
         self._count: Counter[str] = Counter()  # open elements by name
@@ -157,8 +162,9 @@ class Page:
         node = len(self.tags)
         self.tags.append(name)
         self.parents.append(self._open[-1])
-        drop, bonus = judge(name, attributes, lambda: any(self.tags[i] in ("article", "main") for i in self._open))
+        drop, bonus, marks = judge(name, attributes, lambda: any(self.tags[i] in ("article", "main") for i in self._open))
         self.bonus.append(bonus)
+        self.marks.append(marks)
         self.soft.append(name == "form")
         self._open.append(node)
         self._count[name] += 1
@@ -203,6 +209,47 @@ class Page:
                 self._block = node
                 return
 
+    def _bad_marks(self, plain: list[int]) -> frozenset[str]:
+        """The marks whose elements are dropped; ``plain``: characters outside links of each element alone.
+
+        A mark on half of the text that is left without the smaller marks is a
+        name for the page's layout and drops nothing, unless there is an
+        ``article`` or ``main`` of some length elsewhere.
+        """
+        n = len(self.tags)
+        around = [NO_MARKS] * n  # marks of an element and of those around it
+        article = [0] * n  # the innermost article or main, itself or around
+        outer: dict[str, list[int]] = {}
+        for node in range(1, n):
+            up = self.parents[node]
+            around[node] = around[up] | self.marks[node] if self.marks[node] else around[up]
+            article[node] = node if self.tags[node] in ("article", "main") else article[up]
+            for mark in self.marks[node] - around[up]:
+                outer.setdefault(mark, []).append(node)
+        bad: set[str] = set()
+
+        def left() -> list[int]:
+            """Characters in each element without those under bad marks."""
+            out = [c if bad.isdisjoint(m) else 0 for c, m in zip(plain, around)]
+            for node in range(n - 1, 0, -1):
+                out[self.parents[node]] += out[node]
+            return out
+
+        chars = left()
+        for mark in sorted(outer, key=lambda m, size=chars: (sum(size[i] for i in outer[m]), m)):
+            held = sum(chars[i] for i in outer[mark])
+            holding = {0}  # articles around elements with the mark
+            for node in outer[mark]:
+                at = article[node]
+                while at not in holding:
+                    holding.add(at)
+                    at = article[self.parents[at]]
+            elsewhere = any(i not in holding and mark not in around[i] and chars[i] * 10 >= held for i in set(article))
+            if held * 2 < chars[0] or not held or elsewhere:
+                bad.add(mark)
+                chars = left()
+        return frozenset(bad)
+
     def main_text(self) -> str:
         """The blocks of the best container and of its good siblings, one a line."""
         n = len(self.tags)
@@ -228,9 +275,10 @@ class Page:
             linked_in[self.parents[node]] += linked_in[node]
         if not total[0]:
             return ""
+        bad = self._bad_marks([t - k for t, k in zip(own, links)]) if any(self.marks) else NO_MARKS
         gone = [False] * n
         for node in range(1, n):
-            gone[node] = gone[self.parents[node]] or (self.soft[node] and total[node] * 2 < total[0])
+            gone[node] = gone[self.parents[node]] or not bad.isdisjoint(self.marks[node]) or (self.soft[node] and total[node] * 2 < total[0])
         score = [
             (points[i] + self.bonus[i] * (total[i] > 0)) * (1 - linked_in[i] / max(1, total[i])) if not gone[i] else -1.0 for i in range(n)
         ]
@@ -262,37 +310,43 @@ class Page:
         return "\n".join(text for node, text, _ in self.blocks if taken[node])
 
 
-def judge(name: str, attributes: str, inside: Callable[[], bool]) -> tuple[bool, float]:
-    """Whether an element is dropped by its kind, and points that its kind gives it."""
+def judge(name: str, attributes: str, inside: Callable[[], bool]) -> tuple[bool, float, frozenset[str]]:
+    """Whether an element is dropped by its kind, points that its kind gives it, and words that may drop it."""
     if name in DROPPED:
-        return True, 0.0
+        return True, 0.0, NO_MARKS
     if name == "header" and not inside():
-        return True, 0.0
+        return True, 0.0, NO_MARKS
+    marks = NO_MARKS
     bonus = 25.0 if name in ("article", "main") else 0.0
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return False, bonus
+        return False, bonus, NO_MARKS
     if name not in KEPT_WHOLE and re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes.lower()):
-        return True, 0.0
+        return True, 0.0, NO_MARKS
     for key, a, b, c in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), a or b or c
         if key == "role":
             if value.lower() in ROLES and name not in KEPT_WHOLE:
-                return True, 0.0
+                return True, 0.0, NO_MARKS
             bonus += 25.0 if value.lower() in ("main", "article") else 0.0
         elif key in ("class", "id"):
             for whole in value.split():
                 words = [w.lower() for w in WORD.findall(whole)]
-                if any(w in BAD_WORDS and not (k and words[k - 1] in NEGATIONS) for k, w in enumerate(words)):
+                found = frozenset(w for k, w in enumerate(words) if w in BAD_WORDS and not (k and words[k - 1] in NEGATIONS))
+                if found:
                     if name in KEPT_WHOLE or (name in ("header", *HEADINGS) and inside()):
                         continue
-                    return True, 0.0
+                    # a whole class says what the element is, and so it does inside a block; else it may be a name for a layout
+                    if name not in BLOCKS or (key == "class" and whole.lower() in BAD_WORDS):
+                        return True, 0.0, NO_MARKS
+                    marks |= found
+                    continue
                 if any(w in GOOD_WORDS for w in words) and name in BLOCKS:
                     bonus += 5.0
         elif key == "style" and name not in KEPT_WHOLE and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True, 0.0
+            return True, 0.0, NO_MARKS
         elif key == "aria-hidden" and value.lower() == "true" and name not in KEPT_WHOLE:
-            return True, 0.0
-    return False, bonus
+            return True, 0.0, NO_MARKS
+    return False, bonus, marks
 
 
 def extract(html: str | None) -> str:

@@ -95,6 +95,24 @@ def test_page_kinds():
     assert extract("<script>var a='<p>x</p>'</script><p>y<!-- <p>z -->") == "y"
 
 
+def test_layout_words_do_not_drop_the_text():
+    story = [f"Paragraph {i} of the story, with some words, more of them, and an end." for i in range(6)]
+    text, paragraphs = "\n".join(story), "".join(f"<p>{x}</p>" for x in story)
+    around = '<div id="nav"><a href=x>Home</a> <a href=y>More</a></div>%s<div class="sidebar-inner"><p>Short words at the side.</p></div>'
+    for kind in ('div class="elementor-widget-text-editor"', 'div class="layout-sidebar-right"', 'div class="site comments-open"', 'section id="discussion"'):
+        page = f"<{kind}>{paragraphs}</{kind.split()[0]}>"
+        assert extract(page) == text
+        assert extract("<body>" + around % page + "</body>").startswith(text)
+        assert extract(f"<body><{kind}><article>{paragraphs}</article></{kind.split()[0]}></body>") == text
+    parts = "".join(f'<div class="elementor-widget elementor-widget-text"><p>{x}</p></div>' for x in story)
+    assert extract("<body>" + around % parts + "</body>") == text
+    many = "".join(f"<p>Nice story, number {i}, really, very nice, thanks, all.</p>" for i in range(40))
+    assert extract(f'<body><article>{paragraphs}</article><div id="comments">{many}</div></body>') == text
+    assert extract(f'<body><div>{paragraphs}</div><div class="comments">{many}</div></body>') == text
+    assert extract(f'<body><div>{paragraphs}</div><div class="related-posts"><p>Other story, one.</p></div></body>') == text
+    assert extract(f'<p>{story[0]} <span class="share-link">Share</span></p>') == story[0]
+
+
 def test_page_edges(spark):
     deep = "<div>" * 20_000 + "<p>deep, text</p>" + "<b>" * 5_000
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>a"), (4, "u", "<p"), (5, "u", deep), (5, "u", deep)]
