@@ -94,6 +94,22 @@ def test_large_cells_in_blocks_give_the_same(frame, documents, monkeypatch, bloc
     assert [got[i] for i, _ in rows] == [c for _, c in brute(rows)]
 
 
+def test_all_pairs_are_tested_after_an_empty_spanning_pass(frame, monkeypatch):
+    pairs = J._tree_pairs
+    monkeypatch.setattr(J, "_tree_pairs", lambda cells, spanning: pairs(cells, spanning).where("false" if spanning else "true"))
+    centre = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(121):  # any two differ in two of three words, so are no link, and share each word with others
+        w = list(centre)
+        w[20], w[40], w[60] = f"a{i // 11}", f"b{i % 11}", f"c{(i // 11 + i % 11) % 11}"
+        rows.append((2 * i, " ".join(w)))
+        if i % 4 == 0:  # a link
+            w[5] = f"d{i}"
+            rows.append((2 * i + 1, " ".join(w)))
+    got = {r.doc_id: r.component_id for r in jaccard_components(frame(rows)).collect()}
+    assert [got[i] for i, _ in rows] == [c for _, c in brute(rows)]
+
+
 def test_links_share_a_routing_token():
     rng = np.random.default_rng(3)
     for n in [*range(4, 140, 3), 250, 260, 1020, 1030, 2047, 2049, 5000]:
