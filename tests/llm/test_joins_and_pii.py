@@ -157,6 +157,16 @@ def test_join_edges(frame):
     assert kept.count(4) == 1 and kept.count(7) == 1 and 8 not in kept and kept.count(None) == 2
 
 
+def test_one_row_of_each_component_with_repeated_ids(frame):
+    rng = random.Random(6)
+    base = {k: [f"{k}{rng.randrange(10**6)}" for _ in range(60)] for k in "abc"}
+    copy = lambda k, i: " ".join([*base[k][:-1], f"z{i}"])
+    rows = [(1, copy("a", 1)), (5, copy("a", 5)), (5, copy("b", 5)), (7, copy("b", 7)), (8, copy("b", 8))]
+    rows += [(9, copy("c", 1)), (9, copy("c", 2)), (9, copy("c", 2).upper()), (9, "alone here"), (9, None), (9, ""), (9, ""), (7, "")]
+    kept = [(r.doc_id, (r.text or "?")[:1].lower()) for r in keep_one(frame(rows)).collect()]
+    assert sorted(kept) == [(1, "a"), (5, "b"), (7, "?"), (9, "?"), (9, "?"), (9, "a"), (9, "c")]
+
+
 def test_connected_components(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 100), (5, None), (200, 150), (150, 120), (-3, 120)]
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
