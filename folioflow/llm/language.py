@@ -13,7 +13,9 @@ known string that ends there, with its cost in every language at once.
 Training reads a bounded sample of labelled rows: about ``sample_docs`` rows
 for each language (at most twice that; fewer if there are so many languages
 that this would pass ``SAMPLE_ROWS`` rows), chosen by a hash of the row, whole
-texts of at most ``sample_chars`` characters.  Prediction reads whole texts.
+texts of at most ``sample_chars`` characters; where a language has too few of
+those, the first ``sample_chars`` characters of longer ones as well.
+Prediction reads whole texts.
 
 Defined results: ``und`` with score 0 for a NULL text, a text without a
 letter, or when there is no labelled row to learn from; equal code lengths go
@@ -215,18 +217,25 @@ def train(docs: DataFrame, sample_docs: int = 200, sample_chars: int = 20_000, o
     rows = pick(docs, doc_id="long", text="string", lang="string").where(
         F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").isNotNull()
     )
-    rows = rows.where(F.length("text").between(1, sample_chars))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # texts over the bound are needed only where a language has too few under it, and then their first characters
+    short = F.length("text") <= sample_chars
+    rows = rows.where(F.length("text") > 0)
+    found = rows.groupBy("lang").agg(F.count(F.when(short, 1)).alias("n"), F.count(F.when(~short, 1)).alias("longer")).collect()
+    counts = {r["lang"]: r["n"] for r in found}
+    longer = {r["lang"]: r["longer"] for r in found}
     sample_docs = max(1, min(sample_docs, SAMPLE_ROWS // max(1, len(counts))))
     # one condition for each language: a share of the hash range that holds about sample_docs rows
     chosen = F.lit(False)
     place = (F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**30)) / F.lit(float(2**30)))
     for lang, n in counts.items():
-        chosen = chosen | ((F.col("lang") == lang) & (place < F.lit(min(1.0, sample_docs / n))))
+        own = short & (place < F.lit(min(1.0, sample_docs / max(1, n))))
+        if n < sample_docs and longer[lang]:
+            own = own | (~short & (place < F.lit(min(1.0, (sample_docs - n) / longer[lang]))))
+        chosen = chosen | ((F.col("lang") == lang) & own)
     samples: dict[str, list[bytes]] = {lang: [] for lang in counts}
     if counts:
         most = 2 * sample_docs * len(counts)
-        picked = rows.where(chosen).select("lang", "text").limit(most).collect()
+        picked = rows.where(chosen).select("lang", F.substring("text", 1, sample_chars).alias("text")).limit(most).collect()
         for row in sorted(picked, key=lambda r: (r["lang"], r["text"])):
             if len(samples[row["lang"]]) < 2 * sample_docs:
                 samples[row["lang"]].append(row["text"].encode("utf-8"))

@@ -18,7 +18,7 @@ import pytest
 import zstandard
 
 from folioflow.llm import secrets
-from folioflow.llm.language import ContextTrees, identify_language, keep_identified
+from folioflow.llm.language import ContextTrees, identify_language, keep_identified, train
 from folioflow.llm.repetition import RepetitionRules, keep_quality, measure, repetition_quality
 from folioflow.llm.secrets import find_secrets, redact, redact_secrets, scan
 from tests.llm.conftest import EDGE
@@ -109,6 +109,16 @@ def test_repetition_verdict():
     assert got["kept"] == [True, False, False]
 
 
+def test_a_language_of_long_texts_alone_is_learned(spark):
+    words = {"xx": "kala maja puu vesi", "yy": "strom dum voda ryba", "zz": "hus tre vann fisk"}
+    rows = [(i, " ".join([words[l]] * n), l) for l, n in (("xx", 5), ("yy", 60), ("zz", 60)) for i in range(40)]
+    rows += [(100, words["zz"], "zz")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trees = train(docs, sample_docs=20, sample_chars=400)
+    assert trees.languages == ["xx", "yy", "zz"]
+    assert trees.predict([w * 3 for w in words.values()])[0] == ["xx", "yy", "zz"]
+
+
 def test_repetition_edges(frame):
     rows = repetition_quality(frame(EDGE)).collect()
     assert len(rows) == len(EDGE)
