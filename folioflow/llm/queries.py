@@ -19,6 +19,7 @@ from folioflow.llm.prefix_hash import fingerprints
 from folioflow.llm.repetition import repetition_quality
 from folioflow.llm.secrets import find_secrets
 from folioflow.llm.sentence_pieces import encode_pieces
+from folioflow.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +68,10 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(_table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_personal_data": op2_personal_data,
@@ -78,6 +83,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_sentence_pieces": op10_sentence_pieces,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {}
