@@ -50,11 +50,11 @@ def groups(texts: list[str], limit: int = GROUP_CHARS) -> Iterator[tuple[int, in
 SLICE_ROWS = 1_000
 
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most SLICE_ROWS rows (no copy)."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows`` rows (no copy)."""
     for batch in batches:
-        for lo in range(0, batch.num_rows, SLICE_ROWS):
-            yield batch.slice(lo, SLICE_ROWS)
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
 
 
 def map_columns(df: DataFrame, schema: dict[str, str], start: Callable) -> DataFrame:

@@ -19,6 +19,7 @@ from folioflow.llm.prefix_hash import fingerprints
 from folioflow.llm.repetition import repetition_quality
 from folioflow.llm.secrets import find_secrets
 from folioflow.llm.sentence_pieces import encode_pieces
+from folioflow.llm.token_alignment import align_tokens
 from folioflow.llm.whitening import whiten
 
 
@@ -68,6 +69,10 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(_table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(_table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_sentence_pieces": op10_sentence_pieces,
+    "op12_token_alignment": op12_token_alignment,
     "op13_whitening": op13_whitening,
 }
 
