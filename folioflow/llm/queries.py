@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from folioflow.llm.block_naming import LOWER, UPPER, exact_groups
 from folioflow.llm.html_text import extract_text
 from folioflow.llm.jaccard_join import jaccard_components
 from folioflow.llm.language import identify_language
@@ -69,6 +70,10 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(_table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(_table(spark, sf_dir, "documents"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(_table(spark, sf_dir, "documents"))
 
@@ -88,8 +93,15 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_sentence_pieces": op10_sentence_pieces,
+    "op11_exact_dedup": op11_exact_dedup,
     "op12_token_alignment": op12_token_alignment,
     "op13_whitening": op13_whitening,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op11_exact_dedup": f"""
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM d""",
+}
