@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import sentencepiece
 from tokenizers import Tokenizer
 
@@ -107,23 +108,30 @@ def test_edges_in_small_runs_and_parts(frame, monkeypatch):
 def test_parts_tokenise_as_a_whole(documents):
     aligner = Aligner.open(A_PATH, B_PATH)
     texts = ["\n".join(t for _, t, _ in documents if t), "word and  word " * 200, "日本 " * 300]
-    whole = list(aligner.encode(texts))
+    whole = aligner.encode(texts)
     before = token_alignment.PART_CHARS
     try:
         token_alignment.PART_CHARS = 50
-        assert list(aligner.encode(texts)) == whole
+        parts = aligner.encode(texts)
     finally:
         token_alignment.PART_CHARS = before
+    assert all((x == y).all() for side in (0, 1) for x, y in zip(whole[side], parts[side], strict=True))
 
 
-def test_windows_end_at_verified_shared_ends():
+def test_windows_start_at_verified_shared_ends():
     aligner = Aligner.open(A_PATH, B_PATH)
-    for text in HARD:
-        (a, b, joined), = aligner.encode([text])
-        cut = aligner.windows(a, b, joined)
-        if cut is None:
-            continue
-        cut = list(cut)
-        assert [i for w in cut for i in w[0]] == a and [i for w in cut for i in w[1]] == b
-        for x, y in cut:
-            assert sum(aligner.a_lengths[i] for i in x) == sum(aligner.b_lengths[i] for i in y)
+    whole, a, a_n, b, b_n = aligner.tokens(HARD)
+    assert whole.count(False) == 2 and not whole[HARD.index("a▁b")] and len(a_n) == whole.count(True)
+    p, r = aligner.anchors(a, a_n, b, b_n)
+    for x, y in zip(np.split(a, p[1:]), np.split(b, r[1:])):
+        assert aligner.a_tokens.joined(x) == aligner.b_tokens.joined(y)
+    assert set(np.cumsum(a_n) - a_n) <= set(p) and len(p) > 2 * len(HARD)
+
+
+def test_ids_of_every_code_point_are_the_tokenizers():
+    """The encoder by ranks gives the ids of the tokenizer's own file."""
+    aligner, tokenizer = Aligner.open(A_PATH, B_PATH), Tokenizer.from_file(A_PATH)
+    tokenizer.encode_special_tokens = True
+    chars = [c for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) < 0xE000]
+    texts = ["".join(f"a{c} {c}1" for c in chars[lo : lo + 100]) for lo in range(0, len(chars), 100)]
+    assert aligner.a(texts) == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
