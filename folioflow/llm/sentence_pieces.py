@@ -37,7 +37,8 @@ from folioflow.llm.batches import groups, map_columns, pick
 MARK = "▁"
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_000_003, 998_244_353)
-CACHE_SEGMENTS = 500_000  # segments in each of the two generations of the cache
+CACHE_BYTES = 160_000_000  # what each of the two generations of the cache may hold, besides the texts of one group
+ENTRY_BYTES = 320  # of a short segment and its ids, besides their lengths
 SIEVE_BITS = 18  # hashes are looked up only if a bit table of this size has them
 CELLS = 500_000  # characters of equal-length segments that advance together
 PAIR_MIX = 2_654_435_761
@@ -110,10 +111,12 @@ class Segments(dict):
         self.best: list[bytes] = []  # Viterbi ids
         self.own: list[bytes] = []  # the file's own ids
         self.best_ids, self.own_ids = Ids(), Ids()
+        self.held = 0
 
     def __missing__(self, segment: str) -> int:
         self[segment] = n = len(self.names)
         self.names.append(segment)
+        self.held += ENTRY_BYTES + 12 * len(segment)
         return n
 
     def fill(self, pairs: list[tuple[bytes, bytes]]) -> None:
@@ -426,7 +429,7 @@ class PieceModel:
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(Viterbi ids, the file's own ids) of each text, as unsigned 32-bit little-endian bytes."""
-        if len(self.met) > CACHE_SEGMENTS:
+        if self.met.held > CACHE_BYTES:
             self.older, self.met = self.met, Segments()
         parts = [self.segments(t) for t in texts]
         places = np.array(list(map(self.met.__getitem__, chain.from_iterable(parts))), dtype=np.int64)

@@ -14,7 +14,9 @@ from array import array
 
 import numpy as np
 
-CACHE_WORDS = 350_000  # words in each of the two generations of the cache
+CACHE_BYTES = 64_000_000  # what each of the two generations of the cache may hold
+ENTRY_BYTES = 160  # of a short word and its ids, besides their lengths
+LONGEST = 64  # characters of a word that is cached; longer ones (scripts without spaces) seldom come again
 TAIL = ".,!?;:*$%#&|)"
 
 
@@ -33,11 +35,18 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def _ends_plainly(core: str) -> bool:
+    """Whether the normalised word still ends in a letter or digit; some letters become a letter and a mark, which joins the punctuation."""
+    last = core[-1]
+    return last.isascii() or unicodedata.category(unicodedata.normalize("NFC", last).lower()[-1])[0] in "LN"
+
+
 class WordTokenizer(dict):
     """Ids of words, as little-endian unsigned 32-bit bytes; a word that is not there yet is encoded.
 
-    When CACHE_WORDS words are held they become the older generation, whose
-    words come back when they are met again; the one before it is dropped.
+    Words of about CACHE_BYTES become the older generation, whose words come
+    back when they are met again; the one before it is dropped.  Long words
+    are not held at all.
     """
 
     _open: dict[str, WordTokenizer] = {}
@@ -55,26 +64,30 @@ class WordTokenizer(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.older: dict[str, bytes] = {}
+        self.held = 0
         self.letters = {i: c for i, c in enumerate(byte_letters())}
 
     def ids(self, text: str) -> bytes:
         """The ids of a whole text."""
-        if len(self) > CACHE_WORDS:
-            self.older = dict(self)
+        if self.held > CACHE_BYTES:
+            self.older, self.held = dict(self), 0
             self.clear()
         words = text.replace("\n", " ").split(" ")  # other white space is left to the tokenizer
         return b"".join(map(self.__getitem__, words))
 
     def __missing__(self, word: str) -> bytes:
+        if len(word) > LONGEST:
+            return self._encode(word)
         got = self.older.get(word)
         if got is None:
             got = self._encode(word)
         self[word] = got
+        self.held += ENTRY_BYTES + 4 * len(word) + len(got)
         return got
 
     def _encode(self, word: str) -> bytes:
         core = word.rstrip(TAIL)
-        if len(core) < len(word) and core.isalnum():  # punctuation is a token of its own after a letter or digit
+        if len(core) < len(word) and core.isalnum() and _ends_plainly(core):  # punctuation is a token of its own after a letter or digit
             return self[core] + self[word[len(core) :]]
         if word.isalpha() and "\u03a3" not in word and unicodedata.is_normalized("NFC", word):
             # letters alone are one piece for the model; only case is normalised

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
+from folioflow.llm import sentence_pieces, word_tokens
 from folioflow.llm.lm_difference import MU, score_documents
 from folioflow.llm.packing import GRAIN, WINDOW, Plan, checksum_between, combinations, pack, solve, _shifts
 from folioflow.llm.sentence_pieces import PieceModel, decode_pieces, encode_pieces, model_path
@@ -28,6 +31,32 @@ def test_word_ids_are_the_tokenizers(documents):
         assert np.frombuffer(ours.ids(t), "<u4").tolist() == theirs.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("sign", ["|"])
+def test_word_ids_of_every_letter_and_digit_beside_a_sign(sign):
+    """Some letters become a letter and a mark when normalised, and the mark joins the sign."""
+    ours, theirs = WordTokenizer(tokenizer_path()), Tokenizer.from_file(tokenizer_path())
+    chars = [c for c in map(chr, range(0x110000)) if c.isalnum() and not 0x3500 < ord(c) < 0x9F00 and not 0xAD00 < ord(c) < 0xD700 and not 0x17100 < ord(c) < 0x18C00]
+    for lo in range(0, len(chars), 4000):
+        text = " ".join(f"a{c}{sign} {c}a{sign} a{c}b" for c in chars[lo : lo + 4000])
+        assert np.frombuffer(ours.ids(text), "<u4").tolist() == theirs.encode(text, add_special_tokens=False).ids
+    for t in ("TEŞEKKÜRLERİ.", "\u0958.", "\u09dc,", "\u09dd!"):
+        assert np.frombuffer(ours.ids(t), "<u4").tolist() == theirs.encode(t, add_special_tokens=False).ids
+
+
+def test_caches_are_bounded_by_bytes_on_text_without_spaces(monkeypatch):
+    words = WordTokenizer(tokenizer_path())
+    pieces = PieceModel(model_path())
+    monkeypatch.setattr(sentence_pieces, "CACHE_BYTES", 400_000)
+    monkeypatch.setattr(word_tokens, "CACHE_BYTES", 400_000)
+    rng = random.Random(5)
+    for i in range(40):
+        text = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(3000))
+        words.ids(text + " " + " ".join(text[k : k + 20] for k in range(0, 3000, 20)))
+        pieces.encode([text])
+    assert words.held <= 450_000 and all(len(w) <= word_tokens.LONGEST for w in [*words, *words.older])
+    assert sum(map(len, pieces.met.names)) <= 40_000 and sum(map(len, pieces.older.names)) <= 40_000
+
+
 def test_checksums_between():
     raw = np.arange(300, dtype="<u4").tobytes()
     shifts = _shifts(300)
