@@ -16,7 +16,7 @@ if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from folioflow.options import DEFAULT_INDEX, DEFAULT_LANGUAGE, DEFAULT_PAGE_SIZE, INDEX_MODES, NUMBER_MODES, JobOptions
-from folioflow.plans import backfill_transform, extract_job, publish, run_all, transform_job, write_manifest
+from folioflow.plans import backfill_transform, extract_job, publish, run_all, transform_job, with_every_key, write_followups, write_manifest
 from folioflow.session import build_session
 
 
@@ -34,7 +34,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--index-mode", choices=INDEX_MODES, default="none")
     p.add_argument("--day", help="day that extract writes, and all extracts and transforms (default: run date)")
     p.add_argument("--base-url", help="request endpoint of the manifest")
-    p.add_argument("--total-pages", type=int, default=1, help="pages in the manifest")
+    p.add_argument("--total-pages", type=int, default=1, help="pages in the manifest (with --landing: those still missing)")
+    p.add_argument("--extra-columns", default="", help="keys of the records beside the fixed ones, by commas; * keeps every key (extract, all)")
     p.add_argument("--source-date", help="raw day read by transform (default: run date)")
     p.add_argument("--target-date", help="portfolio day written by transform (default: run date)")
     p.add_argument("--start", help="first day of a backfill (default: the first there is)")
@@ -56,12 +57,16 @@ def main(argv: list[str] | None = None) -> dict:
         number_mode=args.number_mode,
         index_mode=args.index_mode,
         run_timestamp=run_ts,
+        extra_columns=tuple(c for c in args.extra_columns.split(",") if c and c != "*"),
     )
     spark = build_session(app_name=f"folioflow-{args.command}")
     out: dict = {"command": args.command, "run_timestamp": run_ts.isoformat()}
     if args.command in ("extract", "all"):
         if not args.landing:
             raise SystemExit("--landing is required for extract")
+        if args.extra_columns == "*":
+            opts = with_every_key(spark, args.landing, opts, multi_line=not args.json_lines)
+            out["extra_columns"] = list(opts.extra_columns)
         if args.command == "all":
             report, written = run_all(spark, args.landing, opts, multi_line=not args.json_lines, day=args.day)
             out["portfolio_rows"] = written.record_count
@@ -72,7 +77,10 @@ def main(argv: list[str] | None = None) -> dict:
     if args.command == "manifest":
         if not args.base_url:
             raise SystemExit("--base-url is required for manifest")
-        out["path"], out["requests"] = write_manifest(spark, opts, args.base_url, args.total_pages)
+        if args.landing:
+            out["path"], out["requests"] = write_followups(spark, args.landing, opts, args.base_url, multi_line=not args.json_lines)
+        else:
+            out["path"], out["requests"] = write_manifest(spark, opts, args.base_url, args.total_pages)
     if args.command == "transform":
         written = transform_job(spark, opts, args.source_date, args.target_date)
         out["portfolio_rows"] = written.record_count

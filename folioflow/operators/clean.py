@@ -67,9 +67,10 @@ def to_raw(
     number_mode: str = "ptbr",
     keep_index: bool = False,
     header_from_first_page: bool = True,
+    extra: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Pages frame → raw rows: flatten, header, run metadata, clean, fixed schema."""
+    """Pages frame → raw rows: flatten, header, run metadata, clean, fixed schema and the keys ``extra`` as they came."""
     rows = flatten_results(pages, header_from_first_page)
     rows = add_run_metadata(rows, run_timestamp)
     rows = clean_columns(rows, number_mode)
-    return conform(rows, RAW, keep=("index",) if keep_index else ())
+    return conform(rows, RAW, keep=(*(("index",) if keep_index else ()), *extra))

@@ -47,6 +47,8 @@ class JobOptions:
     raw_prefix: str = RAW_PREFIX
     transformed_prefix: str = TRANSFORMED_PREFIX
     index_mode: str = "none"
+    # keys of the records outside the fixed schema that the raw table keeps as text columns
+    extra_columns: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if self.number_mode not in NUMBER_MODES:
@@ -58,6 +60,12 @@ class JobOptions:
             object.__setattr__(self, "number_mode", LANGUAGE_NUMBERS[prefix])
         if self.index_mode not in INDEX_MODES:
             raise ValueError(f"index_mode must be one of {INDEX_MODES}, got {self.index_mode!r}")
+        object.__setattr__(self, "extra_columns", tuple(self.extra_columns))
+        from folioflow.sources.records import can_be_column
+
+        clashing = [c for c in self.extra_columns if not can_be_column(c)]
+        if clashing or len({c.lower() for c in self.extra_columns}) < len(self.extra_columns):
+            raise ValueError(f"extra_columns must be new, distinct column names, got {self.extra_columns!r}")
         if not 1 <= int(self.page_size) <= MAX_PAGE_SIZE:
             raise ValueError(f"page_size must be within 1..{MAX_PAGE_SIZE}, got {self.page_size}")
 
@@ -92,9 +100,9 @@ class JobOptions:
 
     @property
     def raw_schema(self):
-        from folioflow.schemas import RAW, with_index
+        from folioflow.schemas import RAW, with_extra, with_index
 
-        return with_index(RAW) if self.index_mode == "column" else RAW
+        return with_extra(with_index(RAW) if self.index_mode == "column" else RAW, self.extra_columns)
 
     @property
     def portfolio_schema(self):

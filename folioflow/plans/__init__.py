@@ -12,6 +12,8 @@ from folioflow.plans.jobs import (
     run_all,
     transform_frame,
     transform_job,
+    with_every_key,
+    write_followups,
     write_manifest,
 )
 
@@ -27,5 +29,7 @@ __all__ = [
     "run_all",
     "transform_frame",
     "transform_job",
+    "with_every_key",
+    "write_followups",
     "write_manifest",
 ]

@@ -137,6 +137,7 @@ def conversation_pages(
     page_size: int = CONVERSATION_PAGE_SIZE,
     drop_some: bool = False,
     index_in_body: bool = False,
+    extra: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Response bodies (JSON text) built from conversations: one index per
     conversation, one page per ``page_size`` consecutive turns.
@@ -152,7 +153,7 @@ def conversation_pages(
     dot-grouped.  Header: date = 2024-01-01 + (page - 1) days, so only page
     1's header is right for the whole index.  ``index_in_body`` writes the
     index next to the response fields, as a fetcher landing one line per
-    response would.
+    response would.  ``extra``: more keys of a record, left out where NULL.
     """
     conv = dealt_table(spark, sf_dir, "conversations")
     turns = conv.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"))
@@ -172,6 +173,7 @@ def conversation_pages(
             _comma_cents(length).alias("part"),
             F.lit(None).cast("string").alias("partAcum"),
             group_thousands(length * 1000).alias("theoricalQty"),
+            *[c.alias(k) for k, c in (extra or {}).items()],
         ).alias("rec"),
     )
     pages = rows.groupBy("conv_id", "slot").agg(
@@ -198,7 +200,7 @@ def conversation_pages(
         ).alias("header"),
         F.transform(
             "recs",
-            lambda r: F.struct(*[r[f.name].alias(f.name) for f in PAGE["results"].dataType.elementType.fields]),
+            lambda r: F.struct(*[r[n].alias(n) for n in (*PAGE["results"].dataType.elementType.fieldNames(), *(extra or {}))]),
         ).alias("results"),
     )
     return pages.select(index.alias("index"), F.to_json(body).alias("body"))

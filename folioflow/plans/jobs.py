@@ -7,7 +7,7 @@ schema; the data stays in the cluster from scan to sink.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,21 +17,24 @@ from folioflow.operators.aggregate import portfolio_by_asset
 from folioflow.operators.clean import to_raw, unparsed_numbers
 from folioflow.operators.flatten import flatten_results
 from folioflow.options import RAW_SOURCE, TRANSFORMED_SOURCE, JobOptions
-from folioflow.schemas import PARTITION_COLUMNS, PORTFOLIO, RAW
+from folioflow.schemas import PARTITION_COLUMNS, PORTFOLIO, RAW, RESULT
 from folioflow.session import shared_dir
 from folioflow.sinks.audit import append_audit
 from folioflow.sinks.catalog import publish_table
 from folioflow.sinks.daily import WriteResult, write_daily
 from folioflow.sources.daily import read_day, read_days
-from folioflow.sources.manifest import request_manifest
+from folioflow.sources.manifest import followup_requests, request_manifest
 from folioflow.sources.pages import (
     consolidated_counts,
     missing_first_pages,
     missing_pages,
     read_pages,
+    repeated_pages,
     select_pages,
+    single_copies,
     unnumbered_pages,
 )
+from folioflow.sources.records import extra_keys, read_records, unknown_keys
 
 
 @dataclass(frozen=True)
@@ -42,14 +45,19 @@ class ExtractReport:
     unnumbered_pages: DataFrame  # pages without a page number: their rows were not written (lazy)
     counts: DataFrame  # records and pages per index (lazy)
     unparsed_numbers: DataFrame  # per numeric column, text that parsed to NULL (lazy)
+    repeated_pages: DataFrame  # pages landed more than once; one copy was written (lazy)
+    unknown_keys: DataFrame | None = None  # keys of the records outside the schema and ``extra_columns``: not written (lazy)
 
     def losses(self) -> dict[str, int]:
         """Everything that landed or was announced and is not in the written rows."""
         unparsed = {f"unparsed_{r['column_name']}": r["unparsed"] for r in self.unparsed_numbers.collect()}  # a row per column
+        unknown = {} if self.unknown_keys is None else {"unknown_keys": self.unknown_keys.select("key").distinct().count()}
         return {
             "missing_pages": self.missing_pages.count(),
             "missing_first_pages": self.missing_first_pages.count(),
             "unnumbered_pages": self.unnumbered_pages.count(),
+            "conflicting_pages": self.repeated_pages.where("conflict").count(),
+            **unknown,
             **unparsed,
         }
 
@@ -62,9 +70,12 @@ def run_pages(pages: DataFrame, opts: JobOptions) -> DataFrame:
 def extract_frame(pages: DataFrame, opts: JobOptions) -> DataFrame:
     """Pages → raw rows of this run (no write)."""
     chosen = select_pages(run_pages(pages, opts), opts.all_pages)
-    raw = to_raw(chosen, opts.run_timestamp, opts.number_mode, keep_index=opts.keeps_index, header_from_first_page=opts.all_pages)
+    raw = to_raw(
+        chosen, opts.run_timestamp, opts.number_mode,
+        keep_index=opts.keeps_index, header_from_first_page=opts.all_pages, extra=opts.extra_columns,
+    )
     if opts.index_mode == "column":
-        raw = raw.select("index", *RAW.fieldNames())
+        raw = raw.select("index", *RAW.fieldNames(), *opts.extra_columns)
     return raw
 
 
@@ -82,16 +93,30 @@ def extract_job(
     the page count and the header), and is listed in the report.  If
     nothing at all is written, :class:`~folioflow.sinks.daily.EmptyOutput`
     is raised and the day's previous data is left in place.
+
+    A page that landed more than once (a retry) is written once, by its last
+    copy.  Keys of the records outside the schema are listed in the report;
+    those in ``opts.extra_columns`` are kept as text.
     """
-    return extract_pages(spark, read_pages(spark, landing, multi_line=multi_line, index=opts.index), opts, partition_day=partition_day)
+    pages = read_pages(spark, landing, multi_line=multi_line, index=opts.index, extra=opts.extra_columns)
+    records = run_pages(read_records(spark, landing, multi_line=multi_line, index=opts.index), opts)
+    report = extract_pages(spark, pages, opts, partition_day=partition_day)
+    known = (*RESULT.fieldNames(), *opts.extra_columns)
+    return replace(report, unknown_keys=unknown_keys(records if opts.all_pages else records.where("page_number = 1"), known))
+
+
+def with_every_key(spark: SparkSession, landing: str | list[str], opts: JobOptions, *, multi_line: bool = True) -> JobOptions:
+    """``opts`` that keep every key of the landed records (one pass over the landing to find them)."""
+    return replace(opts, extra_columns=extra_keys(run_pages(read_records(spark, landing, multi_line=multi_line, index=opts.index), opts)))
 
 
 def extract_pages(
     spark: SparkSession, pages: DataFrame, opts: JobOptions, *, partition_day: dt.date | str | None = None
 ) -> ExtractReport:
-    """:func:`extract_job` on a pages frame."""
+    """:func:`extract_job` on a pages frame (without the report of unknown keys, which a pages frame no longer has)."""
     day = as_date(partition_day) if partition_day is not None else opts.run_date
-    pages = run_pages(pages, opts)
+    landed = run_pages(pages, opts)
+    pages = single_copies(landed)
     result = write_daily(extract_frame(pages, opts), opts.raw_path, day, leading=opts.leading_partitions)
     append_audit(spark, opts.audit_path, result, RAW_SOURCE, opts.run_timestamp)
     chosen = select_pages(pages, opts.all_pages)
@@ -102,6 +127,7 @@ def extract_pages(
         unnumbered_pages=unnumbered_pages(pages),
         counts=consolidated_counts(pages, opts.all_pages),
         unparsed_numbers=unparsed_numbers(flatten_results(chosen, opts.all_pages), opts.number_mode),
+        repeated_pages=repeated_pages(landed if opts.all_pages else landed.where("page_number = 1")),
     )
 
 
@@ -179,6 +205,24 @@ def write_manifest(spark: SparkSession, opts: JobOptions, base_url: str, total_p
     return path, spark.read.parquet(path).count()
 
 
+def write_followups(
+    spark: SparkSession, landing: str | list[str], opts: JobOptions, base_url: str, *, multi_line: bool = True
+) -> tuple[str, int]:
+    """S3 and S4 as a job: the requests that the landed pages still lack, under ``root/_manifest``; an empty one means that all has landed.
+
+    The run fetches page 1 first and learns the page count from it, so this
+    runs after each fetch until nothing is asked for.
+    """
+    pages = run_pages(read_pages(spark, landing, multi_line=multi_line, index=opts.index), opts)
+    wanted = None if opts.keeps_index else spark.range(1).select(F.lit(opts.index).alias("index"))
+    requests = followup_requests(
+        pages, base_url, language=opts.language, page_size=opts.page_size, all_pages=opts.all_pages, wanted=wanted
+    )
+    path = f"{opts.root.rstrip('/')}/_manifest"
+    requests.write.mode("overwrite").parquet(path)
+    return path, spark.read.parquet(path).count()
+
+
 def publish(spark: SparkSession, opts: JobOptions, table: str = "portfolio.raw_daily") -> DataFrame:
     """Register the raw tree as an external partitioned table.
 

@@ -12,7 +12,6 @@ the session's shared checkpoint folder.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +53,7 @@ from folioflow.operators.reconcile import reconcile
 from folioflow.options import JobOptions
 from folioflow.plans import feeds
 from folioflow.plans.feeds import RUN_DATE, RUN_TIMESTAMP, cents, table
+from folioflow.plans.registry import register
 from folioflow.plans.jobs import backfill_transform, extract_job, read_transformed_day, transform_job
 from folioflow.schemas import PARTITION_COLUMNS, PORTFOLIO, RAW
 from folioflow.session import scratch_path
@@ -74,27 +74,12 @@ from folioflow.sources.pages import (
 )
 from folioflow.streaming.landing import landing_stream
 
-QueryFn = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, QueryFn] = {}
-ORACLE_SQL: dict[str, str] = {}
-
 # Request endpoint used by the manifest query (any base works; the token is the contract).
 MANIFEST_BASE_URL = "https://feed.example/portfolio"
 
 RAW_TEXT_COLUMNS = ("segment", "cod", "asset", "type", "part", "partAcum", "theoricalQty")
 
 
-def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
-    def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE_SQL[name] = sql.strip()
-        return fn
-
-    return deco
-
-
 # ------------------------------------------------------------------ SQL snippets
 # ``lineitem`` feed as the oracle sees it: original values, NULL where the
 # feed injected 'None' or junk.

@@ -81,6 +81,12 @@ LANDED_PAGE = StructType(
     ]
 )
 
+def landed_page(extra: tuple[str, ...] = ()) -> StructType:
+    """:data:`LANDED_PAGE` whose records also hold the keys ``extra``, of any type."""
+    result = StructType(LANDED_RESULT.fields + [StructField(k, VariantType()) for k in extra])
+    return StructType([StructField("results", ArrayType(result)) if f.name == "results" else f for f in LANDED_PAGE.fields])
+
+
 # Raw table: one row per ticker code.
 RAW = StructType(
     [
@@ -143,3 +149,8 @@ def with_partitions(schema: StructType, leading: tuple[str, ...] = ()) -> Struct
     """``schema`` plus the partition columns (and optional leading ones such as ``index``)."""
     extra = [StructField(c, StringType()) for c in leading] + list(PARTITIONS.fields)
     return StructType(list(schema.fields) + extra)
+
+
+def with_extra(schema: StructType, extra: tuple[str, ...]) -> StructType:
+    """``schema`` and the extra keys of the records, as text."""
+    return StructType(schema.fields + [StructField(k, StringType()) for k in extra])

@@ -1,4 +1,4 @@
-"""The page-request manifest - one request URL per (index, language, page size, page)."""
+"""The page-request manifest - one request URL per (index, language, page size, page) - and what is still to be fetched."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions.requests import request_json, request_token, request_url
-from folioflow.sources.pages import page_numbers
+from folioflow.sources.pages import missing_first_pages, missing_pages, page_numbers
 
 
 def _as_col(v: Column | str | int) -> Column:
@@ -42,6 +42,11 @@ def request_manifest(
             "page_number"
         ),
     )
+    return _with_urls(base, base_url)
+
+
+def _with_urls(base: DataFrame, base_url: str) -> DataFrame:
+    """(``index``, ``language``, ``page_size``, ``page_number``) with the request of each row."""
     args = (F.col("page_number"), F.col("page_size"), F.col("language"), F.col("index"))
     return base.select(
         "index",
@@ -51,3 +56,23 @@ def request_manifest(
         request_json(*args).alias("params_json"),
         request_url(base_url, request_token(*args)).alias("url"),
     )
+
+
+def followup_requests(
+    pages: DataFrame, base_url: str, *, language: str, page_size: int, all_pages: bool = True, wanted: DataFrame | None = None
+) -> DataFrame:
+    """What is still to be fetched, by what has landed: one request for each missing page.
+
+    An index whose page 1 landed asks for the pages 2..totalPages that did
+    not; one whose page 1 did not land asks for page 1 (its page count is
+    not known before).  ``wanted``: a frame whose ``index`` column names the
+    indices of the run, so that one of which nothing landed asks for page 1.
+    """
+    first = missing_first_pages(pages)
+    if wanted is not None:
+        landed = pages.select(F.col("index").alias("landed_index"))
+        none = wanted.select(F.col("index").cast("string").alias("index")).distinct().join(landed, F.col("index").eqNullSafe(F.col("landed_index")), "left_anti")
+        first = first.unionByName(none)
+    missing = first.withColumn("page_number", F.lit(1).cast("long")).unionByName(missing_pages(pages, all_pages).select("index", "page_number"))
+    base = missing.select("index", F.lit(language).alias("language"), F.lit(page_size).cast("long").alias("page_size"), "page_number")
+    return _with_urls(base, base_url)

@@ -2,7 +2,8 @@
 
 A *pages frame* has one row per landed response:
 
-``index, page_number, page_size, total_pages, total_records, header, results, corrupt_record``
+``index, page_number, page_size, total_pages, total_records, header, results, corrupt_record,
+landed_at, body_hash``
 
 It is built either from files (:func:`read_pages`, one JSON document per
 file or JSON Lines) or from a text column holding response bodies
@@ -16,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from folioflow.schemas import CORRUPT_COLUMN, LANDED_PAGE
+from folioflow.schemas import CORRUPT_COLUMN, landed_page
+from folioflow.session import shared_dir
 
 JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
 
@@ -27,6 +29,9 @@ FILE_PAGE_NUMBER = r"^page-?([0-9]+)\.[A-Za-z.]+$"
 # No index has more pages than this; a larger ``totalPages`` is bad input.
 MAX_TOTAL_PAGES = 1_000_000
 
+# Pages landed more than once (under 100 bytes each) that may be broadcast.
+BROADCAST_REPEATS = 200_000
+
 
 def read_pages(
     spark: SparkSession,
@@ -34,8 +39,9 @@ def read_pages(
     *,
     multi_line: bool = True,
     index: str | None = None,
+    extra: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Read landed response bodies.
+    """Read landed response bodies; ``extra``: keys of the records that are read besides the fixed ones.
 
     ``multi_line=True``: one (possibly pretty-printed) JSON document per
     file; a file is never split, and small files are packed several to a
@@ -52,15 +58,20 @@ def read_pages(
     """
     # ``index`` is declared as text so a discovered ``index=007`` directory keeps
     # its zeros (an inferred partition type would make it the integer 7).
-    schema = StructType(LANDED_PAGE.fields + [StructField("index", StringType())])
+    schema = StructType(landed_page(extra).fields + [StructField("index", StringType())])
     reader = spark.read.schema(schema).options(**JSON_OPTIONS).option("multiLine", multi_line)
     df = reader.json(path)
-    df = df.withColumn("_source_file", F.col("_metadata.file_name") if multi_line else F.lit(None).cast("string"))
+    df = df.withColumns(
+        {
+            "_source_file": F.col("_metadata.file_name") if multi_line else F.lit(None).cast("string"),
+            "_landed_at": F.col("_metadata.file_modification_time"),
+        }
+    )
     index_col = F.coalesce(F.col("index"), F.lit(index).cast("string"))
     return normalise_pages(df, index_col=index_col, file_col=F.col("_source_file"))
 
 
-def parse_pages(df: DataFrame, body: str = "body", index: str | Column | None = None) -> DataFrame:
+def parse_pages(df: DataFrame, body: str = "body", index: str | Column | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
     """Response bodies held in a text column → pages frame (``from_json``).
 
     The parse goes through a one-element ``inline``: a filter on the
@@ -71,7 +82,7 @@ def parse_pages(df: DataFrame, body: str = "body", index: str | Column | None =
     """
     parsed = df.select(
         *[c for c in df.columns if c != body],
-        F.inline(F.array(F.from_json(F.col(body), LANDED_PAGE, JSON_OPTIONS))),
+        F.inline(F.array(F.from_json(F.col(body), landed_page(extra), JSON_OPTIONS))),
     )
     if index is None:
         index_col = F.col("index") if "index" in df.columns else F.lit(None).cast("string")
@@ -94,6 +105,8 @@ def normalise_pages(df: DataFrame, *, index_col: Column, file_col: Column) -> Da
         F.col("header"),
         F.col("results"),
         F.col(CORRUPT_COLUMN).alias("corrupt_record"),
+        (F.col("_landed_at") if "_landed_at" in df.columns else F.lit(None)).cast("timestamp").alias("landed_at"),
+        F.xxhash64(F.to_json(F.struct("page", "header", "results"))).alias("body_hash"),
     )
 
 
@@ -122,6 +135,58 @@ def select_pages(pages: DataFrame, all_pages: bool) -> DataFrame:
     return good.where(F.col("page_number").isNotNull()) if all_pages else good.where(F.col("page_number") == 1)
 
 
+def _copies(pages: DataFrame) -> DataFrame:
+    """Pages landed more than once: (``index``, ``page_number``, ``copies``, ``versions``, ``chosen``, ``chosen_at``, ``equal``).
+
+    Only numbers, file times and body hashes are shuffled.  Of several copies
+    the one landed last is used, of those the one with the smallest hash;
+    ``equal`` copies are like it in both.
+    """
+    numbered = parsed(pages).where(F.col("page_number").isNotNull())
+    versions = numbered.groupBy("index", "page_number", "body_hash", "landed_at").agg(F.count(F.lit(1)).alias("n"))
+    last = F.max_by(F.struct("body_hash", "landed_at", "n"), F.struct("landed_at", -F.col("body_hash").cast("decimal(20,0)"))).alias("last")
+    together = versions.groupBy("index", "page_number").agg(
+        F.sum("n").alias("copies"), F.size(F.collect_set("body_hash")).cast("long").alias("versions"), last
+    )
+    return together.where("copies > 1").select(
+        "index", "page_number", "copies", "versions", F.col("last.body_hash").alias("chosen"), F.col("last.landed_at").alias("chosen_at"), F.col("last.n").alias("equal")
+    )
+
+
+def repeated_pages(pages: DataFrame) -> DataFrame:
+    """Pages that landed more than once (a retry): copies, different bodies among them, and whether they conflict."""
+    return _copies(pages).select("index", "page_number", "copies", "versions", (F.col("versions") > 1).alias("conflict"))
+
+
+def single_copies(pages: DataFrame) -> DataFrame:
+    """The pages with one copy of each (index, page number), as each is asked for once.
+
+    The repeated ones are few; up to BROADCAST_REPEATS of them (counted) are
+    broadcast, so no body is shuffled.  Only where a page landed twice with
+    the same file time and body are its copies brought together.  Pages
+    without a number, and bodies that did not parse, stay as they are.
+    """
+    shared_dir(pages.sparkSession)
+    again = _copies(pages).select(
+        F.col("index").alias("again_index"), F.col("page_number").alias("again_number"), "chosen", "chosen_at", "equal"
+    ).checkpoint()
+    counts = again.agg(F.count(F.lit(1)).alias("n"), F.max("equal").alias("equal")).first()
+    if not counts["n"]:
+        return pages
+    small = F.broadcast(again) if counts["n"] <= BROADCAST_REPEATS else again
+    numbered = F.col("corrupt_record").isNull() & F.col("page_number").isNotNull()
+    same = numbered & F.col("index").eqNullSafe(F.col("again_index")) & (F.col("page_number") == F.col("again_number"))
+    marked = pages.join(small, same, "left")
+    right = (F.col("body_hash") == F.col("chosen")) & F.col("landed_at").eqNullSafe(F.col("chosen_at"))
+    kept = marked.where(F.col("again_number").isNull() | right)
+    if counts["equal"] == 1:
+        return kept.select(pages.columns)
+    alone = kept.where(F.col("equal").isNull() | (F.col("equal") == 1)).select(pages.columns)
+    alike = kept.where(F.col("equal") > 1).select(pages.columns)
+    # equal bodies: any one of them; VARIANT fields cannot be grouped by, so they are chosen by key
+    return alone.unionByName(alike.dropDuplicates(["index", "page_number"]))
+
+
 def first_pages(pages: DataFrame) -> DataFrame:
     return parsed(pages).where(F.col("page_number") == 1)
 

@@ -19,7 +19,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from folioflow.options import JobOptions
 from folioflow.plans.jobs import ExtractReport, extract_pages
-from folioflow.schemas import LANDED_PAGE
+from folioflow.schemas import landed_page
 from folioflow.sources.pages import JSON_OPTIONS, normalise_pages
 
 
@@ -33,9 +33,10 @@ def stage_pages(
     index: str | None = None,
     max_files_per_trigger: int = 10_000,
     available_now: bool = True,
+    extra: tuple[str, ...] = (),
 ) -> StreamingQuery:
     """Append the pages of new landing files to ``staging`` (see :func:`~folioflow.sources.pages.read_pages`)."""
-    schema = StructType(LANDED_PAGE.fields + [StructField("index", StringType())])
+    schema = StructType(landed_page(extra).fields + [StructField("index", StringType())])
     bodies = (
         spark.readStream.schema(schema)
         .options(**JSON_OPTIONS)
@@ -44,7 +45,7 @@ def stage_pages(
         .json(landing)
     )
     file_col = F.col("_metadata.file_name") if multi_line else F.lit(None).cast("string")
-    bodies = bodies.withColumn("_source_file", file_col)
+    bodies = bodies.withColumns({"_source_file": file_col, "_landed_at": F.col("_metadata.file_modification_time")})
     pages = normalise_pages(
         bodies, index_col=F.coalesce(F.col("index"), F.lit(index).cast("string")), file_col=F.col("_source_file")
     )
@@ -70,7 +71,8 @@ def landing_stream(
     """Stage what has landed since the last call, then write the day from all staged pages."""
     staging = staging or f"{opts.root.rstrip('/')}/_staging/pages"
     query = stage_pages(
-        spark, landing, staging, checkpoint or f"{opts.root.rstrip('/')}/_staging/checkpoint", multi_line=multi_line, index=opts.index
+        spark, landing, staging, checkpoint or f"{opts.root.rstrip('/')}/_staging/checkpoint", multi_line=multi_line, index=opts.index,
+        extra=opts.extra_columns,
     )
     query.awaitTermination()
     if query.exception() is not None:
