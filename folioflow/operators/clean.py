@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from folioflow.functions.numbers import to_number
 from folioflow.functions.text import clean_text
 from folioflow.operators.flatten import add_run_metadata, flatten_results
-from folioflow.schemas import NUMERIC_COLUMNS, RAW, TEXT_COLUMNS
+from folioflow.schemas import NUMERIC_COLUMNS, RAW, TEXT_COLUMNS, quoted
 
 
 def clean_columns(
@@ -73,4 +73,4 @@ def to_raw(
     rows = flatten_results(pages, header_from_first_page)
     rows = add_run_metadata(rows, run_timestamp)
     rows = clean_columns(rows, number_mode)
-    return conform(rows, RAW, keep=(*(("index",) if keep_index else ()), *extra))
+    return conform(rows, RAW, keep=(*(("index",) if keep_index else ()), *map(quoted, extra)))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import VariantType
 
 from folioflow.functions.dates import timestamp_literal
+from folioflow.schemas import quoted
 from folioflow.session import shared_dir
 
 # Raw columns taken from the response header.
@@ -46,7 +47,7 @@ def token_text(v: Column) -> Column:
 def _as_text(rows: DataFrame) -> DataFrame:
     """Result fields that were read with their token type, as text."""
     typed = [f.name for f in rows.schema.fields if isinstance(f.dataType, VariantType)]
-    return rows.withColumns({c: token_text(F.col(c)) for c in typed}) if typed else rows
+    return rows.withColumns({c: token_text(F.col(quoted(c))) for c in typed}) if typed else rows
 
 
 def run_headers(pages: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from folioflow.operators.aggregate import portfolio_by_asset
 from folioflow.operators.clean import to_raw, unparsed_numbers
 from folioflow.operators.flatten import flatten_results
 from folioflow.options import RAW_SOURCE, TRANSFORMED_SOURCE, JobOptions
-from folioflow.schemas import PARTITION_COLUMNS, PORTFOLIO, RAW, RESULT
+from folioflow.schemas import PARTITION_COLUMNS, PORTFOLIO, RAW, RESULT, quoted
 from folioflow.session import shared_dir
 from folioflow.sinks.audit import append_audit
 from folioflow.sinks.catalog import publish_table
@@ -75,7 +75,7 @@ def extract_frame(pages: DataFrame, opts: JobOptions) -> DataFrame:
         keep_index=opts.keeps_index, header_from_first_page=opts.all_pages, extra=opts.extra_columns,
     )
     if opts.index_mode == "column":
-        raw = raw.select("index", *RAW.fieldNames(), *opts.extra_columns)
+        raw = raw.select("index", *RAW.fieldNames(), *map(quoted, opts.extra_columns))
     return raw
 
 

@@ -154,3 +154,8 @@ def with_partitions(schema: StructType, leading: tuple[str, ...] = ()) -> Struct
 def with_extra(schema: StructType, extra: tuple[str, ...]) -> StructType:
     """``schema`` and the extra keys of the records, as text."""
     return StructType(schema.fields + [StructField(k, StringType()) for k in extra])
+
+
+def quoted(name: str) -> str:
+    """A column name for expressions, whatever signs it has."""
+    return "`" + name.replace("`", "``") + "`"

@@ -92,13 +92,16 @@ def parse_pages(df: DataFrame, body: str = "body", index: str | Column | None =
     return normalise_pages(parsed, index_col=index_col, file_col=file_col)
 
 
+def page_number(body: Column, file_name: Column) -> Column:
+    """The page number of a body, else that of its file's name."""
+    return F.coalesce(body, F.nullif(F.regexp_extract(file_name, FILE_PAGE_NUMBER, 1), F.lit("")).try_cast("long"))
+
+
 def normalise_pages(df: DataFrame, *, index_col: Column, file_col: Column) -> DataFrame:
     """Common shape; ``totalPages`` absent → 1, page number from the body or the file name."""
-    from_file = F.regexp_extract(file_col, FILE_PAGE_NUMBER, 1)
-    page_number = F.coalesce(F.col("page.pageNumber"), F.nullif(from_file, F.lit("")).try_cast("long"))
     return df.select(
         index_col.cast("string").alias("index"),
-        page_number.alias("page_number"),
+        page_number(F.col("page.pageNumber"), file_col).alias("page_number"),
         F.col("page.pageSize").alias("page_size"),
         F.coalesce(F.col("page.totalPages"), F.lit(1).cast("long")).alias("total_pages"),
         F.col("page.totalRecords").alias("total_records"),

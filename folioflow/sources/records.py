@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType, VariantType
 
 from folioflow.schemas import CORRUPT_COLUMN, PAGE_INFO, PARTITION_COLUMNS, RAW, RESULT
-from folioflow.sources.pages import JSON_OPTIONS
+from folioflow.sources.pages import JSON_OPTIONS, page_number
 
 RECORDS_PAGE = StructType(
     [
@@ -31,19 +31,21 @@ def read_records(spark: SparkSession, path: str | list[str], *, multi_line: bool
     """Landed bodies → (``index``, ``page_number``, ``record`` VARIANT), one row per record; see :func:`~folioflow.sources.pages.read_pages`."""
     schema = StructType(RECORDS_PAGE.fields + [StructField("index", StringType())])
     df = spark.read.schema(schema).options(**JSON_OPTIONS).option("multiLine", multi_line).json(path)
-    return _records(df, F.coalesce(F.col("index"), F.lit(index).cast("string")))
+    file_col = F.col("_metadata.file_name") if multi_line else F.lit(None).cast("string")
+    return _records(df.withColumn("_source_file", file_col), F.coalesce(F.col("index"), F.lit(index).cast("string")))
 
 
 def parse_records(df: DataFrame, body: str = "body", index: str | Column = "index") -> DataFrame:
     """Response bodies held in a text column → records."""
     index_col = F.col(index) if isinstance(index, str) else index
     parsed = df.select(index_col.alias("index"), F.inline(F.array(F.from_json(F.col(body), RECORDS_PAGE, JSON_OPTIONS))))
-    return _records(parsed, F.col("index"))
+    return _records(parsed.withColumn("_source_file", F.lit(None).cast("string")), F.col("index"))
 
 
 def _records(df: DataFrame, index: Column) -> DataFrame:
     used = df.where(F.col(CORRUPT_COLUMN).isNull())
-    return used.select(index.cast("string").alias("index"), F.col("page.pageNumber").alias("page_number"), F.explode("results").alias("record"))
+    number = page_number(F.col("page.pageNumber"), F.col("_source_file"))
+    return used.select(index.cast("string").alias("index"), number.alias("page_number"), F.explode("results").alias("record"))
 
 
 def extra_fields(record: Column, known: tuple[str, ...]) -> Column:
