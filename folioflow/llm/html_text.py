@@ -8,10 +8,12 @@ discounted by the share of its text that stands in links.  The best container
 is kept whole, lifted to the ``article`` or ``main`` around it, together with
 those of its siblings that score well enough themselves.  Menus, page headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments are dropped first, by element, role, or a whole class.  A word in a
-longer class, or in an id, drops block elements only if those with the word
-hold less than half of the page's text, or if an article stands elsewhere;
-forms are dropped likewise.
+comments are dropped first, by element, role, or hidden state.  A whole class
+that names one of them drops block elements as long as an eighth of the page's
+text is left; a word in a longer class, or in an id, only if those with the
+word hold less than half of it, or if an article stands elsewhere; forms are
+dropped likewise.  Words on inline elements drop nothing, and what is dropped
+inside a line does not split it.
 
 Defined results: a NULL or empty page, and one without text, gives an empty
 text; a page cut off inside a tag loses only that tag; unclosed and crossed
@@ -51,9 +53,10 @@ BAD_WORDS = {
     "footer", "foot", "masthead", "topbar", "toolbar", "header",
     "cookie", "cookies", "consent", "gdpr", "notice", "notices", "banner", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "signup", "paywall",
     "comment", "comments", "commentlist", "disqus", "respond", "reply", "replies", "discussion",
-    "share", "sharing", "social", "related", "recommended", "recommendations", "outbrain", "taboola", "login", "search", "hidden",
+    "share", "sharing", "social", "related", "recommended", "recommendations", "outbrain", "taboola", "login", "search",
 }
 NO_MARKS: frozenset[str] = frozenset()
+WHOLE = "="  # before a mark that is a whole class
 NEGATIONS = {"no", "has", "with", "without", "hide", "non"}
 GOOD_WORDS = {"article", "content", "entry", "main", "post", "story", "text", "body", "blog"}
 CLOSES = {  # an opening tag that ends an open element, up to the boundary
@@ -70,7 +73,7 @@ SCOPES = {"table", "td", "th", "button", "object", "html", "body"}
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+ATTRIBUTE = re.compile(r"([^\s\"'=<>/]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
@@ -151,7 +154,8 @@ class Page:
             self._text(" " if name != "wbr" else "")
             return
         if name in BLOCKS:
-            self._flush()
+            if not self._drop:  # what is dropped inside a line does not split it
+                self._flush()
             self._close_open("p", SCOPES)  # a block ends an open paragraph
             if name in CLOSES:
                 ended, bounds = CLOSES[name]
@@ -169,7 +173,6 @@ class Page:
         self._open.append(node)
         self._count[name] += 1
         if drop and not self._drop:
-            self._flush()
             self._drop = len(self._open)
         if name == "a" and not self._drop:
             self._links += 1
@@ -180,7 +183,8 @@ class Page:
             self._text(" ")
         elif name not in VOID:
             if name in BLOCKS or name in RAW:
-                self._flush()
+                if name in BLOCKS and not self._drop:
+                    self._flush()
                 self._close_open(name, {"#"} if name in KEPT_WHOLE or name == "table" else {"html", "body", "table"} - {name})
             else:  # an inline element does not end a block
                 self._close_open(name, BLOCKS)
@@ -214,7 +218,8 @@ class Page:
 
         A mark on half of the text that is left without the smaller marks is a
         name for the page's layout and drops nothing, unless there is an
-        ``article`` or ``main`` of some length elsewhere.
+        ``article`` or ``main`` of some length elsewhere.  A whole class says
+        more: it drops as long as an eighth of the text is left.
         """
         n = len(self.tags)
         around = [NO_MARKS] * n  # marks of an element and of those around it
@@ -245,7 +250,8 @@ class Page:
                     holding.add(at)
                     at = article[self.parents[at]]
             elsewhere = any(i not in holding and mark not in around[i] and chars[i] * 10 >= held for i in set(article))
-            if held * 2 < chars[0] or not held or elsewhere:
+            enough = held * 8 <= chars[0] * 7 if mark.startswith(WHOLE) else held * 2 < chars[0]
+            if enough or not held or elsewhere:
                 bad.add(mark)
                 chars = left()
         return frozenset(bad)
@@ -320,27 +326,26 @@ def judge(name: str, attributes: str, inside: Callable[[], bool]) -> tuple[bool,
     bonus = 25.0 if name in ("article", "main") else 0.0
     if not attributes or "=" not in attributes and "hidden" not in attributes:
         return False, bonus, NO_MARKS
-    if name not in KEPT_WHOLE and re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes.lower()):
-        return True, 0.0, NO_MARKS
     for key, a, b, c in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), a or b or c
-        if key == "role":
+        if key == "hidden":
+            if name not in KEPT_WHOLE:
+                return True, 0.0, NO_MARKS
+        elif key == "role":
             if value.lower() in ROLES and name not in KEPT_WHOLE:
                 return True, 0.0, NO_MARKS
             bonus += 25.0 if value.lower() in ("main", "article") else 0.0
-        elif key in ("class", "id"):
+        elif key in ("class", "id") and name in BLOCKS:  # a word on an inline element says nothing of the text in its line
             for whole in value.split():
                 words = [w.lower() for w in WORD.findall(whole)]
                 found = frozenset(w for k, w in enumerate(words) if w in BAD_WORDS and not (k and words[k - 1] in NEGATIONS))
                 if found:
                     if name in KEPT_WHOLE or (name in ("header", *HEADINGS) and inside()):
                         continue
-                    # a whole class says what the element is, and so it does inside a block; else it may be a name for a layout
-                    if name not in BLOCKS or (key == "class" and whole.lower() in BAD_WORDS):
-                        return True, 0.0, NO_MARKS
-                    marks |= found
+                    # a whole class says what the element is; else it may be a name for a layout
+                    marks |= {WHOLE + w for w in found} if key == "class" and whole.lower() in BAD_WORDS else found
                     continue
-                if any(w in GOOD_WORDS for w in words) and name in BLOCKS:
+                if any(w in GOOD_WORDS for w in words):
                     bonus += 5.0
         elif key == "style" and name not in KEPT_WHOLE and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True, 0.0, NO_MARKS

@@ -8,6 +8,7 @@ import re
 from html import unescape
 
 import duckdb
+import pytest
 
 from folioflow.llm.html_text import extract, extract_text
 from folioflow.llm.prefix_hash import PrefixHash, code_points, fingerprints, likeness
@@ -120,3 +121,25 @@ def test_page_edges(spark):
     got = extract_text(df).collect()
     assert sorted(r.text for r in got) == ["", "", "", "a", "deep, text", "deep, text"]
     assert extract_text(df.limit(0)).count() == 0
+
+
+TALE = "The harbour town had been quiet for years, and nobody, not even the mayor, expected the fair to return."
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<p>{TALE}</p><p title='the hidden truth'>{TALE}</p>", f"{TALE}\n{TALE}"),
+        (f"<div data-title='a hidden gem'><p>{TALE}</p><p>{TALE}</p></div>", f"{TALE}\n{TALE}"),
+        (f"<p>{TALE}</p><div class='md:block hidden lg:flex'><p>{TALE}</p></div>", f"{TALE}\n{TALE}"),
+        (f"<p>At the <a class='side-note'>old harbour</a> in <span class='search-term'>Lisbon</span>, {TALE}</p>", f"At the old harbour in Lisbon, {TALE}"),
+        (f"<p>{TALE}</p><pre>x = 1 <span class='token comment'># set</span> y</pre>", f"{TALE}\nx = 1 # set y"),
+        (f"<div class='widget'><p>{TALE}</p><p>{TALE}</p></div>", f"{TALE}\n{TALE}"),
+        (f"<p>We <button>Share</button>met <script>var a = '<p>';</script>there, {TALE}</p>", f"We met there, {TALE}"),
+        (f"<p>{TALE}</p><p hidden>gone</p><p hidden=''>{TALE} gone</p><p class=x aria-hidden=true>gone</p>", TALE),
+        (f"<div class='comments'><p>{TALE}</p></div><p>{TALE}</p><p>{TALE}</p>", f"{TALE}\n{TALE}"),
+        (f"<p>{TALE}</p><p>{TALE}</p><div class=sidebar><p>{TALE}</p><p>{TALE}</p><p>{TALE}</p></div>", f"{TALE}\n{TALE}"),
+    ],
+)
+def test_only_attributes_of_the_name_hide_and_inline_words_keep_the_line(html, want):
+    assert extract(f"<html><body>{html}</body></html>") == want
