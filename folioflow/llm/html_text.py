@@ -12,8 +12,8 @@ comments are dropped first, by element, role, or hidden state.  A whole class
 that names one of them drops block elements as long as an eighth of the page's
 text is left; a word in a longer class, or in an id, only if those with the
 word hold less than half of it, or if an article stands elsewhere; forms are
-dropped likewise.  Words on inline elements drop nothing, and what is dropped
-inside a line does not split it.
+dropped likewise.  Words on inline elements drop nothing (but a share button
+that ends a block), and what is dropped inside a line does not split it.
 
 Defined results: a NULL or empty page, and one without text, gives an empty
 text; a page cut off inside a tag loses only that tag; unclosed and crossed
@@ -57,6 +57,7 @@ BAD_WORDS = {
 }
 NO_MARKS: frozenset[str] = frozenset()
 WHOLE = "="  # before a mark that is a whole class
+CONTROL_WORDS = {"share", "sharing", "social"}  # on an inline element that ends a block: a button, no text
 NEGATIONS = {"no", "has", "with", "without", "hide", "non"}
 GOOD_WORDS = {"article", "content", "entry", "main", "post", "story", "text", "body", "blog"}
 CLOSES = {  # an opening tag that ends an open element, up to the boundary
@@ -94,6 +95,8 @@ class Page:
         self._block = 0
         self._pieces: list[str] = []
         self._link_pieces: list[str] = []
+        self._controls: dict[int, int] = {}  # open inline controls, and the pieces before them
+        self._cuts: list[tuple[int, int]] = []  # pieces of closed ones
         self._read(html)
 
     def _read(self, html: str) -> None:
@@ -141,6 +144,12 @@ class Page:
                 self._link_pieces.append(raw)
 
     def _flush(self) -> None:
+        for start, end in reversed(self._cuts):
+            if any(not piece.isspace() for piece in self._pieces[end:]):
+                break
+            del self._pieces[start:end]
+        self._cuts = []
+        self._controls = {}
         if self._pieces:
             text = " ".join(unescape("".join(self._pieces)).split())
             if text:
@@ -176,6 +185,8 @@ class Page:
             self._drop = len(self._open)
         if name == "a" and not self._drop:
             self._links += 1
+        if attributes and name not in BLOCKS and not self._drop and is_control(attributes):
+            self._controls[node] = len(self._pieces)
         self._settle()
 
     def _end(self, name: str) -> None:
@@ -198,6 +209,7 @@ class Page:
                 self._links -= sum(self.tags[i] == "a" for i in self._open[depth:]) if self._links else 0
                 self._links = max(0, self._links)
                 self._count.subtract(self.tags[i] for i in self._open[depth:])
+                self._cuts += [(self._controls.pop(i), len(self._pieces)) for i in self._open[depth:] if i in self._controls]
                 del self._open[depth:]
                 if self._drop > depth:
                     self._drop = 0
@@ -354,6 +366,12 @@ def judge(name: str, attributes: str, inside: Callable[[], bool]) -> tuple[bool,
     return False, bonus, marks
 
 
+def is_control(attributes: str) -> bool:
+    """Whether a class of an inline element names a control such as a share button."""
+    classes = " ".join(a or b or c for key, a, b, c in ATTRIBUTE.findall(attributes) if key.lower() == "class")
+    return not CONTROL_WORDS.isdisjoint(w.lower() for w in WORD.findall(classes))
+
+
 def extract(html: str | None) -> str:
     """The main text of one page."""
     return Page(html).main_text() if html else ""
