@@ -2,9 +2,11 @@
 
 The whole text is scanned first (the base spans).  Then every encoded run in
 it is unwrapped into a layer of its own and put on a worklist: percent
-escapes, backslash-u and character-reference escapes, base64 (in one run, or
-in lines of one width), and compressed data inside base64 or percent escapes
-(gzip, zlib, bz2, xz, zstd; all members, and compressed again or not).  A
+escapes, backslash-u, percent-u and character-reference escapes, base64 (in one run, or
+in lines of one width; at each of its four alignments, so that signs before it
+do not hide it), UTF-16 in base64, and compressed data inside base64 or percent escapes
+(gzip, zlib, bz2, xz, zstd, behind other bytes or not; deflate without a header from the
+first byte; all members, and compressed again or not).  A
 layer need not be all text: bytes that are none are passed over.  Each layer is scanned again
 and unwrapped further until no new layer appears; a layer whose content was
 seen before is not entered again, so decoding cycles end.  A layer knows for
@@ -44,7 +46,7 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # the runs of 32 and more: a shorter run nev
 
 RUN = re.compile(r"[^\s\"'<>]+")
 PERCENT = re.compile(r"%[0-9A-Fa-f]{2}")
-ESCAPES = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+ESCAPES = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|(?:\\|%)u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 LINE_END = re.compile(r"\r?\n[\x20\t]*")
 LAST_LINE = re.compile(LINE_END.pattern + r"([A-Za-z0-9+/_-]+={0,2})(?![A-Za-z0-9+/_=-])")
@@ -161,10 +163,46 @@ def _unpack(data: bytes) -> Iterator[str]:
             yield plain
         if not LONE.search(plain) and _readable(plain):
             continue
+        yield from _wide(data)
         # bytes that are not all text may be compressed, and may be text in part
+        known = False
         for window in _windows(_inflate(data, work)):
+            known = True
             if _legible(window):
                 yield window
+        if not known:
+            yield from _bare(data)
+
+
+def _wide(data: bytes) -> Iterator[str]:
+    """Text of two bytes a character (UTF-16 of either order, from either byte on)."""
+    if data.count(0) < 14 and data[:2] not in (codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE):
+        return
+    for first in (0, 1):
+        for order in ("utf-16-le", "utf-16-be"):
+            text = data[first:].decode(order, "replace")
+            if STRETCH.search(text):
+                yield text
+
+
+def _bare(data: bytes) -> Iterator[str]:
+    """The text of a deflate stream without any header, if all that it gives is text."""
+    try:
+        if not _readable(zlib.decompressobj(-15).decompress(data[:PROBE], PROBE).decode("utf-8", "surrogateescape")):
+            return
+        work = zlib.decompressobj(-15)
+
+        def pieces() -> Iterator[bytes]:
+            piece = work.decompress(data, MAX_LAYER)
+            while piece:
+                yield piece
+                piece = work.decompress(work.unconsumed_tail, MAX_LAYER) if work.unconsumed_tail else b""
+
+        for window in _windows(pieces()):
+            if _legible(window):
+                yield window
+    except BROKEN:
+        return
 
 
 def _windows(pieces: Iterator[bytes]) -> Iterator[str]:
@@ -242,19 +280,26 @@ def _unwrap(layer: Layer) -> Iterator[Layer]:
         for m in RUN.finditer(text):
             if PERCENT.search(m.group()):
                 yield from _packed_run(layer, m.start(), m.end())
-    if "\\" in text or "&#" in text:
+    if "\\" in text or "&#" in text or "%u" in text:
         found = list(ESCAPES.finditer(text))
         if found:
             yield _escaped(layer, found)
     for start, end, run in _base64_runs(text):
         if run.isalpha() and (run.islower() or run[1:].islower()):
             continue  # a plain word
-        data = _decode_base64(run)
-        if not data:
-            continue
-        lo, hi = int(layer.starts[start]), int(layer.ends[end - 1])
-        for plain in _unpack(data):
-            yield _coarse(plain, lo, hi)
+        hi = int(layer.ends[end - 1])
+        # what stands before the encoded part (a path, a name) shifts it: one of four alignments reads it
+        for shift in range(4):
+            data = _decode_base64(run[shift:])
+            if not data:
+                continue
+            lo = int(layer.starts[start + shift])
+            for plain in _unpack(data):
+                yield _coarse(plain, lo, hi)
+            for m in MAGIC.finditer(data, 1):  # compressed data behind other bytes
+                if _packed(data[m.start() : m.start() + PROBE]):
+                    for plain in _unpack(data[m.start() :]):
+                        yield _coarse(plain, lo, hi)
 
 
 def _coarse(text: str, lo: int, hi: int) -> Layer:

@@ -278,3 +278,33 @@ def test_secret_edges(frame):
     assert find_secrets(frame([])).count() == 0
     clean = redact_secrets(frame([(1, None), (2, "token=abcdefgh1")])).select("doc_id", "text", "n_chars").collect()
     assert sorted((r.doc_id, r.text) for r in clean) == [(1, None), (2, "[SECRET]")]
+
+
+HIDDEN = b"password=supersecret99 and more text around it"
+
+
+def deflated(data):
+    work = zlib.compressobj(9, zlib.DEFLATED, -15)
+    return work.compress(data) + work.flush()
+
+
+@pytest.mark.parametrize("before", ["", "https://example.com/path/", "x_", "id-", "v1/", "a", "ab/c", "key==="])
+@pytest.mark.parametrize(
+    "data",
+    [
+        HIDDEN, HIDDEN.decode().encode("utf-16"), HIDDEN.decode().encode("utf-16-be"), b"x" + HIDDEN.decode().encode("utf-16-le"),
+        gzip.compress(HIDDEN), b"HEAD\x00\x01\xff" + gzip.compress(HIDDEN), b"abc" + zlib.compress(HIDDEN), b"\x00\x01" + bz2.compress(HIDDEN),
+    ],
+)
+def test_encoded_secrets_behind_other_signs(before, data):
+    text = f"see {before}{base64.b64encode(data).decode()} there"
+    spans = scan(text)[1]
+    assert spans and all(kind == "assign" and text[lo:hi] in text[4:-6] for lo, kind, hi in spans)
+
+
+def test_deflate_without_header_and_percent_u():
+    for text in (f"see {base64.b64encode(deflated(HIDDEN * 3)).decode()}", "see " + "".join(f"%u{x:04x}" for x in HIDDEN)):
+        assert [kind for _, kind, _ in scan(text)[1]] == ["assign"] and scan(text)[0] == []
+    rng = random.Random(1)
+    for _ in range(300):  # bytes that are none of it
+        assert scan(base64.b64encode(rng.randbytes(rng.randrange(12, 400))).decode())[1] == []
