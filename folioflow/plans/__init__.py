@@ -3,7 +3,9 @@
 from folioflow.plans.jobs import (
     ExtractReport,
     audit_rows,
+    backfill_changed,
     backfill_transform,
+    changed_days,
     extract_frame,
     extract_job,
     extract_pages,
@@ -20,7 +22,9 @@ from folioflow.plans.jobs import (
 __all__ = [
     "ExtractReport",
     "audit_rows",
+    "backfill_changed",
     "backfill_transform",
+    "changed_days",
     "extract_frame",
     "extract_job",
     "extract_pages",

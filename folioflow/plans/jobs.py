@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,12 +18,13 @@ from folioflow.operators.aggregate import portfolio_by_asset
 from folioflow.operators.clean import to_raw, unparsed_numbers
 from folioflow.operators.flatten import flatten_results
 from folioflow.options import RAW_SOURCE, TRANSFORMED_SOURCE, JobOptions
-from folioflow.schemas import PARTITION_COLUMNS, PORTFOLIO, RAW, RESULT, quoted
-from folioflow.session import shared_dir
-from folioflow.sinks.audit import append_audit
+from folioflow.schemas import PARTITION_COLUMNS, PORTFOLIO, RAW, RESULT, quoted, with_partitions
+from folioflow.sinks.audit import append_audit, append_range_audit
 from folioflow.sinks.catalog import publish_table
 from folioflow.sinks.daily import WriteResult, write_daily
+from folioflow.sinks.gate import Measure, RowRule, write_checked
 from folioflow.sources.daily import read_day, read_days
+from folioflow.sources.footers import day_directories, day_files
 from folioflow.sources.manifest import followup_requests, request_manifest
 from folioflow.sources.pages import (
     consolidated_counts,
@@ -86,6 +88,8 @@ def extract_job(
     *,
     multi_line: bool = True,
     partition_day: dt.date | str | None = None,
+    rules: tuple[RowRule, ...] = (),
+    measures: tuple[Measure, ...] = (),
 ) -> ExtractReport:
     """G1: landed pages → raw daily partition (default: the run date), plus audit.
 
@@ -97,10 +101,14 @@ def extract_job(
     A page that landed more than once (a retry) is written once, by its last
     copy.  Keys of the records outside the schema are listed in the report;
     those in ``opts.extra_columns`` are kept as text.
+
+    ``rules`` and ``measures`` are checked while writing and stop it
+    (:class:`~folioflow.sinks.gate.ChecksFailed`): rules within the writing
+    job, measures by one more copy of the rows in the checkpoint folder.
     """
     pages = read_pages(spark, landing, multi_line=multi_line, index=opts.index, extra=opts.extra_columns)
     records = run_pages(read_records(spark, landing, multi_line=multi_line, index=opts.index), opts)
-    report = extract_pages(spark, pages, opts, partition_day=partition_day)
+    report = extract_pages(spark, pages, opts, partition_day=partition_day, rules=rules, measures=measures)
     known = (*RESULT.fieldNames(), *opts.extra_columns)
     return replace(report, unknown_keys=unknown_keys(records if opts.all_pages else records.where("page_number = 1"), known))
 
@@ -111,13 +119,20 @@ def with_every_key(spark: SparkSession, landing: str | list[str], opts: JobOptio
 
 
 def extract_pages(
-    spark: SparkSession, pages: DataFrame, opts: JobOptions, *, partition_day: dt.date | str | None = None
+    spark: SparkSession,
+    pages: DataFrame,
+    opts: JobOptions,
+    *,
+    partition_day: dt.date | str | None = None,
+    rules: tuple[RowRule, ...] = (),
+    measures: tuple[Measure, ...] = (),
 ) -> ExtractReport:
     """:func:`extract_job` on a pages frame (without the report of unknown keys, which a pages frame no longer has)."""
     day = as_date(partition_day) if partition_day is not None else opts.run_date
     landed = run_pages(pages, opts)
     pages = single_copies(landed)
-    result = write_daily(extract_frame(pages, opts), opts.raw_path, day, leading=opts.leading_partitions)
+    raw = extract_frame(pages, opts)
+    result = write_checked(raw, opts.raw_path, day, rules=rules, measures=measures, leading=opts.leading_partitions)[0]
     append_audit(spark, opts.audit_path, result, RAW_SOURCE, opts.run_timestamp)
     chosen = select_pages(pages, opts.all_pages)
     return ExtractReport(
@@ -140,9 +155,15 @@ def transform_job(
     opts: JobOptions,
     source_date: dt.date | str | None = None,
     target_date: dt.date | str | None = None,
+    *,
+    measures: tuple[Measure, ...] = (),
 ) -> WriteResult:
     """One raw day → portfolio → transformed partition ``target_date``, plus audit.
 
+    ``measures``: checks taken while the portfolio is computed; if one fails
+    (:class:`~folioflow.sinks.gate.ChecksFailed`) the day stays as it was and
+    nothing is audited.
+
     ``source_date``/``target_date`` default to the run date; ``data`` is
     always the run date, independent of both.
     """
@@ -150,7 +171,7 @@ def transform_job(
     target = as_date(target_date) if target_date is not None else opts.run_date
     raw = read_day(spark, opts.raw_path, source, opts.raw_schema, opts.leading_partitions)
     result = transform_frame(raw, opts)
-    written = write_daily(result, opts.transformed_path, target, leading=opts.leading_partitions)
+    written = write_checked(result, opts.transformed_path, target, measures=measures, leading=opts.leading_partitions)[0]
     append_audit(spark, opts.audit_path, written, TRANSFORMED_SOURCE, opts.run_timestamp)
     return written
 
@@ -167,20 +188,54 @@ def backfill_transform(
     keyed by output directory; only days that have data are replaced.
     """
     raw = read_days(spark, opts.raw_path, start, end, opts.raw_schema, opts.leading_partitions)
-    # one row per day and asset; stored, as the write and the audit's count per day both read it
-    shared_dir(spark)
-    result = transform_frame(raw, opts, by=PARTITION_COLUMNS).checkpoint()
-    counts = result.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("record_count"))
+    return _write_range(spark, raw, opts)
+
+
+def _write_range(spark: SparkSession, raw: DataFrame, opts: JobOptions) -> WriteResult:
+    """Raw rows of several days → their portfolio days, each audited by the footers of its files."""
     written = write_daily(
-        result.select(*opts.group_keys, *PARTITION_COLUMNS, *PORTFOLIO.fieldNames()),
+        transform_frame(raw, opts, by=PARTITION_COLUMNS).select(*opts.group_keys, *PARTITION_COLUMNS, *PORTFOLIO.fieldNames()),
         opts.transformed_path,
         date_col=partition_date(),
         leading=opts.leading_partitions,
     )
-    append_audit(spark, opts.audit_path, written, TRANSFORMED_SOURCE, opts.run_timestamp, counts=counts)
+    append_range_audit(
+        spark, opts.audit_path, written, TRANSFORMED_SOURCE, opts.run_timestamp, opts.portfolio_schema, opts.leading_partitions
+    )
     return written
 
 
+def changed_days(spark: SparkSession, opts: JobOptions) -> list[tuple[str, ...]]:
+    """Raw days whose portfolio day is missing or older than one of the raw files; file names and times only."""
+    keys = [*opts.leading_partitions, *PARTITION_COLUMNS]
+
+    def last(path: str, name: str) -> DataFrame:
+        try:
+            files = day_files(spark, path, opts.leading_partitions)
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" not in str(exc):
+                raise
+            return spark.createDataFrame([], ", ".join(f"{k} string" for k in keys) + f", {name} timestamp")
+        return files.groupBy(*keys).agg(F.max("modified").alias(name))
+
+    source, target = last(opts.raw_path, "read_from"), last(opts.transformed_path, "written")
+    stale = source.join(target, keys, "left").where("written is null or read_from >= written")
+    return sorted(tuple(r) for r in stale.select(*keys).collect())  # a row for each changed day
+
+
+def backfill_changed(spark: SparkSession, opts: JobOptions) -> WriteResult | None:
+    """G2, only where it is needed: the days of :func:`changed_days` are read, transformed and audited; None if there is none.
+
+    A raw day without any asset has no portfolio day and is tried again each time.
+    """
+    days = changed_days(spark, opts)
+    if not days:
+        return None
+    schema = with_partitions(opts.raw_schema, opts.leading_partitions)
+    raw = spark.read.schema(schema).option("basePath", opts.raw_path).parquet(*day_directories(opts.raw_path, days, opts.leading_partitions))
+    return _write_range(spark, raw, opts)
+
+
 def run_all(
     spark: SparkSession,
     landing: str | list[str],
@@ -223,10 +278,14 @@ def write_followups(
     return path, spark.read.parquet(path).count()
 
 
-def publish(spark: SparkSession, opts: JobOptions, table: str = "portfolio.raw_daily") -> DataFrame:
+def publish(
+    spark: SparkSession, opts: JobOptions, table: str = "portfolio.raw_daily", written: WriteResult | None = None
+) -> DataFrame:
     """Register the raw tree as an external partitioned table.
 
     A database that does not exist yet is created under the job root.
+    ``written``: the write to publish; only its days are added to a table
+    that is there already, instead of listing the whole tree.
     """
     return publish_table(
         spark,
@@ -235,6 +294,7 @@ def publish(spark: SparkSession, opts: JobOptions, table: str = "portfolio.raw_d
         opts.raw_schema,
         opts.leading_partitions,
         database_location=f"{opts.root.rstrip('/')}/_catalog",
+        days=None if written is None else written.days,
     )
 
 

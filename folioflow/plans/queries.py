@@ -524,12 +524,11 @@ FROM orders GROUP BY 3""",
 def q_write_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One audit row per day of a write over all days, every column."""
     from folioflow.options import RAW_SOURCE
-    from folioflow.sinks.audit import append_audit
+    from folioflow.sinks.audit import append_range_audit
 
     root = scratch_path(spark, "audit")
     result = _write_orders(spark, sf_dir, f"{root}/orders")
-    days = read_tree(spark, result.path, ORDERS_DAILY).groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("record_count"))
-    append_audit(spark, f"{root}/_audit", result, RAW_SOURCE, RUN_TIMESTAMP, counts=days)
+    append_range_audit(spark, f"{root}/_audit", result, RAW_SOURCE, RUN_TIMESTAMP, ORDERS_DAILY)
     return read_audit(spark, f"{root}/_audit").withColumn("target", F.substring_index("target", "/", -1))
 
 

@@ -7,10 +7,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StructType
+
 from folioflow.functions.dates import partition_date, timestamp_literal
 from folioflow.options import SCHEMA_VERSION
-from folioflow.schemas import AUDIT
+from folioflow.schemas import AUDIT, PARTITION_COLUMNS
 from folioflow.sinks.daily import WriteResult
+from folioflow.sources.footers import footer_counts
 
 
 def audit_frame(
@@ -52,5 +55,25 @@ def append_audit(
     return frame
 
 
+def append_range_audit(
+    spark: SparkSession,
+    audit_path: str,
+    result: WriteResult,
+    source: str,
+    run_timestamp: dt.datetime,
+    schema: StructType,
+    leading: tuple[str, ...] = (),
+    schema_version: str = SCHEMA_VERSION,
+) -> DataFrame:
+    """The audit of a write over several days, a row for each: the days come from the write itself, their rows from the footers.
+
+    Nothing that was written is read again, whatever the range.
+    """
+    counts = footer_counts(spark, result.path, schema, leading, list(result.days))
+    if leading:
+        counts = counts.groupBy(*PARTITION_COLUMNS).agg(F.sum("record_count").alias("record_count"))
+    return append_audit(spark, audit_path, result, source, run_timestamp, schema_version, counts)
+
+
 def read_audit(spark: SparkSession, audit_path: str) -> DataFrame:
     return spark.read.schema(AUDIT).parquet(audit_path)

@@ -21,6 +21,8 @@ class WriteResult:
     path: str
     record_count: int
     partition_date: dt.date | None
+    # values of (leading.., year, month, day) of every directory that was replaced
+    days: tuple[tuple[str, ...], ...] = ()
 
     @property
     def ok(self) -> bool:
@@ -59,7 +61,8 @@ def write_daily(
     * **Empty guard**: an empty input writes no partition, so the
       existing data of that day is untouched; the observed count then
       reports the failure.  The count is taken while writing (an
-      ``Observation`` in the final stage), so there is no second pass.
+      ``Observation`` in the final stage), so there is no second pass; the
+      days written come from the same observation (one entry a directory).
     * **NULL keys**: a NULL day or leading key fails the write.
     * **File sizing**: a ``rebalance`` lets adaptive execution merge small
       output partitions and split large ones.  For a literal day it has no
@@ -79,7 +82,9 @@ def write_daily(
     # files of the advisory size.  Else rows go by their directory.
     by = [] if date_col is None and not leading else cols if date_col is not None else list(leading)
     observation = Observation()
-    staged = staged.hint("rebalance", *by).observe(observation, F.count(F.lit(1)).alias("rows"))
+    staged = staged.hint("rebalance", *by).observe(
+        observation, F.count(F.lit(1)).alias("rows"), F.collect_set(F.array(*cols)).alias("days")
+    )
     (
         staged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -87,8 +92,13 @@ def write_daily(
         .partitionBy(*cols)
         .parquet(path)
     )
-    count = int(observation.get.get("rows", 0) or 0)
-    result = WriteResult(path=path, record_count=count, partition_date=as_date(day) if date_col is None else None)
+    seen = observation.get
+    result = WriteResult(
+        path=path,
+        record_count=int(seen.get("rows", 0) or 0),
+        partition_date=as_date(day) if date_col is None else None,
+        days=tuple(sorted(tuple(d) for d in seen.get("days") or ())),
+    )
     if not result.ok and raise_on_empty:
         raise EmptyOutput(f"no rows to write to {path}; existing data left unchanged")
     return result

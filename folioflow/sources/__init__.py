@@ -1,6 +1,7 @@
 """Sources: landed response pages, request manifest, daily Parquet trees."""
 
 from folioflow.sources.daily import PartitionNotFound, read_day, read_days, read_tree
+from folioflow.sources.footers import day_files, footer_counts, footer_null_counts
 from folioflow.sources.legacy import migrate_legacy_raw, read_legacy_tree, row_based_session
 from folioflow.sources.manifest import followup_requests, request_manifest
 from folioflow.sources.tables import read_table
@@ -24,7 +25,10 @@ __all__ = [
     "PartitionNotFound",
     "consolidated_counts",
     "extra_keys",
+    "day_files",
     "first_pages",
+    "footer_counts",
+    "footer_null_counts",
     "followup_requests",
     "missing_first_pages",
     "migrate_legacy_raw",

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_mod
-from folioflow.plans import landed_queries, queries as _core  # noqa: F401, E402
+from folioflow.plans import landed_queries, queries as _core, write_queries  # noqa: F401, E402
 from folioflow.plans.registry import ORACLE_SQL, QUERIES
 from tests.conftest import SF_SMALL
 
