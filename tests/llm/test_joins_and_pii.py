@@ -234,6 +234,61 @@ def test_contexts_find_what_no_base_pattern_matches(frame):
     assert got[51].spans == "" and all(got[i].n_found == 0 for i in range(12))
 
 
+def planted(rng):
+    """Texts with seeds and with identifiers that no base pattern matches, in varied contexts; the spans of the latter."""
+    words = [f"{a}{b}" for a in ("lor", "sit", "dol", "con", "ad", "pis", "ma", "gna") for b in ("em", "um", "or", "ec", "ing", "ere")]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    cues = {
+        "phone": ["call {}", "Phone: {}", "my number is {}", "reach me on ({})", "tel. {} (office)", "ring, if you can, {} please", "WhatsApp: {};"],
+        "email": ["write to {}", "E-mail: {}", "contact {} for more", "mailto <{}>", "send it to {}, please", "reply at {}"],
+    }
+    seeds = {
+        "phone": lambda: f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}",
+        "email": lambda: f"{rng.choice(words)}.{rng.randrange(10, 99)}@mail{rng.randrange(9)}.example.com",
+    }
+    unseen = {
+        "phone": lambda: rng.choice(["({}) 555-{}", "{}-555-{}", "{}.555.{}"]).format(rng.randrange(200, 999), rng.randrange(1000, 9999)),
+        "email": lambda: f"{rng.choice(words)}.{rng.randrange(10, 99)}@{rng.choice(words)}intranet",
+    }
+    rows, want = [], set()
+    for i in range(900):
+        kind = rng.choice(["phone", "email"])
+        new = i % 5 == 0
+        value = (unseen if new else seeds)[kind]()
+        before, after = rng.choice(cues[kind]).split("{}")
+        head = f"{prose(rng.randrange(3, 12))}. {before}"
+        if new:
+            want.add((i, kind, len(head), value))
+        rows.append((i, head + value + after + " " + prose(rng.randrange(2, 9))))
+    for i in range(300):  # numbers of other kinds, in contexts of their own
+        rows.append((1000 + i, f"{prose(5)} {rng.choice(['costs', 'chapter', 'room', 'in the year', 'version'])} {rng.randrange(10, 99999)} {prose(4)}"))
+    return rows, want
+
+
+def test_recall_and_precision_of_unseen_identifiers(frame):
+    rows, want = planted(random.Random(11))
+    texts = dict(rows)
+    got = find_personal_data(frame(rows)).collect()
+    found = set()
+    for r in got:
+        spans = [s.split(":") for s in r.spans.split(",") if s]
+        known = set(base(texts[r.doc_id]).split(","))
+        found |= {(r.doc_id, kind, int(lo), int(hi)) for kind, lo, hi in spans if f"{kind}:{lo}:{hi}" not in known}
+    hit = {(i, kind, at) for i, kind, at, value in want for d, k, lo, hi in found if d == i and k == kind and lo <= at + 1 and hi >= at + len(value) - 1}
+    recall = len(hit) / len(want)
+    precision = len(hit) / max(1, len(found))
+    print(f"recall {recall:.3f}, precision {precision:.3f} of {len(want)} planted, {len(found)} found")
+    assert recall >= 0.9 and precision >= 0.9
+
+
+def test_very_many_matches_in_one_text(frame):
+    """Chunks of matches are placed one after the other; the time does not grow with the square of their number."""
+    text = " ".join(f"word {i} a{i}@b.cc 10.0.{i % 256}.1" for i in range(12_000))
+    row = find_personal_data(frame([(1, text)])).collect()[0]
+    want = base(text)
+    assert row.base_sha256 == hashlib.sha256(want.encode()).hexdigest() and row.n_email == 12_000 and row.n_ip == 12_000
+
+
 def test_personal_data_edges(frame):
     rows = find_personal_data(frame(EDGE)).collect()
     assert len(rows) == len(EDGE) and all(r.spans == "" and r.n_email == 0 for r in rows)
