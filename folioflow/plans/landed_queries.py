@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,6 +124,48 @@ def q_landed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_transformed_day(spark, opts, RUN_DATE)
 
 
+# ------------------------------------------------------------------ roots and the command line
+
+_PORTFOLIO_OF_CONVERSATIONS = f"""
+WITH {CONV_C}
+SELECT CAST(conv_id AS VARCHAR) AS index, role AS acao, count(*) AS qtd_codigo,
+  CAST(sum(len) AS DOUBLE) / 100 AS participacao,
+  CAST(sum(len * 1000) AS BIGINT) AS qtd_teorica_total,
+  '2025-07-25' AS data, '2025' AS year, '07' AS month, '25' AS day
+FROM c GROUP BY conv_id, role"""
+
+
+def _land(spark: SparkSession, sf_dir: str, landing: str) -> None:
+    feeds.conversation_pages(spark, sf_dir, index_in_body=True).select(F.col("body").alias("value")).write.text(landing)
+
+
+@register("mounted_root_job", _PORTFOLIO_OF_CONVERSATIONS)
+def q_mounted_root_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extract and transform under a root that is no ``file:`` URI: a mount of Hadoop's view file system, which only Spark opens."""
+    place = scratch_path(spark, "mounted")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.feeds.link./jobs", place if ":" in place else f"file:{place}")
+    _land(spark, sf_dir, f"{place}/landing")  # makes the folder behind the mount
+    opts = replace(_options(spark, "unused"), root="viewfs://feeds/jobs")
+    extract_job(spark, f"{opts.root}/landing", opts, multi_line=False)
+    transform_job(spark, opts)
+    return read_transformed_day(spark, opts, RUN_DATE)
+
+
+@register("command_line_job", _PORTFOLIO_OF_CONVERSATIONS)
+def q_command_line_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run by the command line's options alone."""
+    from folioflow.__main__ import main
+
+    opts = _options(spark, "command-line")
+    landing = f"{opts.root}/landing"
+    _land(spark, sf_dir, landing)
+    flags = ["--root", opts.root, "--landing", landing, "--json-lines", "--all-pages", "--index-mode", "column"]
+    with contextlib.redirect_stdout(io.StringIO()):  # its line of counts
+        main(["all", *flags, "--run-timestamp", RUN_TIMESTAMP.isoformat()])
+    return read_transformed_day(spark, opts, RUN_DATE)
+
+
 # ------------------------------------------------------------------ requests still to make
 
 _REQUEST = "json_object('pageNumber', page_number, 'pageSize', 1200, 'language', 'pt-br', 'index', index)::VARCHAR"

@@ -11,7 +11,10 @@ pandas/pyarrow):
 * the run timestamp is ``INT64 TIMESTAMP(NANOS)``, which Spark does not
   map to a timestamp; read as ``bigint`` it is the raw count since the
   epoch.  Older writers stored microseconds; the unit is read
-  from the Parquet type of each day's files, never guessed from values.
+  from the Parquet type of each file, never guessed from values: Spark
+  reads microseconds as a timestamp and refuses nanoseconds, so one job over
+  that column alone names the files of microseconds, however many days and
+  writers the tree has.
 
 :func:`migrate_legacy_raw` rewrites such a tree once into the current
 layout; every later job reads the new tree with the vectorized reader.
@@ -20,7 +23,6 @@ layout; every later job reads the new tree with the vectorized reader.
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +31,12 @@ from pyspark.sql.types import LongType, StructField, StructType
 from folioflow.functions.dates import partition_date
 from folioflow.operators.clean import conform
 from folioflow.schemas import PARTITION_COLUMNS, RAW, with_partitions
+from folioflow.session import shared_dir
 from folioflow.sinks.daily import WriteResult, write_daily
 from folioflow.sources.daily import PartitionNotFound
 
+BROADCAST_FILES = 100_000  # names (under 300 bytes each)
+
 _EPOCH = dt.datetime(1970, 1, 1)
 UNITS = ("ns", "us")
 
@@ -40,11 +45,16 @@ LEGACY_RAW = StructType(
 )
 
 
+def whole_micros(c: Column) -> Column:
+    """A count of nanoseconds as microseconds, rounded down."""
+    return F.call_function("div", c - F.pmod(c, F.lit(1000)), F.lit(1000))
+
+
 def epoch_count_to_ntz(c: Column, unit: str = "ns") -> Column:
     """A count of ``unit`` since the epoch → TIMESTAMP_NTZ (no time-zone shift), whole microseconds, rounded down."""
     if unit not in UNITS:
         raise ValueError(f"unit must be one of {UNITS}, got {unit!r}")
-    micros = F.call_function("div", c - F.pmod(c, F.lit(1000)), F.lit(1000)) if unit == "ns" else c
+    micros = whole_micros(c) if unit == "ns" else c
     seconds = (micros.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
     return F.lit(_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
@@ -62,35 +72,39 @@ def row_based_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def day_units(session: SparkSession, path: str) -> dict[str, list[str]]:
-    """The day directories under ``path`` by the unit of their files' time stamps.
+def microsecond_files(spark: SparkSession, path: str) -> DataFrame:
+    """(``file``): the files under ``path`` whose time stamps are microseconds; one job, no list of days on the driver.
 
-    Only names and one footer a day are read (the writer made one file a day).
+    A damaged file is not among them, and then fails where the tree is read.
     """
-    files = session.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
-    days = files.select(F.regexp_replace("path", "/[^/]*$", "").alias("day")).distinct().orderBy("day").collect()
-    out: dict[str, list[str]] = {u: [] for u in UNITS}
-    for row in days:
-        kind = session.read.parquet(row["day"]).schema["extraction_timestamp"].dataType
-        out["ns" if isinstance(kind, LongType) else "us"].append(row["day"])
-    return out
+    probe = spark.newSession()
+    probe.conf.set("spark.sql.legacy.parquet.nanosAsLong", "false")
+    probe.conf.set("spark.sql.files.ignoreCorruptFiles", "true")  # a file of nanoseconds counts as one here
+    stamps = probe.read.schema("extraction_timestamp timestamp_ntz").option("recursiveFileLookup", "true").parquet(path)
+    shared_dir(spark)
+    # the count is stored as well, or the column would not be read at all
+    files = stamps.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("extraction_timestamp").alias("stamps")).checkpoint()
+    return files.select("file")
 
 
 def read_legacy_tree(session: SparkSession, path: str) -> DataFrame:
-    """The legacy raw tree as :data:`~folioflow.schemas.RAW` + partition columns.
+    """The legacy raw tree as :data:`~folioflow.schemas.RAW` + partition columns, in one scan.
 
-    ``session``: a :func:`row_based_session`.
+    ``session``: a :func:`row_based_session`.  Up to BROADCAST_FILES names of
+    files are broadcast (counted); more are joined by name.
     """
-    nan_free = {c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in ("part", "theoricalQty")}
-    parts = []
-    for unit, days in day_units(session, path).items():
-        if days:
-            df = session.read.schema(with_partitions(LEGACY_RAW)).option("basePath", path).parquet(*days)
-            stamp = epoch_count_to_ntz(F.col("extraction_timestamp"), unit)
-            parts.append(df.withColumns({**nan_free, "extraction_timestamp": stamp}))
-    if not parts:
+    files = session.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    if files.select("path").isEmpty():
         raise PartitionNotFound(f"no day under {path}")
-    return reduce(DataFrame.unionByName, parts)
+    micros = microsecond_files(session, path)
+    micros = F.broadcast(micros) if micros.count() <= BROADCAST_FILES else micros
+    nan_free = {c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in ("part", "theoricalQty")}
+    names = with_partitions(LEGACY_RAW).fieldNames()
+    df = session.read.schema(with_partitions(LEGACY_RAW)).parquet(path).select(*names, F.col("_metadata.file_path").alias("_file"))
+    known = df.join(micros, F.col("_file") == F.col("file"), "left")
+    stamp = F.col("extraction_timestamp")
+    in_micros = F.when(F.col("file").isNotNull(), stamp).otherwise(whole_micros(stamp))
+    return known.withColumns({**nan_free, "extraction_timestamp": epoch_count_to_ntz(in_micros, "us")}).select(*names)
 
 
 def migrate_legacy_raw(spark: SparkSession, legacy_path: str, target_path: str) -> WriteResult:

@@ -187,3 +187,30 @@ def test_rewriting_a_day_from_itself_is_safe(spark, scratch):
     write_daily(day.drop("year", "month", "day").withColumn("asset", F.lit("A2")), root, "2024-01-15")
     assert [r.asset for r in read_day(spark, root, "2024-01-15").collect()] == ["A2"] * 5
     assert read_day(spark, root, "2024-01-16").count() == 2
+
+
+def test_legacy_units_are_found_in_one_job_whatever_the_days(spark, scratch):
+    from folioflow.sources import read_legacy_tree, row_based_session
+    from folioflow.sources.legacy import microsecond_files
+
+    legacy = scratch("legacy")
+    days = [f"2025-06-{d:02d}" for d in range(1, 21)]
+    for k, day in enumerate(days):  # the writers take turns
+        _legacy_day(legacy, day, null_segment=k % 3 == 0, unit="us" if k % 2 else "ns")
+    session = row_based_session(spark)
+    found = microsecond_files(session, legacy)
+    assert sorted(r["file"].split("day=")[1][:2] for r in found.collect()) == [d[-2:] for d in days[1::2]]
+    rows = read_legacy_tree(session, legacy)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    assert {r.extraction_timestamp for r in rows.collect()} == {dt.datetime(2025, 7, 25, 14, 32, 40, 123456)} and rows.count() == 40
+
+
+def test_a_damaged_legacy_file_fails_the_migration(spark, scratch):
+    from folioflow.sources import migrate_legacy_raw
+
+    legacy = scratch("legacy")
+    _legacy_day(legacy, "2025-07-24", null_segment=True)
+    with open(os.path.join(legacy, "year=2025", "month=07", "day=24", "other.parquet"), "wb") as f:
+        f.write(b"PAR1 this is no parquet file PAR1")
+    with pytest.raises(Exception):
+        migrate_legacy_raw(spark, legacy, scratch("migrated"))
