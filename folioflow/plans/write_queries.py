@@ -7,22 +7,28 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioflow.functions.dates import partition_columns
+from folioflow.operators.aggregate import portfolio_by_asset
 from folioflow.operators.clean import clean_columns, conform
 from folioflow.operators.quality import union_all
+from folioflow.operators.reconcile import reconcile
 from folioflow.options import JobOptions
 from folioflow.plans import feeds
 from folioflow.plans.feeds import RUN_DATE, RUN_TIMESTAMP
 from folioflow.plans.jobs import audit_rows, backfill_changed, backfill_transform
 from folioflow.plans.queries import LINEITEM_F, ORDERS_DAILY, PORTFOLIO_SQL, _lineitem_portfolio, _lineitem_raw, _write_orders
-from folioflow.plans.registry import register
+from folioflow.plans.registry import ORACLE_SQL, register
 from folioflow.schemas import PARTITION_COLUMNS, PORTFOLIO, RAW
 from folioflow.session import scratch_path
+from folioflow.sinks.bucketed import create_bucketed, write_bucketed
 from folioflow.sinks.catalog import publish_table
 from folioflow.sinks.daily import write_daily
 from folioflow.sinks.gate import ChecksFailed, RowRule, check_rows, portfolio_measures, write_checked
 from folioflow.sources.daily import read_day, read_tree
 from folioflow.sources.footers import footer_counts, footer_null_counts
 
+BUCKETS = 8  # of the bucketed queries
+
 # ------------------------------------------------------------------ counts out of footers
 
 
@@ -193,3 +199,32 @@ def q_publish_written_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         written = write_daily(orders.where(half), path, date_col="o_day", drop_date_col=True)
         table = publish_table(spark, name, path, ORDERS_DAILY, database_location=home, days=written.days)
     return table.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------------ a layout that saves the shuffle
+
+
+def _bucketed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned feed as a raw day of a table bucketed by asset."""
+    path = scratch_path(spark, "bucketed-raw")
+    name = "folioflow_scratch_b.raw_" + path.rsplit("-", 1)[-1][:12]
+    create_bucketed(spark, name, path, RAW, "asset", BUCKETS)
+    write_bucketed(conform(_lineitem_raw(spark, sf_dir), RAW).withColumns(partition_columns(F.lit(RUN_DATE))), name)
+    return spark.table(name)
+
+
+@register("bucketed_portfolio", f"WITH {LINEITEM_F} {PORTFOLIO_SQL}")
+def q_bucketed_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The portfolio of a raw day that lies by asset: no shuffle after the scan."""
+    return portfolio_by_asset(_bucketed_raw(spark, sf_dir), RUN_DATE)
+
+
+@register("bucketed_reconcile", ORACLE_SQL["reconcile"])
+def q_bucketed_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored portfolio against its raw rows, both by asset: neither the aggregation nor the join shuffles."""
+    path = scratch_path(spark, "bucketed-portfolio")
+    name = "folioflow_scratch_b.portfolio_" + path.rsplit("-", 1)[-1][:12]
+    stale = portfolio_by_asset(clean_columns(feeds.lineitem_stale_feed(spark, sf_dir)), RUN_DATE)
+    create_bucketed(spark, name, path, PORTFOLIO, "acao", BUCKETS)
+    write_bucketed(stale.withColumns(partition_columns(F.lit(RUN_DATE))), name)
+    return reconcile(_bucketed_raw(spark, sf_dir), spark.table(name), tolerance=0.01)
