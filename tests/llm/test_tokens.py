@@ -12,7 +12,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from folioflow.llm import sentence_pieces, word_tokens
+from folioflow.llm import lm_difference, sentence_pieces, word_tokens
 from folioflow.llm.lm_difference import MU, score_documents
 from folioflow.llm.packing import GRAIN, WINDOW, Plan, checksum_between, combinations, pack, solve, _shifts
 from folioflow.llm.sentence_pieces import PieceModel, decode_pieces, encode_pieces, model_path
@@ -180,10 +180,25 @@ def test_scores(frame, spark, documents):
 
     all_docs, chosen = model(ids), model(target)
     for i, x in ids.items():
+        like = model([j for j in target if j != i]) if i in target else chosen  # without the document itself
         assert got[i].n_tokens == len(x)
         assert abs(got[i].background_bits - bits(all_docs, x)) < 1e-5
-        assert abs(got[i].target_bits - bits(chosen, x)) < 1e-5
-        assert abs(got[i].difference - (bits(chosen, x) - bits(all_docs, x))) < 1e-5
+        assert abs(got[i].target_bits - bits(like, x)) < 1e-5
+        assert abs(got[i].difference - (bits(like, x) - bits(all_docs, x))) < 1e-5
+
+
+def test_a_heavy_bigram_is_scored_where_the_tokens_are(frame, spark, documents, monkeypatch):
+    """A rare pair of words that fills its bucket: the same scores as in a bucket of its own."""
+    rows = [(i, t) for i, t, _ in documents[:40]] + [(900 + k, "zyzzyva quokka " * 400) for k in range(6)]
+    target = spark.createDataFrame([(i,) for i, _ in rows[::3]], "doc_id long")
+    plain = {r.doc_id: tuple(r) for r in score_documents(frame(rows), target).collect()}
+    monkeypatch.setattr(lm_difference, "BUCKET_TOKENS", 500)
+    monkeypatch.setattr(lm_difference, "TOP", 4)  # next to nothing is hot
+    seen = []
+    heavy = lm_difference._heavy
+    monkeypatch.setattr(lm_difference, "_heavy", lambda *a: seen.append(heavy(*a)) or seen[-1])
+    got = {r.doc_id: tuple(r) for r in score_documents(frame(rows), target).collect()}
+    assert got == plain and len(seen[0][0])
 
 
 def test_score_edges(frame, spark):
