@@ -25,7 +25,7 @@ to the language first in alphabetical order; repeated rows are alike.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.llm.batches import filter_rows, map_columns, pick
@@ -234,11 +234,12 @@ def train(docs: DataFrame, sample_docs: int = 200, sample_chars: int = 20_000, o
         chosen = chosen | ((F.col("lang") == lang) & own)
     samples: dict[str, list[bytes]] = {lang: [] for lang in counts}
     if counts:
-        most = 2 * sample_docs * len(counts)
-        picked = rows.where(chosen).select("lang", F.substring("text", 1, sample_chars).alias("text")).limit(most).collect()
+        # rows that are alike count once, and each language has its own least places: the same rows in every run
+        alike = rows.where(chosen).groupBy("lang", place.alias("place")).agg(F.min(F.substring("text", 1, sample_chars)).alias("text"))
+        first = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+        picked = alike.withColumn("first", first).where(F.col("first") <= 2 * sample_docs).collect()
         for row in sorted(picked, key=lambda r: (r["lang"], r["text"])):
-            if len(samples[row["lang"]]) < 2 * sample_docs:
-                samples[row["lang"]].append(row["text"].encode("utf-8"))
+            samples[row["lang"]].append(row["text"].encode("utf-8"))
     return ContextTrees({k: v for k, v in samples.items() if v}, order)
 
 

@@ -17,7 +17,7 @@ from tests.llm.test_joins_and_pii import brute
 def test_registered():
     names = entry.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "quality_rules", "near_duplicates", "secret_scan", "packing"]
 
 
@@ -47,7 +47,43 @@ def test_stages_against_plain_versions(spark):
 def test_every_query_runs_over_its_whole_table(spark):
     documents = duckdb.sql(f"SELECT count(*) FROM '{SF}/documents.parquet'").fetchall()[0][0]
     pages = duckdb.sql(f"SELECT count(*) FROM '{SF}/pages.parquet'").fetchall()[0][0]
+    vectors = duckdb.sql(f"SELECT count(*) FROM '{SF}/embeddings.parquet'").fetchall()[0][0]
+    rows = {"doc_id": documents, "page_id": pages, "vec_id": vectors}
     for name, query in QUERIES.items():
         df = query(spark, SF)
-        key = "page_id" if "page_id" in df.columns else "doc_id"
-        assert df.select(key).distinct().count() == (pages if key == "page_id" else documents), name
+        key = next(k for k in rows if k in df.columns)
+        assert df.select(key).distinct().count() == rows[key], name
+
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def written(spark, folder, rows, more=""):
+    """A folder with a table of documents, with clashing extra columns."""
+    clash = [f for f in more.split(",") if f]
+    schema = COLUMNS + "".join(f", {c} string" for c in clash)
+    spark.createDataFrame([(*r, *("x" for _ in clash)) for r in rows], schema).write.parquet(f"{folder}/documents.parquet")
+    return folder
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    folder = written(spark, f"file:{tmp_path}", [])
+    assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path, documents):
+    """NULL ids and texts, repeated rows, ties, other columns; each text that stays is packed whole."""
+    plain = [(i, t, lang, "web", len(t or "")) for i, t, lang in documents[:60]]
+    kept_text = next(t for i, t, _ in documents if t and len(t) > 400)
+    odd = [(None, kept_text + " and a row of its own", "en", None, 0), (700, None, "en", "web", None), (701, "", None, None, 0), (702, " \n", None, None, 3), plain[0], plain[0]]
+    folder = written(spark, f"file:{tmp_path}", plain + odd, "root,key,piece_id,c0")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    frame = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, folder)
+        assert frame.columns == docs.columns and frame.dtypes == docs.dtypes, name
+    left = frame.select("doc_id", "text").collect()
+    assert 700 not in {r.doc_id for r in left} and len({r.text for r in left}) == len(left)
+    pieces = corpus_pipeline.run(spark, folder).groupBy("doc_id", "doc_tokens").agg({"length": "sum"}).collect()
+    assert sorted(r.doc_id or -1 for r in pieces) == sorted(r.doc_id or -1 for r in left)
+    assert all(r["sum(length)"] == r["doc_tokens"] for r in pieces)

@@ -308,3 +308,13 @@ def test_deflate_without_header_and_percent_u():
     rng = random.Random(1)
     for _ in range(300):  # bytes that are none of it
         assert scan(base64.b64encode(rng.randbytes(rng.randrange(12, 400))).decode())[1] == []
+
+
+def test_equal_rows_do_not_crowd_out_a_language(spark):
+    rows = [(1_000_003, "the very same words of one row again and again", "en")] * 3_000
+    rows += [(i, f"die wörter der anderen sprache stehen in wenigen zeilen {i}", "de") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = train(df, sample_docs=5)
+    assert sorted(model.languages) == ["de", "en"]
+    assert model.predict(["die wörter stehen in zeilen", "the same words again"])[0] == ["de", "en"]
+    assert train(df.repartition(7), sample_docs=5).predict(["die wörter"]) == model.predict(["die wörter"])  # the same sample
