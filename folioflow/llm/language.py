@@ -220,13 +220,14 @@ def train(docs: DataFrame, sample_docs: int = 200, sample_chars: int = 20_000, o
     # texts over the bound are needed only where a language has too few under it, and then their first characters
     short = F.length("text") <= sample_chars
     rows = rows.where(F.length("text") > 0)
-    found = rows.groupBy("lang").agg(F.count(F.when(short, 1)).alias("n"), F.count(F.when(~short, 1)).alias("longer")).collect()
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**30)) / F.lit(float(2**30))
+    different = lambda some: F.approx_count_distinct(F.when(some, place), 0.02)  # noqa: E731 - equal rows have one place
+    found = rows.groupBy("lang").agg(different(short).alias("n"), different(~short).alias("longer")).collect()
     counts = {r["lang"]: r["n"] for r in found}
     longer = {r["lang"]: r["longer"] for r in found}
     sample_docs = max(1, min(sample_docs, SAMPLE_ROWS // max(1, len(counts))))
     # one condition for each language: a share of the hash range that holds about sample_docs rows
     chosen = F.lit(False)
-    place = (F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**30)) / F.lit(float(2**30)))
     for lang, n in counts.items():
         own = short & (place < F.lit(min(1.0, sample_docs / max(1, n))))
         if n < sample_docs and longer[lang]:

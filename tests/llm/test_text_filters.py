@@ -311,7 +311,7 @@ def test_deflate_without_header_and_percent_u():
 
 
 def test_equal_rows_do_not_crowd_out_a_language(spark):
-    rows = [(1_000_003, "the very same words of one row again and again", "en")] * 3_000
+    rows = [(1_000_004, "the very same words of one row again and again", "en")] * 3_000
     rows += [(i, f"die wörter der anderen sprache stehen in wenigen zeilen {i}", "de") for i in range(40)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
     model = train(df, sample_docs=5)
