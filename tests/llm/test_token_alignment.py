@@ -98,6 +98,13 @@ def test_documents_and_hard_texts(frame, documents):
     check(got, rows)
 
 
+def test_groups_themselves(frame):
+    rows = [(i, t) for i, t in enumerate(HARD)]
+    got = align_tokens(frame(rows), keep_groups=True).collect()
+    assert all(r["groups_sha256"] == (hashlib.sha256(r["groups"].encode()).hexdigest() if r["groups"] else "") for r in got)
+    assert all(r["n_groups"] == (r["groups"].count(";") + 1 if r["groups"] else 0) for r in got) and any(r["groups"] for r in got)
+
+
 def test_edges_in_small_runs_and_parts(frame, monkeypatch):
     check(align_tokens(frame(EDGE).repartition(2)).collect(), EDGE)
     assert align_tokens(frame([])).collect() == []
