@@ -16,8 +16,9 @@ if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from folioflow.options import DEFAULT_INDEX, DEFAULT_LANGUAGE, DEFAULT_PAGE_SIZE, INDEX_MODES, NUMBER_MODES, JobOptions
-from folioflow.plans import backfill_transform, extract_job, publish, run_all, transform_job, with_every_key, write_followups, write_manifest
+from folioflow.plans import backfill_changed, backfill_transform, extract_job, publish, run_all, transform_job, with_every_key, write_followups, write_manifest
 from folioflow.session import build_session
+from folioflow.sinks.gate import portfolio_measures, raw_measures
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -40,6 +41,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--target-date", help="portfolio day written by transform (default: run date)")
     p.add_argument("--start", help="first day of a backfill (default: the first there is)")
     p.add_argument("--end", help="last day of a backfill (default: the last there is)")
+    p.add_argument("--changed", action="store_true", help="backfill only the days whose raw files are newer than their portfolio")
+    p.add_argument("--checks", action="store_true", help="stop the write of a raw or portfolio day that fails its checks (extract, transform, all)")
     p.add_argument("--table", default="portfolio.raw_daily", help="catalog table for publish")
     p.add_argument("--run-timestamp", help="ISO timestamp to bind as the run clock (default: now)")
     return p
@@ -68,10 +71,12 @@ def main(argv: list[str] | None = None) -> dict:
             opts = with_every_key(spark, args.landing, opts, multi_line=not args.json_lines)
             out["extra_columns"] = list(opts.extra_columns)
         if args.command == "all":
-            report, written = run_all(spark, args.landing, opts, multi_line=not args.json_lines, day=args.day)
+            report, written = run_all(spark, args.landing, opts, multi_line=not args.json_lines, day=args.day, checks=args.checks)
             out["portfolio_rows"] = written.record_count
         else:
-            report = extract_job(spark, args.landing, opts, multi_line=not args.json_lines, partition_day=args.day)
+            report = extract_job(
+                spark, args.landing, opts, multi_line=not args.json_lines, partition_day=args.day, measures=raw_measures() if args.checks else ()
+            )
         out["raw_records"] = report.write.record_count
         out |= report.losses()
     if args.command == "manifest":
@@ -82,10 +87,12 @@ def main(argv: list[str] | None = None) -> dict:
         else:
             out["path"], out["requests"] = write_manifest(spark, opts, args.base_url, args.total_pages)
     if args.command == "transform":
-        written = transform_job(spark, opts, args.source_date, args.target_date)
+        written = transform_job(spark, opts, args.source_date, args.target_date, measures=portfolio_measures() if args.checks else ())
         out["portfolio_rows"] = written.record_count
     if args.command == "backfill":
-        out["portfolio_rows"] = backfill_transform(spark, opts, args.start, args.end).record_count
+        written = backfill_changed(spark, opts) if args.changed else backfill_transform(spark, opts, args.start, args.end)
+        out["portfolio_rows"] = written.record_count if written else 0
+        out["days"] = len(written.days) if written else 0
     if args.command == "publish":
         out["table"] = args.table
         out["rows"] = publish(spark, opts, args.table).count()

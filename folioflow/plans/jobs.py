@@ -22,7 +22,7 @@ from folioflow.schemas import PARTITION_COLUMNS, PORTFOLIO, RAW, RESULT, quoted,
 from folioflow.sinks.audit import append_audit, append_range_audit
 from folioflow.sinks.catalog import publish_table
 from folioflow.sinks.daily import WriteResult, write_daily
-from folioflow.sinks.gate import Measure, RowRule, write_checked
+from folioflow.sinks.gate import Measure, RowRule, portfolio_measures, raw_measures, write_checked
 from folioflow.sources.daily import read_day, read_days
 from folioflow.sources.footers import day_directories, day_files
 from folioflow.sources.manifest import followup_requests, request_manifest
@@ -243,11 +243,15 @@ def run_all(
     *,
     multi_line: bool = True,
     day: dt.date | str | None = None,
+    checks: bool = False,
 ) -> tuple[ExtractReport, WriteResult]:
-    """Extract into ``day`` (default: the run date), then transform that day; the first failure raises and stops."""
+    """Extract into ``day`` (default: the run date), then transform that day; the first failure raises and stops.
+
+    ``checks``: a failing check of the raw or the portfolio day is such a failure.
+    """
     day = as_date(day) if day is not None else opts.run_date
-    report = extract_job(spark, landing, opts, multi_line=multi_line, partition_day=day)
-    written = transform_job(spark, opts, day, day)
+    report = extract_job(spark, landing, opts, multi_line=multi_line, partition_day=day, measures=raw_measures() if checks else ())
+    written = transform_job(spark, opts, day, day, measures=portfolio_measures() if checks else ())
     return report, written
 
 

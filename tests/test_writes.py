@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioflow import JobOptions
+from folioflow.__main__ import main
 from folioflow.plans import backfill_changed, backfill_transform, changed_days, extract_job, publish, transform_job
 from folioflow.schemas import PORTFOLIO, RAW
 from folioflow.sinks import (
@@ -182,6 +183,21 @@ def test_nothing_extracted_nothing_changed(spark, scratch):
     assert changed_days(spark, opts) == [] and backfill_changed(spark, opts) is None
 
 
+def test_commands_with_checks_and_changed_days(spark, scratch, capsys):
+    folder, root = scratch("landing"), scratch("job")
+    flags = ["--root", f"file:{root}", "--landing", folder, "--index", "IBOV", "--run-timestamp", RUN.isoformat()]
+    land(folder, "page-0001.json", page_body(1, 1, [record(0), record(1)]))
+    assert main(["all", *flags, "--checks"])["portfolio_rows"] == 1
+    assert main(["backfill", *flags, "--changed"])["days"] == 0
+    land(folder, "page-0001.json", page_body(1, 1, [record(0, part="-1,0")]))
+    with pytest.raises(ChecksFailed):
+        main(["extract", *flags, "--checks"])
+    time.sleep(0.02)
+    main(["extract", *flags])
+    out = main(["backfill", *flags, "--changed"])
+    assert (out["days"], out["portfolio_rows"]) == (1, 1)
+
+
 # ---------------------------------------------------------------- partitions of one write
 
 
