@@ -53,13 +53,14 @@ class ExtractReport:
     def losses(self) -> dict[str, int]:
         """Everything that landed or was announced and is not in the written rows."""
         unparsed = {f"unparsed_{r['column_name']}": r["unparsed"] for r in self.unparsed_numbers.collect()}  # a row per column
-        unknown = {} if self.unknown_keys is None else {"unknown_keys": self.unknown_keys.select("key").distinct().count()}
+        rare = {"conflicting_pages": self.repeated_pages.where("conflict").count()}
+        if self.unknown_keys is not None:
+            rare["unknown_keys"] = self.unknown_keys.select("key").distinct().count()
         return {
             "missing_pages": self.missing_pages.count(),
             "missing_first_pages": self.missing_first_pages.count(),
             "unnumbered_pages": self.unnumbered_pages.count(),
-            "conflicting_pages": self.repeated_pages.where("conflict").count(),
-            **unknown,
+            **{k: n for k, n in rare.items() if n},  # named only where there are any
             **unparsed,
         }
 
