@@ -33,7 +33,7 @@ from folioflow.llm.batches import filter_rows, map_columns, pick
 ORDER = 3
 FOLDS = 5
 SAMPLE_ROWS = 10_000
-GROUP_BYTES = 1_000_000
+GROUP_BYTES = 400_000  # of texts whose code lengths are taken together: about 100 bytes each in a worker
 
 
 class ContextTrees:

@@ -14,7 +14,7 @@ from array import array
 
 import numpy as np
 
-CACHE_BYTES = 64_000_000  # what each of the two generations of the cache may hold
+CACHE_BYTES = 40_000_000  # what each of the two generations of the cache may hold
 ENTRY_BYTES = 160  # of a short word and its ids, besides their lengths
 LONGEST = 64  # characters of a word that is cached; longer ones (scripts without spaces) seldom come again
 TAIL = ".,!?;:*$%#&|)"
