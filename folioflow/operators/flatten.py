@@ -21,7 +21,9 @@ HEADER_COLUMNS = {
 
 # Header rows (one per index, under 200 bytes) that may be broadcast.
 BROADCAST_HEADERS = 20_000
-# Pages of one index share its header over so many join keys.
+# Beyond that, so many consecutive pages of an index share a join key with its
+# header, over so many keys at most.
+HEADER_PAGES = 16
 HEADER_BUCKETS = 64
 
 
@@ -82,7 +84,9 @@ def flatten_results(pages: DataFrame, header_from_first_page: bool = True) -> Da
     The header frame (one row per index) is built first and stored in the
     checkpoint folder.  Up to ``BROADCAST_HEADERS`` rows it is broadcast and
     no page is shuffled; a larger one is joined on (index, bucket of the
-    page number), so the pages of a large index are spread.
+    page number), so the pages of a large index are spread.  A header is
+    repeated for the buckets that its page count reaches, no more: one row
+    for an index of few pages.
     """
     if not header_from_first_page:
         header = [F.col(f"header.{src}").alias(dst) for dst, src in HEADER_COLUMNS.items()]
@@ -93,8 +97,11 @@ def flatten_results(pages: DataFrame, header_from_first_page: bool = True) -> Da
     if headers.count() <= BROADCAST_HEADERS:
         joined = pages.join(F.broadcast(headers), same)
     else:
-        spread = headers.withColumn("run_bucket", F.explode(F.sequence(F.lit(0), F.lit(HEADER_BUCKETS - 1))))
-        bucketed = pages.withColumn("page_bucket", F.pmod("page_number", F.lit(HEADER_BUCKETS)).cast("int"))
+        last = F.least((F.greatest("run_total_pages", F.lit(1)) - 1) / HEADER_PAGES, F.lit(HEADER_BUCKETS - 1)).cast("int")
+        spread = headers.withColumn("run_bucket", F.explode(F.sequence(F.lit(0), last)))
+        # pages numbered below 1 go with page 1
+        at = F.floor((F.greatest("page_number", F.lit(1)) - 1) / HEADER_PAGES)
+        bucketed = pages.withColumn("page_bucket", F.when(F.col("page_number").isNotNull(), F.pmod(at, F.lit(HEADER_BUCKETS))).cast("int"))
         joined = bucketed.join(spread, same & (F.col("page_bucket") == F.col("run_bucket")))
     used = joined.where(F.col("page_number") <= F.greatest(F.col("run_total_pages"), F.lit(1)))
     header = [F.col(f"run_{src}").alias(dst) for dst, src in HEADER_COLUMNS.items()]

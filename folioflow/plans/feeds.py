@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.numbers import group_thousands
 from folioflow.sources.tables import read_table
-from folioflow.schemas import PAGE
+from folioflow.schemas import PAGE, quoted
 
 # Fixed run clock of the registered queries, so their output is reproducible.
 RUN_TIMESTAMP = dt.datetime(2025, 7, 25, 14, 32, 40)
@@ -41,6 +41,11 @@ RUN_DATE = RUN_TIMESTAMP.date()
 # Page size used to split conversations into response pages.
 CONVERSATION_PAGE_SIZE = 3
 
+# Rows that a task rewrites, and partitions up to which a shuffle is written
+# straight to files (Spark's ``spark.shuffle.sort.bypassMergeThreshold``).
+ROWS_PER_TASK = 50_000
+MOST_DEALT = 200
+
 NBSP = " "
 
 
@@ -49,18 +54,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _tasks(df: DataFrame) -> int:
+    """Tasks that a table is dealt to, by its number of rows (which is in the footers)."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, min(-(-df.count() // ROWS_PER_TASK), MOST_DEALT))
+
+
 def dealt_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A shared test table whose rows a feed rewrites at length.
+    """A shared test table whose rows a feed rewrites at length, dealt to tasks of at most ``ROWS_PER_TASK`` rows.
 
     The test tables are single files of one row group.  Spark may plan several
     splits for such a file, but only the one that holds the row group's middle
-    has rows, so the number of partitions says nothing.  A table of fewer
-    files than cores is dealt to all cores as a step of its own; a table of
-    many files feeds every core by its scan and is left as it is.
+    has rows, so the number of partitions says nothing; and what a split of
+    compressed columns becomes as rows is many times its size.  A table of
+    fewer files than tasks is dealt as a step of its own, by all its columns:
+    dealing round robin would sort, so hold, all rows of a split.  Up to
+    ``MOST_DEALT`` partitions the writing side of the shuffle holds no rows.
     """
     df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+    tasks = _tasks(df)
+    return df if len(df.inputFiles()) >= tasks else df.repartition(tasks, *[quoted(c) for c in df.columns])
 
 
 def _comma_cents(cents: Column) -> Column:
@@ -176,7 +188,9 @@ def conversation_pages(
             *[c.alias(k) for k, c in (extra or {}).items()],
         ).alias("rec"),
     )
-    pages = rows.groupBy("conv_id", "slot").agg(
+    # a number of partitions by the rows: what a task holds while it sorts them into pages stays the same
+    dealt = rows.repartition(_tasks(table(spark, sf_dir, "conversations")), "conv_id", "slot")
+    pages = dealt.groupBy("conv_id", "slot").agg(
         F.max("n_turns").alias("n_turns"),
         F.sort_array(F.collect_list("rec")).alias("recs"),
     )
