@@ -27,7 +27,8 @@ from folioflow.sinks.gate import ChecksFailed, RowRule, check_rows, portfolio_me
 from folioflow.sources.daily import read_day, read_tree
 from folioflow.sources.footers import footer_counts, footer_null_counts
 
-BUCKETS = 8  # of the bucketed queries
+BUCKETS = 8  # of the bucketed queries, at least
+BUCKET_ROWS = 500_000  # rows of a bucket beyond that, on average
 
 # ------------------------------------------------------------------ counts out of footers
 
@@ -204,11 +205,16 @@ def q_publish_written_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ a layout that saves the shuffle
 
 
+def _buckets(spark: SparkSession, sf_dir: str) -> int:
+    """Buckets by the number of rows (which is in the footers), so a bucket does not grow with the table."""
+    return max(BUCKETS, -(-feeds.table(spark, sf_dir, "lineitem").count() // BUCKET_ROWS))
+
+
 def _bucketed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned feed as a raw day of a table bucketed by asset."""
     path = scratch_path(spark, "bucketed-raw")
     name = "folioflow_scratch_b.raw_" + path.rsplit("-", 1)[-1][:12]
-    create_bucketed(spark, name, path, RAW, "asset", BUCKETS)
+    create_bucketed(spark, name, path, RAW, "asset", _buckets(spark, sf_dir))
     write_bucketed(conform(_lineitem_raw(spark, sf_dir), RAW).withColumns(partition_columns(F.lit(RUN_DATE))), name)
     return spark.table(name)
 
@@ -225,6 +231,6 @@ def q_bucketed_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "bucketed-portfolio")
     name = "folioflow_scratch_b.portfolio_" + path.rsplit("-", 1)[-1][:12]
     stale = portfolio_by_asset(clean_columns(feeds.lineitem_stale_feed(spark, sf_dir)), RUN_DATE)
-    create_bucketed(spark, name, path, PORTFOLIO, "acao", BUCKETS)
+    create_bucketed(spark, name, path, PORTFOLIO, "acao", _buckets(spark, sf_dir))
     write_bucketed(stale.withColumns(partition_columns(F.lit(RUN_DATE))), name)
     return reconcile(_bucketed_raw(spark, sf_dir), spark.table(name), tolerance=0.01)

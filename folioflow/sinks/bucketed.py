@@ -6,7 +6,7 @@ from the files as they lie.  Such a table pays off where a tree is aggregated
 again and again; it costs one shuffle when it is written.
 
 An asset with very many rows makes its bucket large, and aggregating it is one
-task's work: trees with such assets are better read as they are
+task's work (in the memory of its groups): trees with such assets are better read as they are
 (:func:`~folioflow.operators.aggregate.portfolio_by_asset` reduces a hot asset
 where its rows lie).  :func:`bucket_sizes` shows it.
 """
@@ -46,11 +46,16 @@ def layout(spark: SparkSession, table: str) -> tuple[str, int]:
 
 
 def write_bucketed(df: DataFrame, table: str) -> None:
-    """Write days (rows with the partition columns) into a bucketed table; each task writes one bucket, so a day has a file for each."""
+    """Write days (rows with the partition columns) into a bucketed table.
+
+    Rows go by their bucket, and adaptive execution writes a large bucket (that
+    of a hot asset) by several tasks, each a file, and several small ones by
+    one: what a task sorts before writing does not grow with the table.
+    """
     spark = df.sparkSession
     key, buckets = layout(spark, table)
     names = [quoted(c) for c in spark.table(table).columns]
-    df.select(*names).repartition(buckets, quoted(key)).write.insertInto(table, overwrite=True)
+    df.select(*names).hint("rebalance", buckets, key).write.insertInto(table, overwrite=True)
 
 
 def bucket_sizes(spark: SparkSession, table: str) -> DataFrame:

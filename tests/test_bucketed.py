@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioflow.operators import portfolio_by_asset, reconcile
+from folioflow.operators.clean import conform
 from folioflow.schemas import PARTITION_COLUMNS, PORTFOLIO, RAW
 from folioflow.sinks import bucket_sizes, create_bucketed, write_bucketed
 
@@ -77,3 +78,18 @@ def test_a_table_without_buckets_is_refused(spark, scratch):
     with pytest.raises(ValueError):
         write_bucketed(spark.createDataFrame([("A",)], "asset string"), name)
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_hot_asset_is_written_by_several_tasks(spark, tables):
+    name = tables(RAW, "asset")
+    rows = spark.range(40_000, numPartitions=8).select(F.lit("HOT").alias("asset"), F.col("id").cast("string").alias("cod"))
+    full = conform(rows, RAW, keep=()).withColumns({"year": F.lit("2025"), "month": F.lit("07"), "day": F.lit("25")})
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32KB")
+    try:
+        write_bucketed(full, name)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    table = spark.table(name)
+    assert len(table.inputFiles()) > 1
+    one = portfolio_by_asset(table, RUN)
+    assert hash_exchanges(one) == [] and [(r["acao"], r["qtd_codigo"]) for r in one.collect()] == [("HOT", 40_000)]
