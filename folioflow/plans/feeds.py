@@ -66,13 +66,14 @@ def dealt_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     splits for such a file, but only the one that holds the row group's middle
     has rows, so the number of partitions says nothing; and what a split of
     compressed columns becomes as rows is many times its size.  A table of
-    fewer files than tasks is dealt as a step of its own, by all its columns:
-    dealing round robin would sort, so hold, all rows of a split.  Up to
+    fewer files than tasks is dealt as a step of its own, by its first two
+    columns (the key, and what tells its rows apart; columns that a query does
+    not use are not read): dealing round robin would sort, so hold, all rows of a split.  Up to
     ``MOST_DEALT`` partitions the writing side of the shuffle holds no rows.
     """
     df = table(spark, sf_dir, name)
     tasks = _tasks(df)
-    return df if len(df.inputFiles()) >= tasks else df.repartition(tasks, *[quoted(c) for c in df.columns])
+    return df if len(df.inputFiles()) >= tasks else df.repartition(tasks, *[quoted(c) for c in df.columns[:2]])
 
 
 def _comma_cents(cents: Column) -> Column:
