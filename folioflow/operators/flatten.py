@@ -86,7 +86,8 @@ def flatten_results(pages: DataFrame, header_from_first_page: bool = True) -> Da
     no page is shuffled; a larger one is joined on (index, bucket of the
     page number), so the pages of a large index are spread.  A header is
     repeated for the buckets that its page count reaches, no more: one row
-    for an index of few pages.
+    for an index of few pages.  A task hashes its headers and lets the pages
+    go by; a sort would hold all of them.
     """
     if not header_from_first_page:
         header = [F.col(f"header.{src}").alias(dst) for dst, src in HEADER_COLUMNS.items()]
@@ -102,7 +103,7 @@ def flatten_results(pages: DataFrame, header_from_first_page: bool = True) -> Da
         # pages numbered below 1 go with page 1
         at = F.floor((F.greatest("page_number", F.lit(1)) - 1) / HEADER_PAGES)
         bucketed = pages.withColumn("page_bucket", F.when(F.col("page_number").isNotNull(), F.pmod(at, F.lit(HEADER_BUCKETS))).cast("int"))
-        joined = bucketed.join(spread, same & (F.col("page_bucket") == F.col("run_bucket")))
+        joined = bucketed.join(spread.hint("shuffle_hash"), same & (F.col("page_bucket") == F.col("run_bucket")))
     used = joined.where(F.col("page_number") <= F.greatest(F.col("run_total_pages"), F.lit(1)))
     header = [F.col(f"run_{src}").alias(dst) for dst, src in HEADER_COLUMNS.items()]
     return _as_text(used.select("index", "page_number", *header, F.inline("results")))

@@ -171,7 +171,8 @@ def conversation_pages(
     conv = dealt_table(spark, sf_dir, "conversations")
     turns = conv.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"))
     length = F.length("text").cast("bigint")
-    rows = conv.join(turns, "conv_id").select(
+    # hashed: the counts are a row for each conversation, the texts go by without being sorted, so held
+    rows = conv.join(turns.hint("shuffle_hash"), "conv_id").select(
         "conv_id",
         "turn",
         "n_turns",

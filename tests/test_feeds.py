@@ -56,3 +56,34 @@ def test_header_of_few_pages_is_one_row(spark, monkeypatch):
     assert flatten.flatten_results(made).count() == 500
     monkeypatch.setattr(flatten.F, "explode", explode)
     assert made.withColumn("run_total_pages", F.col("total_pages")).select(explode(seen[0])).count() == 500
+
+
+def _plan_without_broadcast(spark, make):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # as for counts or headers beyond it
+    try:
+        return make()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_texts_are_not_sorted_to_learn_their_conversations_size(spark, scratch):
+    folder = scratch("hashed")
+    spark.range(90).selectExpr("id DIV 9 AS conv_id", "id % 9 AS turn", "'user' AS role", "'words' AS text").write.parquet(f"file:{folder}/conversations.parquet")
+    plan = _plan_without_broadcast(spark, lambda: feeds.conversation_pages(spark, f"file:{folder}"))
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    pages = feeds.conversation_pages(spark, f"file:{folder}")
+    assert pages.where("get_json_object(body, '$.page.totalPages') = '3' AND get_json_object(body, '$.page.totalRecords') = '9'").count() == 30
+
+
+def test_pages_are_not_sorted_to_get_their_header(spark, monkeypatch):
+    monkeypatch.setattr(flatten, "BROADCAST_HEADERS", 0)
+    made = spark.range(60).selectExpr(
+        "CASE WHEN id < 57 THEN CAST(id DIV 3 AS STRING) END AS index", "id % 3 + 1 AS page_number", "3L AS total_pages",
+        "named_struct('date', CAST(id AS STRING), 'theoricalQty', '1', 'reductor', '2') AS header", "array(named_struct('cod', 'c')) AS results",
+    )
+    plan = _plan_without_broadcast(spark, lambda: flatten.flatten_results(made))
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    rows = [tuple(r) for r in flatten.flatten_results(made).select("index", "page_number", "data_date").collect()]
+    assert sorted(rows, key=str) == sorted([(str(i // 3) if i < 57 else None, i % 3 + 1, str(i - i % 3)) for i in range(60)], key=str)
