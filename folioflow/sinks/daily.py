@@ -69,10 +69,14 @@ def write_daily(
       key (rows are dealt round robin); with ``date_col`` it goes by the
       partition columns, and a day much larger than the rest becomes several
       files written by several tasks.
+    * **No sort for a literal day**: its columns are added after the
+      rebalance, where they are still constants; rows that are already dealt
+      would be sorted by them, and a task would hold its file's rows.
     * Task retries and lost executors are handled by the file commit
       protocol: only committed task output is moved into place.
     """
-    staged = with_partition_columns(df, day, date_col)
+    one_directory = date_col is None and not leading
+    staged = df if one_directory else with_partition_columns(df, day, date_col)
     if drop_date_col and isinstance(date_col, str):
         staged = staged.drop(date_col)
     for name in leading:
@@ -80,11 +84,12 @@ def write_daily(
     cols = [*leading, *PARTITION_COLUMNS]
     # One day of one directory needs no key: rows are dealt round robin into
     # files of the advisory size.  Else rows go by their directory.
-    by = [] if date_col is None and not leading else cols if date_col is not None else list(leading)
+    by = [] if one_directory else cols if date_col is not None else list(leading)
+    directory = F.array(*(partition_columns(F.lit(as_date(day))).values() if one_directory else cols))
     observation = Observation()
-    staged = staged.hint("rebalance", *by).observe(
-        observation, F.count(F.lit(1)).alias("rows"), F.collect_set(F.array(*cols)).alias("days")
-    )
+    staged = staged.hint("rebalance", *by).observe(observation, F.count(F.lit(1)).alias("rows"), F.collect_set(directory).alias("days"))
+    if one_directory:
+        staged = with_partition_columns(staged, day)
     (
         staged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
