@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -298,3 +299,25 @@ def test_personal_data_edges(frame):
 def test_personal_data_is_native(frame):
     plan = find_personal_data(frame(EDGE))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_search_of_a_large_tree_holds_few_coordinates():
+    rng = np.random.default_rng(0)
+    base = rng.poisson(0.6, 512)
+    points = (base + (rng.random((1_000, 512)) < 0.05)).astype(np.uint8)
+    sizes = points.sum(axis=1).astype(np.int32)
+    tree = CountTree(sizes, points)
+    tracemalloc.start()
+    try:
+        found = sum(len(q) for q, _ in tree.search(sizes, points))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    n = sizes.astype(np.int64)
+    want = 0
+    for i in range(len(n)):
+        bound = np.minimum(points[i], points).sum(axis=1, dtype=np.int64)
+        fits = 100 * np.minimum(n, n[i]) >= 80 * np.maximum(n, n[i])
+        want += int((fits & (bound >= overlap_needed(n, n[i]))).sum())
+    assert found == want > 100_000
+    assert peak < 60_000_000
