@@ -6,6 +6,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from folioflow.schemas import RAW
@@ -48,6 +49,24 @@ def test_write_result_counts_rows(spark, scratch):
     assert res.record_count == 7 and res.partition_date == dt.date(2024, 2, 1) and res.ok
 
 
+def test_the_columns_of_a_literal_day_are_constants_beyond_the_rebalance(spark, scratch, monkeypatch):
+    plans = []
+    parquet = DataFrameWriter.parquet
+
+    def kept(writer, path, *args, **kw):
+        plans.append(writer._df._jdf.queryExecution().optimizedPlan().toString().splitlines())
+        return parquet(writer, path, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", kept)
+    out, rows = scratch("constant"), spark.range(50)
+    assert write_daily(rows, f"file:{out}", "2025-07-25").record_count == 50
+    # a writer sorts (holds) the rows of a task by partition columns that it does not know to be constants
+    [plan] = plans
+    assert plan[0].startswith("Project") and all(f"{v} AS {k}#" in plan[0] for k, v in (("year", "2025"), ("month", "07"), ("day", "25")))
+    assert any("RebalancePartitions" in line for line in plan[1:])
+    assert read_day(spark, f"file:{out}", "2025-07-25", schema=rows.schema).count() == 50
+
+
 def test_multi_day_write_from_column(spark, scratch):
     root = scratch("raw")
     df = spark.range(10).select(
